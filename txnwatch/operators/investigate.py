@@ -40,7 +40,7 @@ def inv_account_history(t: DataFrame, f: DataFrame, seeds: DataFrame | None = No
 def inv_why_flagged(f: DataFrame, r: DataFrame, txn_ids: DataFrame | None = None) -> DataFrame:
     """Flags of the given transactions, in either id form, with the rule's wording."""
     if txn_ids is not None:
-        wanted = txn_ids.select(txn_number(F.col("txn_id")).alias("_n")).distinct()
+        wanted = txn_ids.select(txn_number(F.col("txn_id")).alias("_n")).filter("_n <> ''").distinct()
         f = f.withColumn("_n", txn_number(F.col("txn_id"))).join(wanted, "_n", "left_semi")
     return f.join(r.select("rule_id", "condition_summary", "rationale"), "rule_id").select(
         "flag_id", "pattern_type", "ml_score", "severity", "notes", "condition_summary", "rationale")
@@ -156,19 +156,31 @@ def inv_reverse_trace(t: DataFrame, seeds: DataFrame | None = None) -> DataFrame
 
 def inv_common_counterparties(t: DataFrame, pairs: DataFrame) -> DataFrame:
     """Counterparties two accounts share. Totals are those of the joined rows: each side's sum is multiplied
-    by the other side's count, so no row meets another."""
+    by the other side's count, so no transaction meets another. Each pair starts from the account with fewer
+    counterparties, so one account with very many does not multiply the pairs it is in."""
+    pairs = pairs.select("acct1", "acct2").distinct()
     asked = pairs.select(F.explode(F.array("acct1", "acct2")).alias("account_id")).distinct()
     dealt = _seeded(t, asked).groupBy("account_id", "counterparty_account").agg(
         F.sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
-
-    def side(i: int) -> DataFrame:
-        return dealt.select(F.col("account_id").alias(f"acct{i}"), "counterparty_account",
-                            F.col("total").alias(f"t{i}"), F.col("n").alias(f"n{i}"))
-
-    met = pairs.select("acct1", "acct2").distinct().join(side(1), "acct1").join(side(2), ["acct2", "counterparty_account"])
+    parties = dealt.groupBy("account_id").agg(F.count(F.lit(1)).alias("parties"))
+    for i in (1, 2):
+        pairs = pairs.join(parties.select(F.col("account_id").alias(f"acct{i}"), F.col("parties").alias(f"p{i}")), f"acct{i}")
+    swap = F.col("p1") > F.col("p2")
+    pairs = pairs.select(
+        F.when(swap, F.col("acct2")).otherwise(F.col("acct1")).alias("few"),
+        F.when(swap, F.col("acct1")).otherwise(F.col("acct2")).alias("many"), swap.alias("swapped"))
+
+    def side(name: str) -> DataFrame:
+        return dealt.select(F.col("account_id").alias(name), "counterparty_account",
+                            F.col("total").alias(f"{name}_total"), F.col("n").alias(f"{name}_n"))
+
+    met = pairs.join(side("few"), "few").join(side("many"), ["many", "counterparty_account"])
+    of_few, of_many = F.col("few_total") * F.col("many_n"), F.col("many_total") * F.col("few_n")
+    either = lambda a, b: F.when(F.col("swapped"), b).otherwise(a)
     return met.select(
-        "counterparty_account", "acct1", "acct2",
-        (F.col("t1") * F.col("n2")).alias("total1"), (F.col("t2") * F.col("n1")).alias("total2"))
+        "counterparty_account",
+        either(F.col("few"), F.col("many")).alias("acct1"), either(F.col("many"), F.col("few")).alias("acct2"),
+        either(of_few, of_many).alias("total1"), either(of_many, of_few).alias("total2"))
 
 
 def inv_circular_check(t: DataFrame, seeds: DataFrame | None = None) -> DataFrame:

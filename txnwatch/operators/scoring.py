@@ -94,10 +94,12 @@ def anomaly_fit(x: DataFrame, trees: int = 300, sample: int = 256, seed: int = 4
     total = x.agg(F.count(F.lit(1)).alias("n")).scalar().cast("double")
     pool = F.least(total, F.lit(float(trees * sample)))
     pooled = x.filter(_uniform("txn_id", F.lit(seed)) < pool / total).withColumn("share", F.lit(float(sample)) / pool)
-    drawn = pooled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).filter(
-        _uniform("txn_id", "tree", F.lit(seed + 1)) < F.col("share"))
+    mine = F.filter(  # the trees a row is drawn for; only those copies of it are made
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: _uniform(F.col("txn_id"), tree, F.lit(seed + 1)) < F.col("share"))
+    drawn = pooled.withColumn("tree", F.explode(mine))
 
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf.sort_values("txn_id")[MODEL_FEATURES].to_numpy(float)
         nodes = _grow(points, np.random.default_rng([seed, int(key[0])]), height)
         out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "value"])

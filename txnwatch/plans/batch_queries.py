@@ -44,7 +44,8 @@ def _written(t):
     return t.spark.read.schema(t.silver.schema).parquet(path)
 
 
-register("write_table", _written, "SELECT * FROM silver UNION ALL SELECT * FROM silver")
+register("write_table", _written, "SELECT * FROM silver UNION ALL SELECT * FROM silver",
+         texts=("txn_date",))
 
 
 def _evolving(t):
@@ -117,7 +118,8 @@ register("cast_bronze", lambda t: cleaning.cast_bronze(t.bronze.withColumns({
     "amount": F.when(F.col("amount") > 0, F.col("amount").cast("string")).otherwise("bad"),
     "timestamp": F.date_format("timestamp", files.CSV_TIMESTAMP)})),
     "SELECT * REPLACE (CASE WHEN amount > 0 THEN amount END AS amount) FROM bronze")
-register("silver_transactions", lambda t: cleaning.silver_transactions(t.bronze), "SELECT * FROM silver")
+register("silver_transactions", lambda t: cleaning.silver_transactions(t.bronze), "SELECT * FROM silver",
+         texts=("txn_date",))
 register("label_distribution", lambda t: cleaning.label_distribution(t.bronze),
          "SELECT pattern_label, count(*) AS txn_count FROM bronze GROUP BY 1")
 register("retention_prune", lambda t: cleaning.retention_prune(t.silver).drop("txn_date"),
@@ -176,18 +178,18 @@ for _name in windows.FEATURES:
     register(f"win_{_name}", lambda t, f=getattr(windows, f"win_{_name}"): f(t.silver),
              f"SELECT txn_id, account_id, txn_timestamp, {_name} FROM win", **({_name: 2} if "sum" in _name else {}))
 register("window_features", lambda t: windows.window_features(t.silver), "SELECT * EXCLUDE (sec) FROM win",
-         amount_sum_1h=2, cash_sum_48h=2)
+         texts=("txn_date",), amount_sum_1h=2, cash_sum_48h=2)
 
 register("enrich_accounts", lambda t: features.enrich_accounts(t.silver, t.accounts),
          """SELECT s.*, avg_txn_amount, days_inactive, cash_ratio, risk_score AS acct_risk_score
-         FROM silver s LEFT JOIN acc a ON s.account_id = a.account_id""")
+         FROM silver s LEFT JOIN acc a ON s.account_id = a.account_id""", texts=("txn_date",))
 register("enrich_customers", lambda t: features.enrich_customers(t.silver, t.customers),
          """SELECT s.*, pep_flag, watchlist_match, risk_tier AS cust_risk_tier
-         FROM silver s LEFT JOIN cust c ON s.customer_id = c.customer_id""")
+         FROM silver s LEFT JOIN cust c ON s.customer_id = c.customer_id""", texts=("txn_date",))
 register("enrich_flow", lambda t: features.enrich_flow(t.silver, flow.flow_features(t.silver)),
          """SELECT s.*, coalesce(pass_through_ratio, 0.0) AS pass_through_ratio, in_out_gap_min,
          coalesce(distinct_senders, 0) AS distinct_senders, coalesce(distinct_receivers, 0) AS distinct_receivers
-         FROM silver s LEFT JOIN flow f ON s.account_id = f.account_id""", **FLOW_ROUND)
+         FROM silver s LEFT JOIN flow f ON s.account_id = f.account_id""", texts=("txn_date",), **FLOW_ROUND)
 
 register("feat_near_threshold", lambda t: features.feat_near_threshold(t.silver).select("txn_id", "near_threshold_flag"),
          "SELECT txn_id, near_threshold_flag FROM gold")
@@ -206,7 +208,7 @@ register("feat_label", lambda t: features.feat_label(t.silver).select("txn_id",
          doubles=("is_fraud",))
 GOLD_ROUND = {"amount_sum_1h": 2, "cash_sum_48h": 2, "amount_vs_avg": 6, **FLOW_ROUND}
 register("gold_features", lambda t: features.gold_features(t.silver, t.accounts, t.customers), "SELECT * FROM gold",
-         doubles=("is_fraud",), **GOLD_ROUND)
+         doubles=("is_fraud",), texts=("txn_date",), **GOLD_ROUND)
 
 # ---- rules ---------------------------------------------------------------------------------------------
 

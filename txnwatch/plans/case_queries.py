@@ -200,7 +200,7 @@ register("inv_cross_border", lambda t: inv.inv_cross_border(t.silver),
          """SELECT account_id, country, count(*) AS txn_count, sum(amount) AS total_amount FROM silver
          WHERE country <> 'IN' GROUP BY 1, 2""", total_amount=2)
 register("inv_trend", lambda t: inv.inv_trend(t.silver),
-         "SELECT txn_date, count(*) AS row_count FROM silver GROUP BY 1")
+         "SELECT txn_date, count(*) AS row_count FROM silver GROUP BY 1", texts=("txn_date",))
 register("inv_trend_pattern", lambda t: inv.inv_trend(t.flags, "pattern_type"),
          "SELECT pattern_type, count(*) AS row_count FROM flags GROUP BY 1")
 
@@ -255,7 +255,7 @@ register("graph_mule_hubs", lambda t: graph.graph_mule_hubs(t.silver),
 register("graph_pass_through", lambda t: graph.graph_pass_through(t.silver),
          """SELECT * FROM (SELECT account_id, txn_date, sum(amount) FILTER (WHERE txn_type = 'WIRE_IN') AS total_in,
             sum(amount) FILTER (WHERE txn_type IN ('WIRE_OUT', 'UPI_OUT')) AS total_out FROM silver GROUP BY 1, 2) x
-         WHERE total_in >= 50000 AND total_out >= total_in * 0.9""", total_in=2, total_out=2)
+         WHERE total_in >= 50000 AND total_out >= total_in * 0.9""", texts=("txn_date",), total_in=2, total_out=2)
 register("graph_watchlist_reach", lambda t: graph.graph_watchlist_reach(t.silver, t.accounts, t.customers),
          """WITH watched AS (SELECT account_id FROM acc JOIN cust USING (customer_id) WHERE watchlist_match <> 'NONE')
          SELECT account_id, counterparty_account AS watched FROM silver
@@ -279,7 +279,7 @@ register("case_open", lambda t: alerts.case_open(t.flags, t.cases, t.silver),
          amount AS total_amount, 1 AS num_txns, NULL::INTEGER AS investigation_days, 'OPEN' AS outcome, 'N' AS sar_filed,
          NULL::DATE AS close_date FROM flags f LEFT JOIN silver s ON f.txn_id = s.txn_id WHERE severity = 'CRITICAL'
          AND f.account_id NOT IN (SELECT account_id FROM cases WHERE outcome = 'OPEN')""",
-         doubles=("investigation_days",))
+         doubles=("investigation_days",), texts=("close_date",))
 register("label_feedback", lambda t: alerts.label_feedback(t.silver, t.flags),
          """WITH d AS (SELECT txn_id, max(CASE analyst_decision WHEN 'CONFIRMED' THEN 1 WHEN 'FALSE_POSITIVE' THEN 0 END)
             AS decision FROM flags GROUP BY 1)

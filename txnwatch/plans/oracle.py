@@ -182,8 +182,9 @@ CTES = {
         FROM gold g JOIN scores s USING (txn_id)""",
 }
 
-def with_tables(sql: str, rounding: dict[str, int] | None = None, doubles: tuple[str, ...] = ()) -> str:
-    """Prefix the derived tables the query needs; round or widen the columns named."""
+def with_tables(sql: str, rounding: dict[str, int] | None = None, doubles: tuple[str, ...] = (),
+                texts: tuple[str, ...] = ()) -> str:
+    """Prefix the derived tables the query needs; round, widen or print the columns named."""
     needed: list[str] = []
 
     def need(text: str) -> None:
@@ -196,6 +197,7 @@ def with_tables(sql: str, rounding: dict[str, int] | None = None, doubles: tuple
     need(sql)
     changes = [f"round({c}, {d}) AS {c}" for c, d in (rounding or {}).items()]
     changes += [f"{c}::DOUBLE AS {c}" for c in doubles]
+    changes += [f"{c}::VARCHAR AS {c}" for c in texts]
     columns = f"* REPLACE ({', '.join(changes)})" if changes else "*"
     tables = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n]})" for n in needed)
     return (f"WITH {tables}\n" if tables else "") + f"SELECT {columns} FROM ({sql}) q"

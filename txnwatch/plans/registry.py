@@ -18,26 +18,28 @@ class Query:
     sql: str | None
     rounding: dict[str, int]
     doubles: tuple[str, ...] = ()
+    texts: tuple[str, ...] = ()
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(tables(spark, sf_dir))
         # sums of doubles depend on the order of addition in their last digits, and client libraries
-        # disagree on how to show whole numbers with nulls among them
-        changes = {c: F.round(c, d) for c, d in self.rounding.items()} | {c: F.col(c).cast("double") for c in self.doubles}
+        # disagree on how to show dates, and whole numbers with nulls among them
+        changes = {c: F.round(c, d) for c, d in self.rounding.items()}
+        changes |= {c: F.col(c).cast("double") for c in self.doubles} | {c: F.col(c).cast("string") for c in self.texts}
         return df.withColumns(changes) if changes else df
 
     def oracle(self) -> str | None:
-        return with_tables(self.sql, self.rounding, self.doubles) if self.sql else None
+        return with_tables(self.sql, self.rounding, self.doubles, self.texts) if self.sql else None
 
 
 QUERIES: dict[str, Query] = {}
 
 
 def register(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None, doubles: tuple[str, ...] = (),
-             **rounding: int) -> None:
+             texts: tuple[str, ...] = (), **rounding: int) -> None:
     if name in QUERIES:
         raise ValueError(f"{name} is registered twice")
-    QUERIES[name] = Query(name, build, sql, rounding, doubles)
+    QUERIES[name] = Query(name, build, sql, rounding, doubles, texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

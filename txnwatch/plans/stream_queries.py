@@ -63,7 +63,7 @@ def _fanned_out(t):
 register("stream_fan_out", _fanned_out, """SELECT 'hot' AS sink, count(*) AS row_count FROM bronze
     UNION ALL SELECT 'lake', count(*) FROM bronze""")
 register("stream_dedupe", lambda t: cleaning.silver_columns(_table(t, "once", jobs.stream_dedupe(_arrivals(t)))),
-         "SELECT * FROM silver")
+         "SELECT * FROM silver", texts=("txn_date",))
 register("stream_structuring", lambda t: _table(
     t, "structuring", jobs.stream_structuring(_live(t)), "update", "account_id", "customer_id", F.to_date("first_txn")),
     _structuring(), total_amount=2)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,7 @@ RUNTIME = {
 }
 
 _scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
@@ -35,13 +38,30 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built, and send this package to its Python workers."""
     for key, value in RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        spark.sparkContext.addPyFile(_package_archive())
+        _shipped.add(app)
     return spark
 
 
+def _package_archive() -> str:
+    """This package as a zip that Spark hands to every executor."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="txnwatch-package-"), "txnwatch.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    return archive
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A folder of this application's own inside the cluster's shared checkpoint folder.
 

@@ -64,8 +64,8 @@ def stream_flag_monitor(f: DataFrame) -> DataFrame:
 
 
 def _with_stored(new: DataFrame, batch_id: int, store: str) -> tuple[DataFrame, DataFrame]:
-    """Add a batch to the stored legs; returns (what earlier batches stored, the batch as stored)."""
-    write_batch(new, batch_id, store)
+    """Add a batch to the stored legs, by date; returns (what earlier batches stored, the batch as stored)."""
+    write_batch(new, batch_id, store, "txn_date")
     spark = new.sparkSession
     schema = new.schema.add("batch_id", "long")
     stored = spark.read.schema(schema).parquet(store).filter(F.col("batch_id") <= batch_id)
@@ -90,7 +90,8 @@ def run_layering(live: DataFrame, store: str, hits: str, checkpoint: str, lookba
 def run_circular(live: DataFrame, store: str, hits: str, checkpoint: str, min_amount=200000, **params):
     """Round-tripping over up to a year. Instead of a year of join state, each batch meets the stored legs:
     pairs are new if either leg is."""
-    wanted = ["account_id", "customer_id", "counterparty_account", "amount", "txn_type", "country", "timestamp"]
+    wanted = ["account_id", "customer_id", "counterparty_account", "amount", "txn_type", "country", "timestamp",
+              "txn_date"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         wires = circular._large_wires(batch, min_amount).select(*wanted)

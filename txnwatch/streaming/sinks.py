@@ -21,8 +21,11 @@ def run_batches(
     )
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: str | None = None) -> None:
+    writer = batch.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
