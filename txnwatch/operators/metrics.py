@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import ratio_or_zero
 
-_rows = F.count(F.lit(1))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _slice(f: DataFrame, severity=None, pattern_type=None) -> DataFrame:
@@ -18,16 +20,16 @@ def _slice(f: DataFrame, severity=None, pattern_type=None) -> DataFrame:
 
 
 def kpi_total_transactions(t: DataFrame) -> DataFrame:
-    return t.agg(_rows.alias("total_transactions"))
+    return t.agg(_rows().alias("total_transactions"))
 
 
 def kpi_total_flagged(f: DataFrame) -> DataFrame:
-    return f.agg(_rows.alias("total_flagged"))
+    return f.agg(_rows().alias("total_flagged"))
 
 
 def kpi_fraud_rate(t: DataFrame, f: DataFrame) -> DataFrame:
-    total = t.agg(_rows.alias("n")).scalar()
-    return f.agg(_rows.alias("flagged")).select(ratio_or_zero(F.col("flagged"), total).alias("fraud_rate"))
+    total = t.agg(_rows().alias("n")).scalar()
+    return f.agg(_rows().alias("flagged")).select(ratio_or_zero(F.col("flagged"), total).alias("fraud_rate"))
 
 
 def kpi_critical(f: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def kpi_avg_ml_score(m: DataFrame) -> DataFrame:
 
 def kpi_false_positive_rate(f: DataFrame) -> DataFrame:
     wrong = F.count_if(F.col("analyst_decision") == "FALSE_POSITIVE")
-    return f.agg(wrong.alias("wrong"), _rows.alias("n")).select(
+    return f.agg(wrong.alias("wrong"), _rows().alias("n")).select(
         ratio_or_zero(F.col("wrong"), F.col("n")).alias("false_positive_rate"))
 
 
@@ -68,9 +70,9 @@ def kpi_avg_investigation_days(h: DataFrame) -> DataFrame:
 def kpi_all(t: DataFrame, f: DataFrame, m: DataFrame, h: DataFrame, severity=None, pattern_type=None) -> DataFrame:
     """The ten measures as one row. Slicers act on flags, and through them on the flagged amount."""
     f = _slice(f, severity, pattern_type)
-    total = t.agg(_rows.alias("n")).scalar()
+    total = t.agg(_rows().alias("n")).scalar()
     flags = f.agg(
-        _rows.alias("total_flagged"),
+        _rows().alias("total_flagged"),
         F.count_if(F.col("severity") == "CRITICAL").alias("critical_flags"),
         F.count_if(F.col("analyst_decision") == "PENDING").alias("pending_flags"),
         F.count_if(F.col("analyst_decision") == "CONFIRMED").alias("confirmed_flags"),
@@ -104,7 +106,7 @@ def _by_country(per_account: DataFrame, a: DataFrame, c: DataFrame, value: Colum
 def _flags_per_account(f: DataFrame, t: DataFrame) -> DataFrame:
     """Flag counts per account of the flagged transaction (not of the flag's own customer)."""
     flags = f.groupBy("txn_id").agg(
-        _rows.alias("flags"), F.count_if(F.col("analyst_decision") == "PENDING").alias("pending"))
+        _rows().alias("flags"), F.count_if(F.col("analyst_decision") == "PENDING").alias("pending"))
     joined = flags.join(t.select("txn_id", "account_id", "amount"), "txn_id", "left")
     return joined.groupBy("account_id").agg(
         F.sum("flags").alias("flags"), F.sum("pending").alias("pending"), F.sum("amount").alias("amount"))
@@ -131,11 +133,11 @@ def country_avg_investigation_days(h: DataFrame, a: DataFrame, c: DataFrame) ->
 
 def flags_by_pattern(f: DataFrame) -> DataFrame:
     known = f.filter(F.col("flag_id").isNotNull() & (F.col("flag_id") != ""))
-    return known.groupBy("pattern_type").agg(_rows.alias("flag_count")).orderBy(F.desc("flag_count"), "pattern_type")
+    return known.groupBy("pattern_type").agg(_rows().alias("flag_count")).orderBy(F.desc("flag_count"), "pattern_type")
 
 
 def flags_over_time(f: DataFrame) -> DataFrame:
-    return f.groupBy("created_at").agg(_rows.alias("total_flagged")).orderBy("created_at")
+    return f.groupBy("created_at").agg(_rows().alias("total_flagged")).orderBy("created_at")
 
 
 def alert_queue(f: DataFrame, t: DataFrame, r: DataFrame) -> DataFrame:
