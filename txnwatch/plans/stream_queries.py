@@ -80,7 +80,7 @@ def _layered(t):
     hits = scratch_path(t.spark, "layering")
     jobs.run_layering(_live(t), scratch_path(t.spark, "legs"), hits, scratch_path(t.spark, "checkpoint"),
                       lookback=None).awaitTermination()
-    return sinks.latest(t.spark.read.parquet(hits), "account_id")
+    return sinks.current(t.spark.read.parquet(hits), "account_id", "rule_id")
 
 
 register("stream_layering", _layered, _layering(), total_in=2)

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import circular, cleaning, flags, layering, rules, scoring
 from ..operators.features import gold_features
 from ..functions.columns import interval
-from .sinks import run_batches, stream_fan_out, write_batch
+from ..schemas import TABLES
+from ..sources.tables import empty_table
+from .sinks import read_batches, run_batches, stream_fan_out, write_batch
 
 LATENESS = "1 hour"
 
@@ -66,9 +68,7 @@ def stream_flag_monitor(f: DataFrame) -> DataFrame:
 def _with_stored(new: DataFrame, batch_id: int, store: str) -> tuple[DataFrame, DataFrame]:
     """Add a batch to the stored legs, by date; returns (what earlier batches stored, the batch as stored)."""
     write_batch(new, batch_id, store, "txn_date")
-    spark = new.sparkSession
-    schema = new.schema.add("batch_id", "long")
-    stored = spark.read.schema(schema).parquet(store).filter(F.col("batch_id") <= batch_id)
+    stored = read_batches(new.sparkSession, store, new.schema).filter(F.col("batch_id") <= batch_id)
     return (stored.filter(F.col("batch_id") < batch_id).drop("batch_id"),
             stored.filter(F.col("batch_id") == batch_id).drop("batch_id"))
 
@@ -81,8 +81,11 @@ def run_layering(live: DataFrame, store: str, hits: str, checkpoint: str, lookba
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         legs = batch.filter(F.col("txn_type").isin("WIRE_IN", "WIRE_OUT", "UPI_OUT")).select(*wanted)
         before, new = _with_stored(legs, batch_id, store)
-        touched = before.unionByName(new).join(new.select("account_id").distinct(), "account_id", "left_semi")
-        write_batch(layering.rule_layering_mule(touched, lookback=lookback, **params), batch_id, hits)
+        accounts = new.select("account_id").distinct()
+        touched = before.unionByName(new).join(accounts, "account_id", "left_semi")
+        found = layering.rule_layering_mule(touched, lookback=lookback, **params)
+        # a touched account without a hit is written too: it may have had one before (see sinks.current)
+        write_batch(accounts.join(found, "account_id", "left"), batch_id, hits)
 
     return run_batches(live, on_batch, checkpoint)
 
@@ -109,11 +112,16 @@ def run_scoring(
     raised: str, checkpoint: str, memory: str | None = "7 days", at=None,
 ):
     """Score arrivals. Features need the touched accounts' last 7 days, read from the live table
-    (``history_of(batch_id)``, which holds the batch too) and cut down to those accounts before any window runs."""
+    (``history_of(batch_id)``, which holds the batch too) and cut down to those accounts before any window runs.
+    What an earlier batch scored is not scored again."""
+    spark = accounts.sparkSession
+    schema = TABLES["ml_risk_scores"]
+    write_batch(empty_table(spark, schema), -1, scores)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        known = read_batches(spark, scores, schema).filter(F.col("batch_id") < batch_id)
+        batch = batch.join(known.select("txn_id"), "txn_id", "left_anti").persist()
         try:
             touched = history_of(batch_id).join(batch.select("account_id").distinct(), "account_id", "left_semi")
             if memory:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def run_batches(
@@ -36,7 +37,8 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFram
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema.add("batch_id", "long") if "batch_id" not in schema.names else schema).parquet(path)
+    """Everything the batches of a folder wrote, with ``batch_id``."""
+    return spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(path)
 
 
 def latest(updates: DataFrame, *keys: str) -> DataFrame:
@@ -45,6 +47,11 @@ def latest(updates: DataFrame, *keys: str) -> DataFrame:
     return updates.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n", "batch_id")
 
 
+def current(answers: DataFrame, key: str, marker: str) -> DataFrame:
+    """The newest answer per key, without the keys whose newest answer is that nothing was found."""
+    return latest(answers, key).filter(F.col(marker).isNotNull())
+
+
 def stream_fan_out(stream: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]], checkpoint: str) -> StreamingQuery:
     """One stream to several sinks. The batch is kept while they take their turns, so the source is read once."""
 
