@@ -1,7 +1,8 @@
 """Round-tripping: a large wire from A to B answered 30 to 365 days later.
 
-The two legs meet on (A, B). The day range is cut into blocks that join the key, so one busy pair of accounts
-is spread over many tasks and a leg is only compared with legs of the blocks its window touches.
+The two legs meet on (A, B). The day range is cut into blocks and the amounts into octaves, and both join the
+key: one busy pair of accounts is spread over many tasks, and a leg is only compared with legs of the blocks its
+window touches whose amount can answer it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..fixed import WIRES
 from ..functions.columns import floor_div, recent
 
-BLOCK_DAYS = 48
+BLOCK_DAYS = 112
 
 
 def _day(ts: Column) -> Column:
@@ -22,14 +23,22 @@ def _large_wires(t: DataFrame, min_amount, types=WIRES) -> DataFrame:
     return t.filter(F.col("txn_type").isin(types) & (F.col("amount") > min_amount))
 
 
-def _first_legs(legs: DataFrame, day: str, days) -> DataFrame:
-    """One row per block of days in which an answer could lie."""
-    blocks = F.sequence(floor_div(F.col(day) + F.lit(days[0]), BLOCK_DAYS), floor_div(F.col(day) + F.lit(days[1]), BLOCK_DAYS))
-    return legs.withColumn("block", F.explode(blocks))
+def _octave(amount: Column) -> Column:
+    return F.floor(F.log2(amount)).cast("int")
 
 
-def _answers(legs: DataFrame, day: str) -> DataFrame:
-    return legs.withColumn("block", floor_div(F.col(day), BLOCK_DAYS))
+def _first_legs(legs: DataFrame, day: str, amount: str, days, ratio) -> DataFrame:
+    """One row per block of days and octave of amounts in which an answer could lie. ``ratio`` bounds answer
+    over amount before rounding."""
+    blocks = F.sequence(
+        floor_div(F.col(day) + F.lit(days[0]), BLOCK_DAYS), floor_div(F.col(day) + F.lit(days[1]), BLOCK_DAYS))
+    low, high = max(ratio[0] - 0.01, 1e-6), ratio[1] + 0.01
+    octaves = F.sequence(_octave(F.col(amount) * low), _octave(F.col(amount) * high))
+    return legs.withColumn("block", F.explode(blocks)).withColumn("octave", F.explode(octaves))
+
+
+def _answers(legs: DataFrame, day: str, amount: str) -> DataFrame:
+    return legs.withColumns({"block2": floor_div(F.col(day), BLOCK_DAYS), "octave2": _octave(F.col(amount))})
 
 
 def rule_circular_flow(
@@ -48,12 +57,12 @@ def circular_pairs(
     """The rule with its first and second legs from different tables."""
     first = _first_legs(_large_wires(first_legs, min_amount).select(
         "account_id", "customer_id", "counterparty_account", "amount", "country",
-        F.col(ts).alias("ts"), _day(F.col(ts)).alias("day")), "day", days)
+        F.col(ts).alias("ts"), _day(F.col(ts)).alias("day")), "day", "amount", days, (pct[0] / 100, pct[1] / 100))
     second = _answers(_large_wires(second_legs, min_amount).select(
         F.col("account_id").alias("account_id2"), F.col("customer_id").alias("customer_id2"),
         F.col("counterparty_account").alias("counterparty2"), F.col("amount").alias("amount2"),
-        F.col("country").alias("country2"), F.col(ts).alias("ts2"), _day(F.col(ts)).alias("day2")), "day2"
-    ).withColumnRenamed("block", "block2")
+        F.col("country").alias("country2"), F.col(ts).alias("ts2"), _day(F.col(ts)).alias("day2")),
+        "day2", "amount2")
     gap = F.col("day2") - F.col("day")
     ratio = F.round(F.col("amount2") * 100.0 / F.col("amount"), 1)
     pairs = first.join(
@@ -61,6 +70,7 @@ def circular_pairs(
         (F.col("counterparty_account") == F.col("account_id2"))
         & (F.col("account_id") == F.col("counterparty2"))
         & (F.col("block") == F.col("block2"))
+        & (F.col("octave") == F.col("octave2"))
         & (F.col("customer_id") != F.col("customer_id2"))
         & (F.col("ts2") > F.col("ts"))
         & gap.between(*days)
@@ -111,7 +121,8 @@ def _is_circle(days, ratio, need_customer: bool) -> Column:
     return (
         (F.col("sender") == F.col("from_acct"))
         & (F.col("receiver") == F.col("recv_acct"))
-        & (F.col("block") == F.col("back_block"))
+        & (F.col("block") == F.col("block2"))
+        & (F.col("octave") == F.col("octave2"))
         & (F.col("in_time") > F.col("out_time"))
         & other
         & (F.col("in_day") - F.col("out_day")).between(*days)
@@ -121,8 +132,8 @@ def _is_circle(days, ratio, need_customer: bool) -> Column:
 
 def circular_flow_nb(g: DataFrame, min_amount=200000, days=(30, 365), ratio=(0.7, 1.3), mode="reference") -> DataFrame:
     """A's WIRE_OUT to B and the WIRE_IN that answers it: one row per pair of legs."""
-    out = _first_legs(_out_legs(g, min_amount), "out_day", days)
-    back = _answers(_back_legs(g, min_amount, mode), "in_day").withColumnRenamed("block", "back_block")
+    out = _first_legs(_out_legs(g, min_amount), "out_day", "out_amount", days, ratio)
+    back = _answers(_back_legs(g, min_amount, mode), "in_day", "in_amount")
     pairs = out.join(back, _is_circle(days, ratio, mode == "reference"))
     return pairs.select(
         *_OUT.values(), *_BACK.values(),
@@ -134,9 +145,9 @@ def circular_flow_nb(g: DataFrame, min_amount=200000, days=(30, 365), ratio=(0.7
 def circular_out_legs(g: DataFrame, min_amount=200000, days=(30, 365), ratio=(0.7, 1.3), mode="reference") -> DataFrame:
     """The outgoing legs that have an answer, once each. No pair is formed: a semi-join stops at the first
     answer, and answers that no leg can tell apart (same parties, day and amount) are merged beforehand."""
-    out = _first_legs(_out_legs(g, min_amount), "out_day", days)
-    back = _answers(_back_legs(g, min_amount, mode), "in_day").withColumnRenamed("block", "back_block")
-    back = back.groupBy("recv_acct", "recv_cust", "from_acct", "in_amount", "in_day", "back_block").agg(
+    out = _first_legs(_out_legs(g, min_amount), "out_day", "out_amount", days, ratio)
+    back = _answers(_back_legs(g, min_amount, mode), "in_day", "in_amount")
+    back = back.groupBy("recv_acct", "recv_cust", "from_acct", "in_amount", "in_day", "block2", "octave2").agg(
         F.max("in_time").alias("in_time"))
     found = out.join(back, _is_circle(days, ratio, mode == "reference"), "left_semi")
-    return found.drop("block", "out_day").dropDuplicates(["out_txn_id"])
+    return found.drop("block", "octave", "out_day").dropDuplicates(["out_txn_id"])

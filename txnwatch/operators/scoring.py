@@ -150,14 +150,18 @@ def normalise(raw: Column, low, high) -> Column:
     return (raw - low) / (high - low + 1e-9)
 
 
-def anomaly_score(x: DataFrame, nodes: DataFrame, sample: int = 256) -> DataFrame:
-    """Scores between 0 and 1 over the given rows (0.5 for a single row)."""
-    scored = raw_anomaly(x, nodes, sample)
+def normalise_rows(scored: DataFrame) -> DataFrame:
+    """``raw`` as a score between 0 and 1 over the given rows (0.5 for a single row). The rows are read twice:
+    store them first where scoring them costs much."""
     ends = scored.agg(F.struct(F.min("raw").alias("lo"), F.max("raw").alias("hi"), F.count(F.lit(1)).alias("n")).alias("s")).scalar()
     value = F.when(ends["n"] > 1, normalise(F.col("raw"), ends["lo"], ends["hi"])).otherwise(0.5)
     return scored.withColumn("anomaly_score", value).drop("raw")
 
 
+def anomaly_score(x: DataFrame, nodes: DataFrame, sample: int = 256) -> DataFrame:
+    return normalise_rows(raw_anomaly(x, nodes, sample))
+
+
 # ---- boosted trees -------------------------------------------------------------------------------------
 
 

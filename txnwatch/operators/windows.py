@@ -32,7 +32,9 @@ def _per_second(t: DataFrame) -> DataFrame:
     )
 
 
-def _frames(t: DataFrame, wanted: list[str]) -> DataFrame:
+def frames(t: DataFrame, wanted: list[str] | None = None) -> DataFrame:
+    """The rolling features per (account, second); the same-day count is that of earlier seconds."""
+    wanted = list(wanted or FEATURES)
     reach = WEEK if "txn_count_7d" in wanted else TWO_DAYS
     spread = spread_over_blocks(_per_second(t), "sec", BLOCK, before=reach)
     by_time = Window.partitionBy("account_id", "block").orderBy("sec")
@@ -52,18 +54,23 @@ def _frames(t: DataFrame, wanted: list[str]) -> DataFrame:
     )
 
 
-def window_features(t: DataFrame, wanted: list[str] | None = None) -> DataFrame:
-    """Silver rows plus the rolling features asked for (all six by default)."""
-    wanted = list(wanted or FEATURES)
+def attach(t: DataFrame, per_second: DataFrame) -> DataFrame:
+    """Rows with everything ``per_second`` holds for their account and second. This is the one shuffle of the
+    full rows, and (account, second) spreads even a single account over all tasks."""
     rows = t.withColumn("sec", F.unix_seconds("txn_timestamp"))
-    if "txn_count_same_day" in wanted:
+    counts_day = "txn_count_same_day" in per_second.columns
+    if counts_day:
         within = Window.partitionBy("account_id", "sec").orderBy("txn_timestamp", "txn_id")
-        counted = F.count("txn_id").over(within.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("_within", counted)
-    out = rows.join(_frames(t, wanted), ["account_id", "sec"])
-    if "txn_count_same_day" in wanted:
+        rows = rows.withColumn("_within", F.count("txn_id").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    out = rows.join(per_second, ["account_id", "sec"])
+    if counts_day:
         out = out.withColumn("txn_count_same_day", F.col("txn_count_same_day") + F.col("_within"))
-    return out.select(*t.columns, *wanted)
+    return out.select(*t.columns, *[c for c in per_second.columns if c not in ("account_id", "sec")])
+
+
+def window_features(t: DataFrame, wanted: list[str] | None = None) -> DataFrame:
+    """Silver rows plus the rolling features asked for (all six by default)."""
+    return attach(t, frames(t, wanted))
 
 
 def _single(name: str):

@@ -145,14 +145,17 @@ register("inv_reverse_trace", lambda t: inv.inv_reverse_trace(t.silver),
 
 
 def _pairs(t):
-    """The seed with each account it dealt with."""
+    """The seed with each other account that dealt with one of the seed's counterparties."""
     own = inv._seeded(t.silver, seed(t))
-    return own.select(F.col("account_id").alias("acct1"), F.col("counterparty_account").alias("acct2")).distinct()
+    parties = own.select("counterparty_account").distinct()
+    others = t.silver.join(parties, "counterparty_account", "left_semi").select(F.col("account_id").alias("acct2")).distinct()
+    first = seed(t).scalar()
+    return others.filter(F.col("acct2") != first).select(first.alias("acct1"), "acct2")
 
 
 register("inv_common_counterparties", lambda t: inv.inv_common_counterparties(t.silver, _pairs(t)),
-         f"""WITH pairs AS (SELECT DISTINCT account_id AS acct1, counterparty_account AS acct2 FROM silver
-            WHERE account_id IN {_own})
+         f"""WITH pairs AS (SELECT DISTINCT x.account_id AS acct1, y.account_id AS acct2 FROM silver x
+            JOIN silver y USING (counterparty_account) WHERE x.account_id IN {_own} AND y.account_id NOT IN {_own})
          SELECT a.counterparty_account, acct1, acct2, sum(a.amount) AS total1, sum(b.amount) AS total2
          FROM pairs JOIN silver a ON a.account_id = acct1 JOIN silver b ON b.account_id = acct2
          WHERE a.counterparty_account = b.counterparty_account GROUP BY 1, 2, 3""", total1=2, total2=2)

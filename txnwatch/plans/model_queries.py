@@ -82,8 +82,8 @@ register("eval_auc", lambda t: scoring.eval_auc(t.scores),
 
 # fitted models: no SQL twin
 register("anomaly_fit", lambda t: scoring.anomaly_fit(scoring.standard_scale(scoring.feature_matrix(t.gold))))
-register("anomaly_score", lambda t: scoring.anomaly_score(
-    t.model.scale(scoring.feature_matrix(t.gold)), t.model.nodes).select("txn_id", "anomaly_score"))
+register("anomaly_score", lambda t: scoring.normalise_rows(t.stored("raw", scoring.raw_anomaly(
+    t.model.scale(scoring.feature_matrix(t.gold)), t.model.nodes).select("txn_id", "raw"))))
 register("gbt_fit", lambda t: t.spark.createDataFrame(
     [(i, float(w), tree.numNodes) for i, (w, tree) in enumerate(zip(t.model.gbt.treeWeights, t.model.gbt.trees))],
     "round int, weight double, nodes int"))
