@@ -37,12 +37,14 @@ def matched_legs(t: DataFrame, max_gap_min: int = 120, as_of=None, lookback=None
         F.coalesce(F.sum("ins").over(behind), F.lit(0)).alias("ins_behind"),
     ).filter("own").drop("own")
 
-    same_minute = Window.partitionBy("account_id", "minute").orderBy("at")
-    later = same_minute.rangeBetween(1, Window.unboundedFollowing)
-    earlier = same_minute.rangeBetween(Window.unboundedPreceding, -1)
+    # running counts only: a frame that ends at the partition's end would be counted anew for every leg
+    same_minute = Window.partitionBy("account_id", "minute")
+    by_time = same_minute.orderBy("at")
+    until_now, before = by_time.rangeBetween(Window.unboundedPreceding, 0), by_time.rangeBetween(Window.unboundedPreceding, -1)
+    incoming, outgoing = F.col("incoming").cast("int"), (~F.col("incoming")).cast("int")
     legs = legs.withColumns({
-        "outs_now": F.coalesce(F.sum((~F.col("incoming")).cast("int")).over(later), F.lit(0)),
-        "ins_now": F.coalesce(F.sum(F.col("incoming").cast("int")).over(earlier), F.lit(0)),
+        "outs_now": F.sum(outgoing).over(same_minute) - F.sum(outgoing).over(until_now),
+        "ins_now": F.coalesce(F.sum(incoming).over(before), F.lit(0)),
     })
     met = legs.join(around, ["account_id", "minute"])
     into = F.col("incoming")

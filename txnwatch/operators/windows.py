@@ -1,10 +1,15 @@
 """Rolling features per account.
 
-Evaluating the frames on the rows themselves would sort a whole account in one task. Instead the rows are
-first reduced to one per (account, second), the finest step the frames can tell apart. Those are spread
-over 28-day blocks that overlap by the longest frame (7 days), so a task holds at most 35 days of seconds
-of an account whatever the account's share of the table, and the results are joined back by
-(account, second). Ties within a second count in the order (timestamp, txn_id).
+Evaluating the frames on the rows themselves would sort a whole account in one task and add up every frame
+anew for every row. Instead:
+
+* Rows are first reduced to one per (account, second), the finest step the frames can tell apart.
+* Those are spread over 28-day blocks that overlap by the longest frame (7 days), so a task holds at most 35
+  days of seconds of an account, whatever the account's share of the table.
+* Within a block each second enters a frame when it happens and leaves it one second after the frame's length.
+  A frame's value is then a running sum over entries and exits: one pass, however long the frame. Sums of
+  money run over exact decimals, so that what enters leaves without a trace.
+* Results are joined back by (account, second). Ties within a second count in the order (timestamp, txn_id).
 """
 
 from __future__ import annotations
@@ -23,34 +28,59 @@ FEATURES = [
 ]
 
 
+# What each feature adds up, and how long a second stays in its frame.
+FRAMES = {
+    "txn_count_7d": ("n", WEEK),
+    "txn_count_1h": ("n", HOUR),
+    "amount_sum_1h": ("amount", HOUR),
+    "cash_dep_count_48h": ("cash_n", TWO_DAYS),
+    "cash_sum_48h": ("cash_amount", TWO_DAYS),
+}
+MONEY = "decimal(28,10)"
+
+
 def _per_second(t: DataFrame) -> DataFrame:
+    amount = F.col("amount").try_cast(MONEY)
     return t.groupBy("account_id", F.unix_seconds("txn_timestamp").alias("sec")).agg(
         F.count("txn_id").alias("n"),
-        F.sum("amount").alias("amount"),
-        F.sum("is_cash").alias("cash_n"),
-        F.sum(F.when(F.col("is_cash") == 1, F.col("amount")).otherwise(0.0)).alias("cash_amount"),
+        F.coalesce(F.sum(amount), F.lit(0)).alias("amount"),
+        F.coalesce(F.sum("is_cash"), F.lit(0)).alias("cash_n"),
+        F.coalesce(F.sum(F.when(F.col("is_cash") == 1, amount)), F.lit(0)).alias("cash_amount"),
     )
 
 
 def frames(t: DataFrame, wanted: list[str] | None = None) -> DataFrame:
     """The rolling features per (account, second); the same-day count is that of earlier seconds."""
     wanted = list(wanted or FEATURES)
-    reach = WEEK if "txn_count_7d" in wanted else TWO_DAYS
-    spread = spread_over_blocks(_per_second(t), "sec", BLOCK, before=reach)
-    by_time = Window.partitionBy("account_id", "block").orderBy("sec")
+    rolling = {name: FRAMES[name] for name in wanted if name in FRAMES}
+    lengths = sorted({length for _, length in rolling.values()})
+    values = sorted({value for value, _ in rolling.values()})
+    spread = spread_over_blocks(_per_second(t), "sec", BLOCK, before=max(lengths, default=0))
     same_day = Window.partitionBy("account_id", "block", floor_div(F.col("sec"), DAY)).orderBy("sec")
-    built = {
-        "txn_count_same_day": F.coalesce(
-            F.sum("n").over(same_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "txn_count_7d": F.sum("n").over(by_time.rangeBetween(-WEEK, 0)),
-        "txn_count_1h": F.sum("n").over(by_time.rangeBetween(-HOUR, 0)),
-        "amount_sum_1h": F.sum("amount").over(by_time.rangeBetween(-HOUR, 0)),
-        "cash_dep_count_48h": F.sum("cash_n").over(by_time.rangeBetween(-TWO_DAYS, 0)),
-        "cash_sum_48h": F.sum("cash_amount").over(by_time.rangeBetween(-TWO_DAYS, 0)),
-    }
+    earlier = F.sum("n").over(same_day.rowsBetween(Window.unboundedPreceding, -1))
+    spread = spread.select("account_id", "block", "sec", "own", *values, *(
+        [F.coalesce(earlier, F.lit(0)).alias("txn_count_same_day")] if "txn_count_same_day" in wanted else []))
+    if not rolling:
+        return spread.filter("own").select("account_id", "sec", *wanted)
+
+    # `leaves` is 0 where a second enters and the frame's length where it leaves that frame
+    moments = F.array(
+        F.struct(F.col("sec").alias("at"), F.lit(0).alias("leaves")),
+        *[F.struct((F.col("sec") + (length + 1)).alias("at"), F.lit(length).alias("leaves")) for length in lengths])
+    moves = spread.withColumn("moment", F.explode(moments)).select("*", "moment.*").drop("moment").filter(
+        F.col("at") < (F.col("block") + 1) * BLOCK)
+    running = Window.partitionBy("account_id", "block").orderBy("at", F.desc("leaves")).rowsBetween(
+        Window.unboundedPreceding, 0)
+
+    def total(value: str, length: int):
+        change = F.when(F.col("leaves") == 0, F.col(value)).when(F.col("leaves") == length, -F.col(value)).otherwise(0)
+        summed = F.sum(change).over(running)
+        return summed.cast("double") if value.endswith("amount") else summed
+
+    built = {name: total(*spec) for name, spec in rolling.items()}
     return (
-        spread.select("account_id", "sec", "own", *[built[w].alias(w) for w in wanted])
-        .filter("own").drop("own")
+        moves.select("account_id", "sec", "own", "leaves", *[built.get(w, F.col(w)).alias(w) for w in wanted])
+        .filter("own and leaves = 0").drop("own", "leaves")
     )
 
 
