@@ -50,3 +50,9 @@ def test_day_lookback_prunes_partitions(spark, sf_dir):
 
     df = rules.rule_cash_intensive(tables(spark, sf_dir).silver, as_of="2024-06-01 00:00:00", lookback="24 hours")
     assert re.search(r"PartitionFilters: \[[^\]]*txn_date", plan(df))
+
+
+def test_rolling_sums_run_once_over_their_rows(spark, sf_dir):
+    """A frame that slides is added up anew for each row; only running frames may be used for days and weeks."""
+    text = plan(RUNS["gold_features"](spark, sf_dir))
+    assert not re.search(r"RangeFrame, -\d", text)

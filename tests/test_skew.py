@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from txnwatch.operators import circular, cleaning, investigate, layering, windows
 
 from .frames import silver, transactions
@@ -123,3 +125,21 @@ def test_row_order_does_not_matter(skewed):
     a = sorted(map(tuple, windows.window_features(skewed).select(names).collect()))
     b = sorted(map(tuple, windows.window_features(shuffled).select(names).collect()))
     assert a == b
+
+
+def test_long_frames_of_one_busy_account(spark):
+    """200 000 consecutive seconds of one account. Adding up every frame anew would take 10^10 steps."""
+    n = 200000
+    rows = spark.range(n).select(
+        F.format_string("T%07d", "id").alias("txn_id"), F.lit("HOT").alias("account_id"), F.lit(0.1).alias("amount"),
+        F.lit(1).alias("is_cash"), F.timestamp_seconds(F.lit(1709251200) + F.col("id")).alias("txn_timestamp"))
+    got = windows.window_features(rows).withColumn("i", F.col("txn_id").substr(2, 7).cast("long"))
+    inside = lambda seconds: F.least(F.col("i") + 1, F.lit(seconds + 1))
+    wrong = got.filter(
+        (F.col("txn_count_7d") != F.col("i") + 1)
+        | (F.col("txn_count_1h") != inside(3600))
+        | (F.col("cash_dep_count_48h") != inside(172800))
+        | (F.abs(F.col("amount_sum_1h") - inside(3600) * 0.1) > 1e-6)
+        | (F.abs(F.col("cash_sum_48h") - inside(172800) * 0.1) > 1e-6)
+        | (F.col("txn_count_same_day") != F.col("i") % 86400 + 1))
+    assert got.count() == n and wrong.count() == 0

@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot leaves methods over 8000 bytes uncompiled; below that Spark splits wide projections instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _scratch: dict[str, str] = {}

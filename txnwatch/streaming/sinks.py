@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..sources.tables import write_table
+
 
 def run_batches(
     stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
@@ -23,10 +25,7 @@ def run_batches(
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: str | None = None) -> None:
-    writer = batch.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    write_table(batch, f"{path}/batch_id={batch_id}", partition_by=partition_by)
 
 
 def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
