@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed import DEFAULT_CURRENCY, HIGH_RISK_COUNTRIES
-from ..functions.columns import interval, is_night
+from ..functions.columns import as_of_column, interval, is_night
 
 NEAR_THRESHOLD = (8000, 9999)
 
@@ -73,6 +73,4 @@ def label_distribution(t: DataFrame) -> DataFrame:
 
 def retention_prune(t: DataFrame, days: int = 90, as_of=None) -> DataFrame:
     """Keep the rows inside the retention window."""
-    from ..functions.columns import as_of_column
-
     return t.filter(F.col("timestamp") > as_of_column(t, "timestamp", as_of) - interval(f"{days} days"))
