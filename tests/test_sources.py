@@ -85,3 +85,10 @@ def test_network_counts_either_side(spark):
     seed = spark.createDataFrame([("S",)], "account_id string")
     assert rows(investigate.inv_network(t, f, seed), "account_id", "counterparty_account") == [
         ("A", "Z"), ("Q", "S"), ("S", "A"), ("Y", "Q")]
+
+
+def test_shared_folder_is_asked_for_off_local_masters():
+    from txnwatch.session import is_local
+
+    assert [is_local(m) for m in ("local", "local[8]", "local[*]", "local-cluster[3,2,1024]", "yarn", "k8s://x")] == [
+        True, True, True, False, False, False]

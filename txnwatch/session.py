@@ -15,9 +15,10 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HotSpot leaves methods over 8000 bytes uncompiled; below that Spark splits wide projections instead
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# HotSpot leaves methods over 8000 bytes uncompiled; below that Spark splits wide projections instead. It holds for
+# sessions built here, a caller's own session keeps its limit.
+OWN_SESSION = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 _scratch: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -32,7 +33,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
     )
-    for key, value in {**RUNTIME, **conf}.items():
+    for key, value in {**RUNTIME, **OWN_SESSION, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,16 +65,23 @@ def _package_archive() -> str:
     return archive
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` starts executors of their own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A folder of this application's own inside the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster. Where it is unset (tests,
-    local runs) a temporary folder stands in for it and becomes the checkpoint folder.
+    ``spark.checkpoint.dir`` names the shared folder on a cluster. Where it is unset, a temporary folder
+    stands in for it under a local master only; executors on other machines could not see that folder.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
+            if not is_local(spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             shared = tempfile.mkdtemp(prefix="txnwatch-")
             spark.sparkContext.setCheckpointDir(f"{shared}/checkpoints")
         _scratch[app] = f"{shared.rstrip('/')}/txnwatch-{app}"
