@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, sharding
+from . import chat_format, exact_dedup, quality_rules, sharding, substring_dedup
 from .common import table
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -32,6 +32,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).drop("grp")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(F.col("__id").alias("doc_id"), *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("__id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 OP2_SQL = r"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -73,8 +83,10 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
+    "op5_quality_rules": op5_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_sharding": op8_sharding,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL}
 
