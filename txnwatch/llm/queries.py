@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, quality_rules, sharding, substring_dedup
+from . import chat_format, exact_dedup, packing, quality_rules, sharding, substring_dedup, token_output
 from .common import table
 
-SPACES = r"[\x20\x09-\x0D]+"
+
+def tokenizer() -> str:
+    """The public vocabulary the contracts name; its place is the installed package's."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +33,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__sha").alias("text_sha256"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = token_output.write_token_files(table(spark, sf_dir, "documents"), tokenizer())
+    return token_output.read_token_files(spark, path).select(F.col("__id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).drop("grp")
 
@@ -42,6 +52,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("__id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer()).withColumnRenamed("__id", "doc_id")
+
+
 OP2_SQL = r"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -85,8 +99,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_files": op7_token_files,
     "op8_sharding": op8_sharding,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_packing": op10_packing,
 }
 SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL}
 

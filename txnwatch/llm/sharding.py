@@ -58,13 +58,13 @@ def propagate(groups: DataFrame, n_rows: int, shards: int, rounds: int) -> DataF
     return state
 
 
-def ranked(rows: DataFrame, keys: list[str], cell_rows: int, n_rows: int, order: list[str]) -> DataFrame:
-    """``rows`` with ``position``: their place, from 0, in the order of ``keys``, within equal keys by hash.
+def ranked(rows: DataFrame, keys: list[str], cells: Column, order: list[str]) -> DataFrame:
+    """``rows`` with ``rank``, their place from 0 among rows of equal keys, and ``position``, their place in the order of
+    ``keys``.
 
-    Rows are counted in cells of a hash within each key, the cells' counts are summed up in order, and only the rank
-    within a cell needs its rows together."""
-    cells = groups_for(n_rows, cell_rows)
-    celled = rows.withColumn("cell", F.pmod(F.xxhash64(*order), F.lit(cells)).cast("int"))
+    ``cells`` tells into how many cells, by a hash of ``order``, the rows of a key are dealt. The cells' counts are summed
+    up in order, and only the rank within a cell needs its rows together. The keys have few values."""
+    celled = rows.withColumn("cell", F.pmod(F.xxhash64(*order), cells).cast("int"))
     counts = celled.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("c"))
     blocks = counts.groupBy(*keys).agg(F.sum("c").alias("t"))
     above = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -72,8 +72,8 @@ def ranked(rows: DataFrame, keys: list[str], cell_rows: int, n_rows: int, order:
     within = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("skip", F.coalesce(F.sum("c").over(within), F.lit(0))).drop("c").join(blocks, keys)
     own = Window.partitionBy(*keys, "cell").orderBy(*order)
-    return celled.withColumn("rank", F.row_number().over(own) - 1).join(counts, [*keys, "cell"]).withColumn(
-        "position", F.col("base") + F.col("skip") + F.col("rank")).drop("rank", "base", "skip", "cell")
+    return celled.withColumn("n", F.row_number().over(own) - 1).join(counts, [*keys, "cell"]).withColumns({
+        "rank": F.col("skip") + F.col("n"), "position": F.col("base") + F.col("skip") + F.col("n")}).drop("n", "base", "skip", "cell")
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6, id_col: str = "doc_id", text_col: str = "text",
@@ -113,7 +113,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6, id_col: s
     labelled = nodes.join(parts, "grp", "left").select(
         "doc", "size", "crc", "uid", "grp", F.coalesce(mine, alone).cast("int").alias("label"),
         F.when(F.col("tops").isNotNull(), 1).when(unit("uid", F.lit(9)) < 0.5, 0).otherwise(2).alias("section"))
-    laid = ranked(labelled, ["label", "section"], cell_rows, n_rows, ["grp", "uid"])
+    laid = ranked(labelled, ["label", "section"], F.lit(groups_for(n_rows, cell_rows)), ["grp", "uid"])
     small, larger = divmod(n_rows, shards)
     border = larger * (small + 1)
     pos = F.col("position")
