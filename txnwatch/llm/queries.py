@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, packing, quality_rules, sharding, substring_dedup, token_output
+from . import chat_format, exact_dedup, near_dedup, packing, quality_rules, sharding, substring_dedup, token_output
 from .common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("__id").alias("doc_id"), "class_id", "copy_id", "n_copies", "kept")
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are control strings, formatted and read back."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -96,6 +101,7 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_chat_format": op2_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
