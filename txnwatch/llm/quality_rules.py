@@ -223,3 +223,21 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     stats = staged(document_statistics(docs, id_col, text_col), "quality")
     return judge(stats, fit(stats, labels, label_rows, price))
+
+
+def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_rows: int = 20_000,
+              price: float = 20.0) -> DataFrame:
+    """``docs`` without the documents that ``quality_verdicts`` rejects. The verdict hangs on the text alone, so rows are
+    filtered where they are read and no text moves; only labelled rows are looked at before."""
+    known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
+    model = fit(staged(document_statistics(docs.join(known, id_col, "left_semi"), id_col, text_col), "quality"), labels,
+                label_rows, price)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def keep(texts: pd.Series) -> pd.Series:
+        s = pd.DataFrame([statistics(t) for t in texts], columns=COUNTS + EXTRA)
+        failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
+        return pd.Series(~failed.to_numpy(bool) & shared.value.keep(features(s)))
+
+    return docs.where(keep(F.col(text_col)))

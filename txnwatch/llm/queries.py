@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, near_dedup, packing, quality_rules, sharding, substring_dedup, token_output
+import corpus_pipeline
+
+from . import chat_format, exact_dedup, near_dedup, packing, quality_rules, sharding, source_mixing, substring_dedup, token_output, url_filter
 from .common import table
 
 
@@ -47,6 +49,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).drop("grp")
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = source_mixing.mix_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    p = [F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(source_mixing.DOMAINS)]
+    return out.select(F.col("__id").alias("doc_id"), "tokens", *p, "rate", "copies")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(F.col("__id").alias("doc_id"), *quality_rules.COUNTS, "base_failed", "kept")
@@ -103,12 +115,15 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_source_mixing": op3_source_mixing,
+    "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_files": op7_token_files,
     "op8_sharding": op8_sharding,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL}
 

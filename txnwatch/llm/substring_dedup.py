@@ -52,19 +52,24 @@ class Words:
         self.offsets = np.concatenate([[0], np.searchsorted(self.starts, kept[at])]).astype(np.int64)  # of texts, in words
         self.counts = np.diff(self.offsets)
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of every window inside one text: first word, text, hash."""
-        per = np.maximum(self.counts - width + 1, 0)
-        text = np.repeat(np.arange(len(per)), per)
-        first = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + self.offsets[:-1][text]
+    def hashes(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Rabin-Karp hash of the words from ``first`` up to ``end`` (word numbers)."""
         values = BYTE_VALUES[self.bytes] * powers(BASE, len(self.bytes))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        a, b = self.starts[first], self.starts[first + width]
+        a, b = self.starts[first], self.starts[end]
         h = (sums[b] - sums[a]) * powers(INVERSE, len(self.bytes) + 1)[a]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
-        return first, text, h
+        return h
+
+    def windows(self, width: int, short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every window inside one text: first word, text, hash. ``short``: a text with fewer words than a window has
+        all its words as one window."""
+        per = np.maximum(self.counts - width + 1, np.minimum(self.counts, 1) if short else 0)
+        text = np.repeat(np.arange(len(per)), per)
+        first = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + self.offsets[:-1][text]
+        return first, text, self.hashes(first, np.minimum(first + width, self.offsets[1:][text]))
 
     def without(self, removed: np.ndarray) -> list[bytes]:
         """The words of each text that are not removed, joined by one space."""
