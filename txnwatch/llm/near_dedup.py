@@ -15,17 +15,15 @@ a bucket of one class costs a row per text only.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged
+from .common import normal, staged
 from .substring_dedup import Words
 
 REGISTERS, ROWS = 140, 5
-PSEUDO = 1 << 62  # stand-ins for texts none of whose rows has an id lie above all ids
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -35,16 +33,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def weighted_shingles(texts: list[str | None], width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
-    """Text, hash and number of occurrences of each distinct shingle, by text and hash, and the lower-cased words."""
-    words = Words([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts])
+def weighted_shingles(texts: list[str | None], width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash and number of occurrences of each distinct shingle, by text and hash."""
+    words = Words([(t or "").encode("utf-8", "surrogatepass") for t in texts])
     _, text, h = words.windows(width, short=True)
     order = np.lexsort((h, text))
     text, h = text[order], h[order]
     lead = np.ones(len(h), bool)
     lead[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(lead)
-    return text[at], h[at], np.diff(np.append(at, len(h))), words
+    return text[at], h[at], np.diff(np.append(at, len(h)))
 
 
 def signatures(n: int, text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
@@ -107,33 +105,37 @@ def _chunks(batches: Iterator, size: int = 2 << 20) -> Iterator:
                 lo, total = k + 1, 0
 
 
+def worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """__id, copy (digest of the lower-cased words, null without words) and those words."""
+    words = F.trim(F.lower(normal(F.col(text_col))))
+    return docs.select(F.col(id_col).cast("long").alias("__id"), words.alias("words")).select(
+        "__id", F.when(F.col("words") != "", F.md5("words")).alias("copy"), "words")
+
+
 def signed_texts(rows: DataFrame, width: int = 5) -> DataFrame:
-    """``rows``: __uid, __id, text. Per row: its digest ``copy``, the signature in 16 bits a register, and band keys."""
+    """``rows``: __id, copy, words. Per row: the signature in 16 bits a register, and band keys."""
     def sign(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch, texts in _chunks(batches):
-            text, h, n, words = weighted_shingles(texts, width)
-            full = signatures(len(texts), text, h, n)
-            raw, cuts = words.bytes.tobytes(), words.starts[words.offsets].tolist()
-            copy = [hashlib.blake2b(raw[a:b], digest_size=16).hexdigest() if b > a else None for a, b in zip(cuts, cuts[1:])]
+            full = signatures(len(texts), *weighted_shingles(texts, width))
             short = (_mix(full) & np.uint64(0xFFFF)).astype("<u2")
             bands = band_keys(full).view(np.int64)
             offsets = pa.array(np.arange(len(texts) + 1) * bands.shape[1], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(copy, pa.string()), pa.array([s.tobytes() for s in short], pa.binary()),
-                 pa.ListArray.from_arrays(offsets, pa.array(bands.ravel(), pa.int64()))], ["uid", "id", "copy", "sign", "bands"])
+                [batch.column(0), batch.column(1), pa.array([s.tobytes() for s in short], pa.binary()),
+                 pa.ListArray.from_arrays(offsets, pa.array(bands.ravel(), pa.int64()))], ["id", "copy", "sign", "bands"])
 
-    return rows.mapInArrow(sign, "uid long, id long, copy string, sign binary, bands array<long>")
+    return rows.mapInArrow(sign, "id long, copy string, sign binary, bands array<long>")
 
 
 def shingle_sets(rows: DataFrame, width: int = 5) -> DataFrame:
-    """``rows``: node, text. The sorted shingle hashes and their counts as binaries."""
+    """``rows``: node, words. The sorted shingle hashes and their counts as binaries."""
     def collect(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch, texts in _chunks(batches):
-            text, h, n, _ = weighted_shingles(texts, width)
+            text, h, n = weighted_shingles(texts, width)
             cuts = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
@@ -170,7 +172,7 @@ def verified(pairs: DataFrame, signs: DataFrame, sets: DataFrame, threshold: flo
 
 
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (node, label) after the classes that ``links`` (a, b) join are one; a label is its class's least node."""
+    """``labels`` (node, label) after the classes that ``links`` (a, b) join are one; a label is one of its class's nodes."""
     name = lambda df, k: df.select(F.col("node").alias(k), F.col("label").alias(f"l{k}"))
     edges = links.join(name(labels, "a"), "a").join(name(labels, "b"), "b").where("la != lb").select("la", "lb")
     edges = staged(edges.union(edges.select("lb", "la")).distinct(), "edges")
@@ -190,22 +192,20 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
                     slack: float = 0.2) -> DataFrame:
-    """One row per document: ``__uid``, ``__id``, class_id (least id of its class), copy_id (least id with the same words),
+    """One row per document: ``__id``, copy (digest of its words), class_id (least id of its class), copy_id (least id with the same words),
     n_copies, ``kept`` (true for one row of each class).
 
     Words are lower-cased; a text of fewer than ``width`` words is one shingle of all its words. Texts without words,
     null ones too, are like no other: each is kept, as a class of its own. Ids are whole numbers; a row without an id
     joins a class like others and is kept only where no row of the class has an id. Of rows repeated with id and words
-    one is kept. No documents give no rows. Other columns are not read. ``__uid`` numbers the rows of ``docs``.
+    one is kept. An id may stand for several texts. No documents give no rows. Other columns are not read.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("__uid"), F.col(id_col).cast("long").alias("__id"), F.col(text_col))
-    signed = staged(signed_texts(rows, width), "signed")
+    rows = worded(docs, id_col, text_col)
+    signed = staged(signed_texts(rows, width).withColumn("uid", F.monotonically_increasing_id()), "signed")
     texts = signed.where("copy is not null").groupBy("copy").agg(
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("n_copies"), F.first("sign").alias("sign"), F.first("bands").alias("bands"),
+        F.count(F.lit(1)).alias("n_copies"), F.first("sign").alias("sign"), F.first("bands").alias("bands"),
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first"))
-    stand_in = F.lit(PSEUDO) + F.shiftrightunsigned(F.xxhash64("copy"), 3)
-    texts = staged(texts.select("copy", F.coalesce("least", stand_in).alias("node"), "n_copies", "sign", "bands",
-                                F.col("first.uid").alias("first_uid")), "texts")
+    texts = staged(texts.withColumn("node", F.col("first.uid")), "texts")  # ids may be null or stand for several texts
 
     keyed = texts.select(F.explode("bands").alias("key"), "node")
     full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("all")).where("n > 1")
@@ -215,8 +215,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, id_
     members = staged(buckets.select("node").distinct(), "members")
     labels = staged(members.select("node", F.col("node").alias("label")), "labels")
     signs = staged(texts.join(members, "node").select("node", "sign"), "signs")
-    uids = texts.join(members, "node", "left_semi").select(F.col("first_uid").alias("__uid"), "node")
-    sets = staged(shingle_sets(rows.join(uids, "__uid").select("node", text_col), width), "sets")
+    # from the texts again: of each member one row, found by id and words
+    wanted = texts.join(members, "node", "left_semi").select(F.col("copy").alias("c"), F.col("first.id").alias("i"), "node")
+    again = rows.join(wanted, (F.col("copy") == F.col("c")) & F.col("__id").eqNullSafe(F.col("i"))).select("node", "words")
+    sets = staged(shingle_sets(again.dropDuplicates(["node"]), width), "sets")
 
     centres, turn = 1, 0
     while True:
@@ -240,18 +242,23 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, id_
         buckets = staged(held.where(~chosen).select("key", "node"), "buckets")
         centres, turn = centres * 8, turn + 1
 
-    found = texts.join(labels, "node", "left").select(
-        "copy", "node", "n_copies", "first_uid", F.coalesce("label", "node").alias("label"))
-    real = lambda c: F.when(F.col(c) < PSEUDO, F.col(c))
-    worded = signed.where("copy is not null").select("uid", "id", "copy").join(found, "copy").select(
-        "uid", "id", real("label").alias("class_id"), real("node").alias("copy_id"), "n_copies",
-        ((F.col("node") == F.col("label")) & (F.col("uid") == F.col("first_uid"))).alias("kept"))
+    found = texts.join(labels, "node", "left").select("copy", "n_copies", "first", F.coalesce("label", "node").alias("label"))
+    best = found.groupBy("label").agg(F.min("first").alias("best"))
+    judged = signed.where("copy is not null").select("uid", "id", "copy").join(found, "copy").join(best, "label").select(
+        "id", "copy", F.col("best.id").alias("class_id"), F.col("first.id").alias("copy_id"), "n_copies",
+        (F.col("uid") == F.col("best.uid")).alias("kept"))
     empty = signed.where("copy is null").select(
-        "uid", "id", F.col("id").alias("class_id"), F.col("id").alias("copy_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("kept"))
-    return worded.unionByName(empty).withColumnsRenamed({"uid": "__uid", "id": "__id"})
-
-
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each class left."""
-    kept = near_duplicates(docs, **options).where("kept").select("__uid")
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(kept, "__uid", "left_semi").drop("__uid")
+        "id", "copy", F.col("id").alias("class_id"), F.col("id").alias("copy_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("kept"))
+    return judged.unionByName(empty).withColumnsRenamed({"id": "__id"})
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class left, and all documents without words."""
+    found = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("copy is not null"), "near")
+    words = F.trim(F.lower(normal(F.col(text_col))))
+    kept = found.where("kept").select(F.col("copy").alias("__c"), F.col("__id").alias("__i"))
+    rows = docs.withColumn("__copy", F.when(words != "", F.md5(words)))
+    left = rows.join(kept, (F.col("__copy") == F.col("__c")) & F.col(id_col).eqNullSafe(F.col("__i")), "left_semi")
+    if found.groupBy("__id", "copy").count().where("count > 1").limit(1).count():
+        left = left.dropDuplicates(["__copy", id_col])
+    return left.unionByName(rows.where("__copy is null")).drop("__copy")

@@ -33,6 +33,10 @@ def domain(quality, toxic):
     return F.when(toxic == 1, 2.0).when(quality == 0, 1.0).when(quality == 1, 0.0)
 
 
+def key_of(text_col: str):
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def featured(rows: DataFrame, text_col: str = "text", width: int = 1 << 15) -> DataFrame:
     """``rows`` with ``__features``: which hashed words occur, and shares of symbols, capitals and repeated words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -48,7 +52,7 @@ def featured(rows: DataFrame, text_col: str = "text", width: int = 1 << 15) -> D
 
 
 def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_rows: int = 10_000) -> DataFrame:
-    """``rows`` (with ``__uid``) as ``__uid``, ``__id``, ``tokens`` and ``p``, the posterior over DOMAINS.
+    """``rows`` as ``__id``, ``__key`` (digest of the text), ``tokens`` and ``p``, the posterior over DOMAINS.
 
     The classifier is fitted on at most ``label_rows`` labelled rows, chosen by a hash of their ids. A domain without
     labelled rows gets no weight; with less than two domains in the labels every document is wholly of the one that is
@@ -59,16 +63,16 @@ def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
         known, F.col("__id") == known["doc_id"]).drop("doc_id").orderBy(F.xxhash64("__id"), "__id").limit(label_rows)
     train = staged(train, "labelled")
     seen = sorted(int(r["__label"]) for r in train.select("__label").distinct().collect())
-    base = rows.select("__uid", F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).withColumn(
+    base = rows.select(F.col(id_col).alias("__id"), key_of(text_col).alias("__key"), F.col(text_col).alias("__text")).withColumn(
         "tokens", F.regexp_count(F.coalesce("__text", F.lit("")), F.lit(WORD)).cast("long"))
     if len(seen) < 2:
         sure = F.array(*[F.lit(1.0 if k == (seen or [0])[0] else 0.0) for k in range(len(DOMAINS))])
-        return base.select("__uid", "__id", "tokens", sure.alias("p"))
+        return base.select("__id", "__key", "tokens", sure.alias("p"))
     model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0005, maxIter=25,
                                probabilityCol="__p").fit(featured(train, "__text"))
     given = vector_to_array("__p")
     p = F.array(*[F.coalesce(F.get(given, k), F.lit(0.0)) for k in range(len(DOMAINS))])
-    return model.transform(featured(base, "__text")).select("__uid", "__id", "tokens", p.alias("p"))
+    return model.transform(featured(base, "__text")).select("__id", "__key", "tokens", p.alias("p"))
 
 
 def step(x: np.ndarray, y: np.ndarray, p: np.ndarray, pull: np.ndarray, rate: float, ridge: float, momentum: float):
@@ -134,24 +138,24 @@ def _matrix(column) -> np.ndarray:
 
 def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, epochs: float = 1.1,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``__uid``, ``__id``, tokens, p, rate, copies.
+    """One row per document: ``__id``, ``__key`` (digest of its text), tokens, p, rate, copies.
 
     ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the rate. ``epochs`` is the wanted
     token total as a multiple of the given one. Null and empty texts have no tokens and weigh nothing in the fit; they get
     the rate of their posterior. Null ids and repeated rows are fitted like others; labels without a usable value or of
-    unknown documents are left out, of several labels of an id the worst counts. No documents give no rows. Other columns
-    are not read. ``__uid`` numbers the rows of ``docs``.
+    unknown documents are left out, of several labels of an id the worst counts. Rows repeated with id and text have equal copies.
+    No documents give no rows. Other columns are not read.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("__uid"), F.col(id_col), F.col(text_col))
-    soft = staged(posteriors(rows, labels, id_col, text_col), "posteriors")
+    soft = staged(posteriors(docs.select(id_col, text_col), labels, id_col, text_col), "posteriors")
     fitted = fit_rates(soft, targets or TARGETS, epochs)
-    unit = F.pmod(F.xxhash64("__id", "__uid"), F.lit(1 << 40)) / float(1 << 40)
+    unit = F.pmod(F.xxhash64("__id", "__key"), F.lit(1 << 40)) / float(1 << 40)
     return fitted.withColumn("copies", F.floor(F.col("rate") + unit).cast("long"))
 
 
-def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every document as many times as its copies."""
-    taken = mix_rates(docs, labels, **options).where("copies > 0").select("__uid", F.col("copies").alias("__copies"))
-    names = docs.columns
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(taken, "__uid").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*names)
+    rates = mix_rates(docs, labels, id_col=id_col, text_col=text_col, **options)
+    taken = rates.where("copies > 0").groupBy(F.col("__key").alias("__k"), F.col("__id").alias("__i")).agg(F.max("copies").alias("__copies"))
+    rows = docs.withColumn("__key", key_of(text_col))
+    return rows.join(taken, (F.col("__key") == F.col("__k")) & F.col(id_col).eqNullSafe(F.col("__i"))).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
