@@ -68,7 +68,7 @@ def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     if len(seen) < 2:
         sure = F.array(*[F.lit(1.0 if k == (seen or [0])[0] else 0.0) for k in range(len(DOMAINS))])
         return base.select("__id", "__key", "tokens", sure.alias("p"))
-    model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0005, maxIter=25,
+    model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0001, standardization=False, maxIter=40,
                                probabilityCol="__p").fit(featured(train, "__text"))
     given = vector_to_array("__p")
     p = F.array(*[F.coalesce(F.get(given, k), F.lit(0.0)) for k in range(len(DOMAINS))])
