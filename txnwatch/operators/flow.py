@@ -6,28 +6,45 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..fixed import MONEY_IN, MONEY_OUT
 
+IN_SIDE = ["total_in", "last_in", "distinct_senders"]
+OUT_SIDE = ["total_out", "first_out_after", "distinct_receivers"]
+ZERO_IF_NONE = ["total_in", "total_out", "distinct_senders", "distinct_receivers"]
 
-def flow_inflow(t: DataFrame) -> DataFrame:
-    return t.filter(F.col("txn_type").isin(MONEY_IN)).groupBy("account_id").agg(
-        F.sum("amount").alias("total_in"),
-        F.max("txn_timestamp").alias("last_in"),
-        F.count_distinct("counterparty_account").alias("distinct_senders"),
+
+def _per_account(t: DataFrame) -> DataFrame:
+    """Both directions in one scan, and whether an account has any. Rows are first reduced to one per (account, direction,
+    counterparty), which makes distinct counts plain counts and keeps a busy account spread over many tasks."""
+    incoming = F.col("txn_type").isin(MONEY_IN)
+    per_party = (
+        t.filter(F.col("txn_type").isin(MONEY_IN + MONEY_OUT))
+        .groupBy("account_id", incoming.alias("incoming"), "counterparty_account")
+        .agg(F.sum("amount").alias("amount"), F.max("txn_timestamp").alias("last"), F.min("txn_timestamp").alias("first"))
     )
+    into, out, party = F.col("incoming"), ~F.col("incoming"), F.col("counterparty_account").isNotNull()
+    return per_party.groupBy("account_id").agg(
+        F.sum(F.when(into, F.col("amount"))).alias("total_in"),
+        F.max(F.when(into, F.col("last"))).alias("last_in"),
+        F.count_if(into & party).alias("distinct_senders"),
+        F.sum(F.when(out, F.col("amount"))).alias("total_out"),
+        F.min(F.when(out, F.col("first"))).alias("first_out_after"),
+        F.count_if(out & party).alias("distinct_receivers"),
+        F.bool_or(into).alias("receives"), F.bool_or(out).alias("sends"),
+    )
+
+
+def flow_inflow(t: DataFrame) -> DataFrame:
+    """What came in, for accounts that received anything."""
+    return _per_account(t).filter("receives").select("account_id", *IN_SIDE)
 
 
 def flow_outflow(t: DataFrame) -> DataFrame:
-    return t.filter(F.col("txn_type").isin(MONEY_OUT)).groupBy("account_id").agg(
-        F.sum("amount").alias("total_out"),
-        F.min("txn_timestamp").alias("first_out_after"),
-        F.count_distinct("counterparty_account").alias("distinct_receivers"),
-    )
+    """What went out, for accounts that sent anything."""
+    return _per_account(t).filter("sends").select("account_id", *OUT_SIDE)
 
 
-def flow_join(inflow: DataFrame, outflow: DataFrame) -> DataFrame:
-    """Full outer join of both sides, missing sums and counts as 0."""
-    return inflow.join(outflow, "account_id", "full_outer").na.fill(
-        0, ["total_in", "total_out", "distinct_senders", "distinct_receivers"]
-    )
+def flow_join(t: DataFrame) -> DataFrame:
+    """Both sides of every account that has one; missing sums and counts are 0."""
+    return _per_account(t).select("account_id", *IN_SIDE, *OUT_SIDE).na.fill(0, ZERO_IF_NONE)
 
 
 def _flow_ratios(flow: DataFrame) -> DataFrame:
@@ -39,25 +56,7 @@ def _flow_ratios(flow: DataFrame) -> DataFrame:
 
 
 def flow_features(t: DataFrame) -> DataFrame:
-    """Both sides in one scan: rows are first reduced to one per (account, direction, counterparty), which
-    also makes the distinct counts plain counts and keeps a busy account spread over many tasks."""
-    incoming = F.col("txn_type").isin(MONEY_IN)
-    per_party = (
-        t.filter(F.col("txn_type").isin(MONEY_IN + MONEY_OUT))
-        .groupBy("account_id", incoming.alias("incoming"), "counterparty_account")
-        .agg(F.sum("amount").alias("amount"), F.max("txn_timestamp").alias("last"), F.min("txn_timestamp").alias("first"))
-    )
-    into, out = F.col("incoming"), ~F.col("incoming")
-    party = F.col("counterparty_account").isNotNull()
-    flow = per_party.groupBy("account_id").agg(
-        F.coalesce(F.sum(F.when(into, F.col("amount"))), F.lit(0.0)).alias("total_in"),
-        F.max(F.when(into, F.col("last"))).alias("last_in"),
-        F.count_if(into & party).alias("distinct_senders"),
-        F.coalesce(F.sum(F.when(out, F.col("amount"))), F.lit(0.0)).alias("total_out"),
-        F.min(F.when(out, F.col("first"))).alias("first_out_after"),
-        F.count_if(out & party).alias("distinct_receivers"),
-    )
-    return _flow_ratios(flow)
+    return _flow_ratios(flow_join(t))
 
 
 def approx_senders(t: DataFrame, rsd: float = 0.02) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -59,10 +60,15 @@ def inv_feature_deviation(g: DataFrame, f: DataFrame) -> DataFrame:
         *[F.try_divide(n, f"avg_{n}").alias(f"{n}_ratio") for n in DEVIATION_FEATURES])
 
 
-def inv_txn_lookup(t: DataFrame, ids: DataFrame) -> DataFrame:
-    """Transactions with the number of a given id, original or re-delivered."""
-    wanted = ids.select(txn_number(F.col("txn_id")).alias("_n")).filter("_n <> ''").distinct()
-    found = t.withColumn("_n", txn_number(F.col("txn_id"))).join(wanted, "_n", "left_semi")
+def inv_txn_lookup(t: DataFrame, ids: DataFrame | list[str]) -> DataFrame:
+    """Transactions that go by a given id. A list holds a few ids as an analyst writes them: a transaction is found if its
+    id contains the number of one of them. Ids of a DataFrame meet by their whole number, original or re-delivered."""
+    if isinstance(ids, DataFrame):
+        wanted = ids.select(txn_number(F.col("txn_id")).alias("_n")).filter("_n <> ''").distinct()
+        found = t.withColumn("_n", txn_number(F.col("txn_id"))).join(wanted, "_n", "left_semi")
+    else:
+        numbers = [re.search(r"(\d*)$", i).group(1) or i for i in ids]
+        found = t.filter(reduce(lambda a, b: a | b, [F.contains("txn_id", F.lit(n)) for n in numbers], F.lit(False)))
     return found.select("txn_id", "account_id", "amount", "txn_type", "counterparty_account", "country", "timestamp")
 
 
@@ -288,14 +294,14 @@ def inv_timeline(t: DataFrame, f: DataFrame, seeds: DataFrame | None = None) ->
 
 
 def inv_similar_accounts(f: DataFrame, seeds: DataFrame, limit: int = 10) -> DataFrame:
-    """Other accounts showing the pattern of the seed's best scored flag."""
-    own = _seeded(f, seeds)
-    pattern = own.orderBy(F.desc("ml_score"), "flag_id").limit(1).select("pattern_type").scalar()
+    """For each seed, other accounts showing the pattern of its best scored flag, the ``limit`` best scored."""
+    own = _seeded(f, seeds).groupBy(F.col("account_id").alias("seed")).agg(
+        F.min_by("pattern_type", F.struct(-F.col("ml_score"), "flag_id")).alias("pattern_type"))
     others = f.join(seeds.select("account_id").distinct(), "account_id", "left_anti")
-    alike = others.filter(F.col("pattern_type") == pattern)
-    return alike.groupBy("account_id", "pattern_type", "ml_score", "severity").agg(
-        F.count(F.lit(1)).alias("flag_count")
-    ).orderBy(F.desc("ml_score"), "account_id", "severity").limit(limit)
+    alike = others.join(own, "pattern_type").groupBy("seed", "account_id", "pattern_type", "ml_score", "severity").agg(
+        F.count(F.lit(1)).alias("flag_count"))
+    best = Window.partitionBy("seed").orderBy(F.desc("ml_score"), "account_id", "severity")
+    return alike.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= limit).drop("_n")
 
 
 def inv_cross_border(t: DataFrame, seeds: DataFrame | None = None, home: str = HOME_COUNTRY) -> DataFrame:

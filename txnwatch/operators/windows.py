@@ -8,8 +8,11 @@ anew for every row. Instead:
   days of seconds of an account, whatever the account's share of the table.
 * Within a block each second enters a frame when it happens and leaves it one second after the frame's length.
   A frame's value is then a running sum over entries and exits: one pass, however long the frame. Sums of
-  money run over exact decimals, so that what enters leaves without a trace.
-* Results are joined back by (account, second). Ties within a second count in the order (timestamp, txn_id).
+  money run over exact decimals, so that what enters leaves without a trace: one for amounts below 10 ** 17 and one
+  for larger ones, which doubles hold as whole numbers. Amounts that are not numbers, or not finite, are counted and
+  make the frame's sum so too. Finite amounts from 10 ** 30 stop the job.
+* Results are joined back by (account, second). Ties within a second count in the order (timestamp, txn_id). Rows
+  without an account form one account.
 """
 
 from __future__ import annotations
@@ -36,26 +39,45 @@ FRAMES = {
     "cash_dep_count_48h": ("cash_n", TWO_DAYS),
     "cash_sum_48h": ("cash_amount", TWO_DAYS),
 }
-MONEY = "decimal(28,10)"
+MONEY, LARGE_MONEY = "decimal(28,10)", "decimal(31,0)"
+LARGE, TOO_LARGE = 1e17, 1e30
+NOT_A_NUMBER = 1 << 32  # counts of NaN above, of infinities below
+
+
+def _money(amount, name: str) -> list:
+    """Sums of an amount's exact parts, and how many are NaN or infinite."""
+    size = F.abs(amount)
+    finite = ~F.isnan(amount) & (size < float("inf"))
+    large = F.when(size >= TOO_LARGE, F.raise_error(F.lit("an amount of 10 ** 30 or more")).cast("double")).otherwise(amount)
+    odd = F.when(F.isnan(amount), F.lit(NOT_A_NUMBER)).when(size == float("inf"), F.lit(1)).otherwise(F.lit(0))
+    return [
+        F.coalesce(F.sum(F.when(size < LARGE, amount).cast(MONEY)), F.lit(0)).alias(name),
+        F.coalesce(F.sum(F.when(finite & (size >= LARGE), large).cast(LARGE_MONEY)), F.lit(0)).alias(f"{name}_large"),
+        F.coalesce(F.sum(odd.cast("long")), F.lit(0)).alias(f"{name}_odd"),
+    ]
 
 
 def _per_second(t: DataFrame) -> DataFrame:
-    amount = F.col("amount").try_cast(MONEY)
     return t.groupBy("account_id", F.unix_seconds("txn_timestamp").alias("sec")).agg(
         F.count("txn_id").alias("n"),
-        F.coalesce(F.sum(amount), F.lit(0)).alias("amount"),
+        *_money(F.col("amount"), "amount"),
         F.coalesce(F.sum("is_cash"), F.lit(0)).alias("cash_n"),
-        F.coalesce(F.sum(F.when(F.col("is_cash") == 1, amount)), F.lit(0)).alias("cash_amount"),
+        *_money(F.when(F.col("is_cash") == 1, F.col("amount")), "cash_amount"),
     )
 
 
+def _parts(value: str) -> list[str]:
+    return [value, f"{value}_large", f"{value}_odd"] if value.endswith("amount") else [value]
+
+
 def frames(t: DataFrame, wanted: list[str] | None = None) -> DataFrame:
     """The rolling features per (account, second); the same-day count is that of earlier seconds."""
     wanted = list(wanted or FEATURES)
     rolling = {name: FRAMES[name] for name in wanted if name in FRAMES}
     lengths = sorted({length for _, length in rolling.values()})
-    values = sorted({value for value, _ in rolling.values()})
-    spread = spread_over_blocks(_per_second(t), "sec", BLOCK, before=max(lengths, default=0))
+    values = sorted({part for value, _ in rolling.values() for part in _parts(value)})
+    # one shuffle for both windows below, before rows are multiplied
+    spread = spread_over_blocks(_per_second(t), "sec", BLOCK, before=max(lengths, default=0)).repartition("account_id", "block")
     same_day = Window.partitionBy("account_id", "block", floor_div(F.col("sec"), DAY)).orderBy("sec")
     earlier = F.sum("n").over(same_day.rowsBetween(Window.unboundedPreceding, -1))
     spread = spread.select("account_id", "block", "sec", "own", *values, *(
@@ -72,10 +94,17 @@ def frames(t: DataFrame, wanted: list[str] | None = None) -> DataFrame:
     running = Window.partitionBy("account_id", "block").orderBy("at", F.desc("leaves")).rowsBetween(
         Window.unboundedPreceding, 0)
 
-    def total(value: str, length: int):
+    def summed(value: str, length: int):
         change = F.when(F.col("leaves") == 0, F.col(value)).when(F.col("leaves") == length, -F.col(value)).otherwise(0)
-        summed = F.sum(change).over(running)
-        return summed.cast("double") if value.endswith("amount") else summed
+        return F.sum(change).over(running)
+
+    def total(value: str, length: int):
+        parts = [summed(part, length) for part in _parts(value)]
+        if len(parts) == 1:
+            return parts[0]
+        exact, large, odd = parts
+        finite = exact.cast("double") + large.cast("double")
+        return F.when(odd == 0, finite).when(odd >= NOT_A_NUMBER, float("nan")).otherwise(float("inf"))
 
     built = {name: total(*spec) for name, spec in rolling.items()}
     return (
@@ -92,7 +121,8 @@ def attach(t: DataFrame, per_second: DataFrame) -> DataFrame:
     if counts_day:
         within = Window.partitionBy("account_id", "sec").orderBy("txn_timestamp", "txn_id")
         rows = rows.withColumn("_within", F.count("txn_id").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    out = rows.join(per_second, ["account_id", "sec"])
+    frames_ = per_second.withColumnsRenamed({"account_id": "_account", "sec": "_sec"})
+    out = rows.join(frames_, rows["account_id"].eqNullSafe(frames_["_account"]) & (rows["sec"] == frames_["_sec"]))
     if counts_day:
         out = out.withColumn("txn_count_same_day", F.col("txn_count_same_day") + F.col("_within"))
     return out.select(*t.columns, *[c for c in per_second.columns if c not in ("account_id", "sec")])

@@ -154,7 +154,7 @@ register("union_distinct", lambda t: t.silver.select(F.col("account_id").alias("
 
 register("flow_inflow", lambda t: flow.flow_inflow(t.silver), "SELECT * FROM inflow", total_in=2)
 register("flow_outflow", lambda t: flow.flow_outflow(t.silver), "SELECT * FROM outflow", total_out=2)
-register("flow_join", lambda t: flow.flow_join(flow.flow_inflow(t.silver), flow.flow_outflow(t.silver)),
+register("flow_join", lambda t: flow.flow_join(t.silver),
          "SELECT * FROM flowj", total_in=2, total_out=2)
 FLOW_ROUND = {"pass_through_ratio": 6, "in_out_gap_min": 4}
 register("flow_features", lambda t: flow.flow_features(t.silver), "SELECT * FROM flow",

@@ -102,6 +102,9 @@ register("inv_feature_deviation", lambda t: inv.inv_feature_deviation(t.gold, t.
 register("inv_txn_lookup", lambda t: inv.inv_txn_lookup(t.silver, t.flags),
          """SELECT txn_id, account_id, amount, txn_type, counterparty_account, country, "timestamp" FROM silver
          WHERE regexp_extract(txn_id, '(\\d+)$', 1) IN (SELECT regexp_extract(txn_id, '(\\d+)$', 1) FROM flags)""")
+register("inv_txn_lookup_ids", lambda t: inv.inv_txn_lookup(t.silver, ["TXN-000050", "RT-TXN-00000007"]),
+         """SELECT txn_id, account_id, amount, txn_type, counterparty_account, country, "timestamp" FROM silver
+         WHERE txn_id LIKE '%000050%' OR txn_id LIKE '%00000007%'""")
 register("inv_unflagged_score", lambda t: inv.inv_unflagged_score(t.silver, t.flags, t.scores),
          """SELECT s.txn_id, s.account_id, s.amount, final_risk_score, fraud_type FROM silver s
          JOIN scores m ON s.txn_id = m.txn_id WHERE s.txn_id NOT IN (SELECT txn_id FROM flags)""")
@@ -195,10 +198,11 @@ register("inv_timeline", lambda t: inv.inv_timeline(t.silver, t.flags),
          CASE WHEN flag_id IS NOT NULL THEN concat(pattern_type, ' (', severity, ')') ELSE 'CLEAN' END AS status
          FROM silver s LEFT JOIN flags f ON s.txn_id = f.txn_id""")
 register("inv_similar_accounts", lambda t: inv.inv_similar_accounts(t.flags, seed(t)),
-         f"""SELECT account_id, pattern_type, ml_score, severity, count(*) AS flag_count FROM flags
-         WHERE pattern_type = (SELECT pattern_type FROM flags WHERE account_id IN {_own}
-            ORDER BY ml_score DESC, flag_id LIMIT 1) AND account_id NOT IN {_own}
-         GROUP BY 1, 2, 3, 4 ORDER BY ml_score DESC, account_id, severity LIMIT 10""")
+         f"""WITH own AS (SELECT account_id AS seed, arg_min(pattern_type, (-ml_score, flag_id)) AS pattern_type FROM flags
+            WHERE account_id IN {_own} GROUP BY 1),
+         alike AS (SELECT seed, account_id, pattern_type, ml_score, severity, count(*) AS flag_count
+            FROM flags JOIN own USING (pattern_type) WHERE account_id NOT IN {_own} GROUP BY ALL)
+         SELECT * FROM alike QUALIFY row_number() OVER (PARTITION BY seed ORDER BY ml_score DESC, account_id, severity) <= 10""")
 register("inv_cross_border", lambda t: inv.inv_cross_border(t.silver),
          """SELECT account_id, country, count(*) AS txn_count, sum(amount) AS total_amount FROM silver
          WHERE country <> 'IN' GROUP BY 1, 2""", total_amount=2)

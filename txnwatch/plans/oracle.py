@@ -113,7 +113,7 @@ CTES = {
             o_totalprice AS total_amount, (1 + o % 20)::INTEGER AS num_txns, (1 + o % 60)::INTEGER AS investigation_days,
             CASE o % 3 WHEN 0 THEN 'CONFIRMED' WHEN 1 THEN 'FALSE_POSITIVE' ELSE 'OPEN' END AS outcome,
             CASE WHEN o % 2 = 0 THEN 'Y' ELSE 'N' END AS sar_filed, o_orderdate::DATE AS close_date
-        FROM (SELECT *, o_orderkey AS o, o_custkey AS k FROM orders) WHERE o % 25 = 0""",
+        FROM (SELECT *, o_orderkey AS o, o_custkey AS k FROM orders)""",
     "rules": f"SELECT * FROM (VALUES {_values(RULE_CATALOGUE + [CIRCULAR_RULE])}) v({RULE_COLUMNS})",
     "flags": """
         WITH s AS (SELECT *, substr(txn_id, 5)::BIGINT AS id,
