@@ -143,3 +143,18 @@ def test_long_frames_of_one_busy_account(spark):
         | (F.abs(F.col("cash_sum_48h") - inside(172800) * 0.1) > 1e-6)
         | (F.col("txn_count_same_day") != F.col("i") % 86400 + 1))
     assert got.count() == n and wrong.count() == 0
+
+
+def test_rolling_sums_keep_every_amount_and_row(spark):
+    rows = silver(spark, [
+        {"amount": 200.0, "timestamp": "2024-03-01 10:00:00"}, {"amount": 2e18, "timestamp": "2024-03-01 10:10:00"},
+        {"amount": 3.0, "timestamp": "2024-03-01 11:05:00"}, {"amount": float("nan"), "timestamp": "2024-03-03 10:00:00"},
+        {"amount": 5.0, "timestamp": "2024-03-03 10:30:00"}, {"amount": 7.0, "timestamp": "2024-03-03 12:00:00"},
+        {"amount": 11.0, "account_id": None, "timestamp": "2024-03-01 10:00:00"},
+        {"amount": 13.0, "account_id": None, "timestamp": "2024-03-01 10:20:00"}])
+    got = {r["txn_id"]: r["amount_sum_1h"] for r in windows.window_features(rows).collect()}
+    assert len(got) == 8
+    assert [got[f"TXN-{k:06d}"] for k in (1, 2, 3, 6, 7, 8)] == [200.0, 2e18 + 200.0, 2e18 + 3.0, 7.0, 11.0, 24.0]
+    assert all(str(got[f"TXN-{k:06d}"]) == "nan" for k in (4, 5))
+    with pytest.raises(Exception, match="10 \\*\\* 30"):
+        windows.window_features(silver(spark, [{"amount": 1e31}])).collect()

@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from txnwatch.operators import circular, layering, rules, scoring
+from txnwatch.operators import circular, features, flow, layering, rules, scoring
 from txnwatch.plans.tables import tables
 from txnwatch.session import scratch_path
 from txnwatch.streaming import jobs, sinks
@@ -76,6 +76,16 @@ def test_dedupe_in_batches(spark, t):
     assert rows(once, "txn_id") == rows(t.silver, "txn_id")
 
 
+def test_scorer_features_are_those_of_gold(spark, t):
+    """With the default memory: lifetime flows, rolling features from the last days."""
+    last = t.silver.agg(F.max("timestamp")).first()[0]
+    part = t.silver.filter(F.col("timestamp") >= F.lit(last) - F.expr("interval 7 days"))
+    cut = features.gold_features(part, t.accounts, t.customers, flow.flow_features(t.silver))
+    recent = F.col("timestamp") >= F.lit(last) - F.expr("interval 1 hour")
+    names = ["txn_id", "pass_through_ratio", "distinct_senders", "distinct_receivers", "rapid_pass_through", "txn_count_1h"]
+    assert rows(cut.filter(recent), *names) == rows(t.gold.filter(recent), *names) != []
+
+
 def test_late_rows_are_counted(spark):
     path = scratch_path(spark, "late")
     transactions(spark, [{"timestamp": "2024-03-05 10:00:00"}]).coalesce(1).write.parquet(path)
@@ -85,18 +95,23 @@ def test_late_rows_are_counted(spark):
     def run():
         query = sinks.run_batches(jobs.stream_dedupe(stream), lambda b, i: sinks.write_batch(b, i, out), checkpoint)
         query.awaitTermination()
-        return sinks.late_rows(query)
+        for _ in range(50):  # reports arrive on another thread
+            time.sleep(0.1)
+        return late.total[str(query.id)]
 
+    late = sinks.LateRows()
+    spark.streams.addListener(late)
     assert run() == 0
     transactions(spark, [{"txn_id": "TXN-LATE-1", "timestamp": "2024-03-01 10:00:00"}]).coalesce(1).write.mode("append").parquet(path)
     assert run() == 1
+    spark.streams.removeListener(late)
 
 
 def test_scores_once(spark, t, silver_files):
     model = t.model
     scores, raised, checkpoint = (scratch_path(spark, n) for n in ("scores", "raised", "cp"))
     args = (lambda i: t.silver, t.accounts, t.customers, model, scores, raised)
-    jobs.run_scoring(as_stream(spark, silver_files), *args, checkpoint, memory=None).awaitTermination()
+    jobs.run_scoring(as_stream(spark, silver_files), *args, checkpoint).awaitTermination()
     got = spark.read.parquet(scores)
     assert rows(got, "txn_id") == rows(t.silver, "txn_id")
     flags = spark.read.parquet(raised)

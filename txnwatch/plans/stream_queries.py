@@ -1,6 +1,7 @@
 """Streaming jobs run over everything available; what they kept is compared with the batch result in SQL."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators import cleaning
 from ..schemas import TABLES
@@ -11,15 +12,21 @@ from .batch_queries import AT, CIRCLES, LIVE, TXN, _cash, _dormant, _layering, _
 from .registry import register
 
 
+_stored: dict = {}
+
+
 def _arrivals(t):
     """Transactions as a stream, as delivered."""
     return given.transactions(given.stream_given(t.spark, t.sf_dir, "events"))
 
 
 def _live(t):
-    """The cleaned live table as a stream."""
-    usable = given.transactions(given.stream_given(t.spark, t.sf_dir, "events"), redeliver=False)
-    return cleaning.silver_columns(usable.filter(cleaning.valid_transaction()))
+    """The live table as a stream: what was delivered, re-deliveries too, went through the dedupe job and was stored."""
+    if t not in _stored:
+        _stored[t] = scratch_path(t.spark, "live-once")
+        sinks.run_to_table(jobs.stream_dedupe(_arrivals(t)), _stored[t])
+    schema = StructType([*TABLES["transactions"].fields, StructField("batch_id", LongType())])
+    return cleaning.silver_columns(t.spark.readStream.schema(schema).parquet(_stored[t]).drop("batch_id"))
 
 
 def _table(t, name, stream, mode="append", *keys):
@@ -108,8 +115,7 @@ register("stream_flag_monitor", _monitored, LIVE)
 def _stream_scores(t):
     scores = scratch_path(t.spark, "scores")
     jobs.run_scoring(_live(t), lambda batch_id: t.silver, t.accounts, t.customers, t.model, scores,
-                     scratch_path(t.spark, "raised"), scratch_path(t.spark, "checkpoint"), memory=None, at=AT,
-                     ).awaitTermination()
+                     scratch_path(t.spark, "raised"), scratch_path(t.spark, "checkpoint"), at=AT).awaitTermination()
     return t.spark.read.parquet(scores).drop("batch_id")
 
 

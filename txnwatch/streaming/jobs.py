@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import circular, cleaning, flags, layering, rules, scoring
 from ..operators.features import gold_features
+from ..operators.flow import flow_features
 from ..functions.columns import interval
 from ..schemas import TABLES
 from ..sources.tables import empty_table
@@ -111,9 +112,9 @@ def run_scoring(
     live: DataFrame, history_of, accounts: DataFrame, customers: DataFrame, model: scoring.RiskModel, scores: str,
     raised: str, checkpoint: str, memory: str | None = "7 days", at=None,
 ):
-    """Score arrivals. Features need the touched accounts' last 7 days, read from the live table
-    (``history_of(batch_id)``, which holds the batch too) and cut down to those accounts before any window runs.
-    What an earlier batch scored is not scored again."""
+    """Score arrivals. Features need the touched accounts' rows of the live table (``history_of(batch_id)``, which holds
+    the batch too): flow features all of them, as they are lifetime values, rolling ones those within ``memory`` of the
+    batch. What an earlier batch scored is not scored again."""
     spark = accounts.sparkSession
     schema = TABLES["ml_risk_scores"]
     write_batch(empty_table(spark, schema), -1, scores)
@@ -124,10 +125,11 @@ def run_scoring(
         batch = batch.join(known.select("txn_id"), "txn_id", "left_anti").persist()
         try:
             touched = history_of(batch_id).join(batch.select("account_id").distinct(), "account_id", "left_semi")
+            flow = flow_features(touched)
             if memory:
                 since = batch.agg(F.min("timestamp").alias("m")).scalar() - interval(memory)
                 touched = touched.filter(F.col("timestamp") >= since)
-            gold = gold_features(touched, accounts, customers).join(batch.select("txn_id"), "txn_id", "left_semi")
+            gold = gold_features(touched, accounts, customers, flow).join(batch.select("txn_id"), "txn_id", "left_semi")
             scored = scoring.score_rows(gold, model)
             rows = scoring._score_table(scored.withColumns({
                 "fraud_type": scoring.coarse_type(F.col("final_risk_score")), "is_fraud": F.lit(None).cast("int")}), at)

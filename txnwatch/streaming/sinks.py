@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..sources.tables import write_table
@@ -65,6 +65,23 @@ def stream_fan_out(stream: DataFrame, sinks: dict[str, Callable[[DataFrame, int]
     return run_batches(stream, deliver, checkpoint)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark turned away so far; a nightly batch run with ``as_of`` picks them up."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Adds up, per query id, the rows the watermark turned away; a nightly batch run with ``as_of`` picks them up. A query
+    itself remembers its last hundred reports only. Register with ``spark.streams.addListener``."""
+
+    def __init__(self):
+        self.total: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.total.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.total[key] = self.total.get(key, 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
