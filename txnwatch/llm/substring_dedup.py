@@ -106,7 +106,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"),
                        F.col(text_col).cast("binary").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = groups_for(total, bucket_bytes, 4 * slots(docs.sparkSession)) | 1
+    buckets = groups_for(total, bucket_bytes, slots(docs.sparkSession)) | 1
 
     def hashes(batches: Iterator) -> Iterator:
         import pyarrow as pa
