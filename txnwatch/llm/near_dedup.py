@@ -7,10 +7,10 @@ shingle of its first arrival, and a process stops once its next arrival is later
 registers agree with the probability that is the similarity.
 
 Bands of registers are bucket keys. Exact copies count as one text. In each bucket one text meets all others, pairs are
-screened by their signatures and then verified on all their shingles, and links are merged into classes. A bucket is
-settled when its texts are of one class; where several remain, every text outside of the bucket's largest class meets
-all texts of other classes, a growing number of them per round. So all pairs that share a bucket are settled, although
-a bucket of one class costs a row per text only.
+screened by their signatures and then verified on all their shingles, and links are merged into classes; this is done
+three times. A bucket is settled when its texts are of one class. What is left, texts near to each other but not near
+enough, is compared in tiles: a task takes two tiles of a group, screens and verifies inside, and gives out only links
+that join classes. So all pairs that share a bucket are settled and no list of pairs is ever written.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import normal, staged
+from .common import normal, slots, staged
 from .substring_dedup import Words
 
 REGISTERS, ROWS = 140, 5
@@ -85,6 +85,8 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
     _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     if not len(ia):
         return 0.0
+    if len(a) == x.sum() and len(b) == y.sum():  # nothing repeats
+        return len(ia) / (len(a) + len(b) - len(ia))
     x, y = x.astype(float), y.astype(float)
     cx, cy = x[ia], y[ib]
     only_x, only_y = x.sum() - cx.sum(), y.sum() - cy.sum()
@@ -161,7 +163,7 @@ def verified(pairs: DataFrame, signs: DataFrame, sets: DataFrame, threshold: flo
 
         for batch in batches:
             c = [[np.frombuffer(v.as_buffer(), np.uint64 if k % 2 == 0 else np.uint32) for v in batch.column(k + 2)] for k in range(4)]
-            same = [probability_jaccard(*row) >= threshold for row in zip(*c)]
+            same = [probability_jaccard(*row) >= threshold - 1e-9 for row in zip(*c)]
             yield batch.select([0, 1]).filter(pa.array(same, pa.bool_()))
 
     side = lambda df, k, cols: df.select(F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in cols])
@@ -190,8 +192,62 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
                 "node", F.coalesce("l", "label").alias("label")), "labels")
 
 
+def shared_buckets(keyed: DataFrame) -> DataFrame:
+    """``keyed`` (key, node) as buckets of at least two texts, buckets of the same texts as one: key, node, degree (how many
+    others the text meets in all buckets; the source of a group of near copies meets most)."""
+    full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("all")).where("n > 1")
+    one = full.groupBy("n", "all").agg(F.min("key").alias("key"), (F.count(F.lit(1)) * (F.col("n") - 1)).alias("meets"))
+    held = staged(keyed.join(one.select("key", "meets"), "key"), "shared")
+    degrees = held.groupBy("node").agg(F.sum("meets").alias("degree"))
+    return staged(held.select("key", "node").join(degrees, "node"), "buckets")
+
+
+def tiled_links(members: DataFrame, signs: DataFrame, sets: DataFrame, threshold: float, slack: float, tile: int = 512) -> DataFrame:
+    """Links (a, b) that join the classes of each group, for ``members`` (grp, node, label).
+
+    A group is cut into tiles and every pair of tiles is one task's work: signatures screen, all shingles decide, and only
+    links between classes that the task has not joined yet leave it, so at most one per text."""
+    def compare(group):
+        import pyarrow as pa
+
+        node, label, side = (group.column(c).to_numpy() for c in ("node", "label", "side"))
+        sign = np.vstack([np.frombuffer(v.as_buffer(), "<u2") for v in group.column("sign")])
+        hashes = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("hashes")]
+        counts = [np.frombuffer(v.as_buffer(), np.uint32) for v in group.column("counts")]
+        first, second, found = group.column("i")[0].as_py(), group.column("j")[0].as_py(), []
+        root = {int(x): int(x) for x in label}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        right = np.flatnonzero(side == second)
+        for a in np.flatnonzero(side == first):
+            others = right[(label[right] != label[a]) & (right > a if first == second else True)]
+            near = (sign[others] == sign[a]).mean(axis=1)
+            for k in np.flatnonzero(near >= threshold - slack):
+                b = others[k]
+                x, y = find(int(label[a])), find(int(label[b]))
+                if x != y and probability_jaccard(hashes[a], counts[a], hashes[b], counts[b]) >= threshold - 1e-9:
+                    root[x] = y
+                    found.append((int(node[a]), int(node[b])))
+        columns = list(zip(*found)) if found else [[], []]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("k")).where("k > 1")
+    tiles = F.ceil(F.col("n") / tile).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    dealt = members.join(sizes.select("grp", tiles.alias("tiles")), "grp").withColumn("side", own).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("grp", "node", "label", "side", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"))
+    # small rows but much work: as many tasks as the session has partitions
+    full = dealt.join(signs, "node").join(sets, "node").repartition(slots(members.sparkSession), "grp", "i", "j")
+    return full.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                    slack: float = 0.2) -> DataFrame:
+                    slack: float = 0.15) -> DataFrame:
     """One row per document: ``__id``, copy (digest of its words), class_id (least id of its class), copy_id (least id with the same words),
     n_copies, ``kept`` (true for one row of each class).
 
@@ -207,11 +263,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, id_
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first"))
     texts = staged(texts.withColumn("node", F.col("first.uid")), "texts")  # ids may be null or stand for several texts
 
-    keyed = texts.select(F.explode("bands").alias("key"), "node")
-    full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("all")).where("n > 1")
-    # buckets of the same texts are one bucket
-    one = full.groupBy("n", "all").agg(F.min("key").alias("key"))
-    buckets = staged(keyed.join(one.select("key"), "key"), "buckets")
+    buckets = shared_buckets(texts.select(F.explode("bands").alias("key"), "node"))
     members = staged(buckets.select("node").distinct(), "members")
     labels = staged(members.select("node", F.col("node").alias("label")), "labels")
     signs = staged(texts.join(members, "node").select("node", "sign"), "signs")
@@ -220,27 +272,34 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, id_
     again = rows.join(wanted, (F.col("copy") == F.col("c")) & F.col("__id").eqNullSafe(F.col("i"))).select("node", "words")
     sets = staged(shingle_sets(again.dropDuplicates(["node"]), width), "sets")
 
-    centres, turn = 1, 0
-    while True:
+    buckets = buckets.withColumn("hub", F.lit(None).cast("long"))
+    for turn in range(3):
         held = buckets.join(labels, "node")
-        sizes = held.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"))
+        best = F.max(F.struct("degree", "node"))
+        sizes = held.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
         # outside: texts of all classes of the bucket but the largest
-        top = sizes.groupBy("key").agg(F.max(F.struct("n", F.col("label"))).alias("top"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
-        top = top.where("k > 1").select("key", F.col("top.label").alias("main"), (F.col("total") - F.col("top.n")).alias("outside"))
-        low = sizes.join(top, "key").where("label != main").groupBy("key").agg(F.min("low").alias("low"))
-        held = staged(held.join(top, "key").join(low, "key"), "open")
+        top = sizes.groupBy("key").agg(F.max(F.struct("n", "best", "label")).alias("top"), F.max("best").alias("best"),
+                                       F.count(F.lit(1)).alias("k")).where("k > 1")
+        top = top.select("key", F.col("top.label").alias("main"), F.col("best.node").alias("first"))
+        out = sizes.join(top.select("key", "main"), "key").where("label != main").groupBy("key").agg(F.max("best").alias("out"))
+        held = held.join(top, "key").join(out.select("key", F.col("out.node").alias("out")), "key")
+        held = staged(held.withColumn("hub", F.coalesce("hub", "first")), "open")
         if not held.limit(1).count():
             break
-        chosen = (F.col("label") != F.col("main")) & ((F.col("node") == F.col("low")) | (
-            F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20)) * F.col("outside") < F.lit((centres - 1) << 20)))
+        # the text of the bucket that meets most meets all its others, then twice the one outside that does
+        chosen = F.col("node") == F.col("first" if turn == 0 else "out")
         meets = held.where(chosen).select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
         pairs = held.select("key", "node", "label").join(meets, "key").where("label != lx").select(
             F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
         links = staged(verified(staged(pairs, "pairs"), signs, sets, threshold, slack), "links")
         labels = merge(labels, links)
         # who has met all others of a bucket leaves it
-        buckets = staged(held.where(~chosen).select("key", "node"), "buckets")
-        centres, turn = centres * 8, turn + 1
+        buckets = staged(held.where(~chosen).select("key", "node", "degree", "hub"), "buckets")
+
+    # what is not of one class yet, by the text that met it first: one group instead of a bucket for every band
+    mixed = buckets.join(labels, "node").groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h")
+    rest = buckets.join(mixed.select("key"), "key").select(F.col("hub").alias("grp"), "node").distinct().join(labels, "node")
+    labels = merge(labels, staged(tiled_links(staged(rest, "rest"), signs, sets, threshold, slack), "links"))
 
     found = texts.join(labels, "node", "left").select("copy", "n_copies", "first", F.coalesce("label", "node").alias("label"))
     best = found.groupBy("label").agg(F.min("first").alias("best"))
