@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """Where the vocabulary that the contracts name lies; it belongs to an installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Written to the shared folder and read back: lineage ends here, and a lost executor recomputes nothing."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
@@ -41,64 +48,110 @@ def groups_for(rows: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / each))
 
 
+def some_labels(labels: DataFrame, value, rows: int) -> DataFrame:
+    """At most ``rows`` labelled ids, chosen by their hash: doc_id, ``__label``. Few enough to be broadcast, so that looking
+    them up moves no text."""
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(value.alias("__label")).where("__label is not null")
+    return F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+
+
 def slots(spark: SparkSession) -> int:
     """Shuffle partitions of the session, the least number of groups worth making."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-class TokenCache(dict):
-    """Token ids of each white-space-delimited chunk of bytes, as little-endian 16-bit integers.
+class Generations:
+    """A map that forgets: when ``new`` is full it becomes ``old``, and what is used again moves back to ``new``."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
 
-    The tokenizer drops white space and splits at it, so a text's ids are its chunks' ids in order. Unknown chunks
-    are encoded many at a time, set apart by a control character that is a token of its own. The cache is emptied
-    when it holds ``limit`` chunks, which costs time, never results.
+    def lacks(self, keys) -> list:
+        """Which of the keys are unknown; the others are in ``new`` afterwards."""
+        if len(self.new) > self.limit:
+            self.new, self.old = {}, self.new
+        missing = [k for k in keys if k not in self.new]
+        if self.old:
+            for k in missing:
+                if k in self.old:
+                    self.new[k] = self.old[k]
+            missing = [k for k in missing if k not in self.new]
+        return missing
+
+
+class TokenCache:
+    """Token ids of white-space-delimited chunks of bytes, as little-endian 16-bit integers.
+
+    The tokenizer drops white space and splits at it, so a text's ids are its chunks' ids in order. It also lowers case and
+    parts letters from punctuation, so a chunk's ids are those of its lower-cased core and of its tail of marks. Unknown
+    parts are encoded many at a time, set apart by a control character that is a token of its own. Forgetting costs time,
+    never results.
     """
 
     MARK = "\x01"
+    TAIL = b"!\"#$%&()*+,-./:;=>?@[]^_`{}~|<"  # without the apostrophe, which may belong to a contraction
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 250_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.limit, self.tokenizer = limit, Tokenizer.from_file(path)
+        self.chunks, self.parts, self.tokenizer = Generations(limit), Generations(limit), Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids above 65535 need wider integers than this cache keeps")
         [self.mark] = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
 
-    def learn(self, chunks: list[bytes]) -> None:
+    def _learn(self, parts: list[bytes]) -> None:
         import numpy as np
 
-        odd = [c for c in chunks if b"\x01" in c or b"<|" in c]
-        for c in odd:
-            ids = self.tokenizer.encode(c.decode("utf-8"), add_special_tokens=False).ids
-            self[c] = np.array(ids, "<u2").tobytes()
-        plain = [c for c in chunks if b"\x01" not in c and b"<|" not in c]
         between = f" {self.MARK} "
-        parts = [plain[i:i + 256] for i in range(0, len(plain), 256)]
-        texts = [between.join([c.decode("utf-8") for c in part]) for part in parts]
-        for part, code in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        batches = [parts[i:i + 256] for i in range(0, len(parts), 256)]
+        texts = [between.join([c.decode("utf-8") for c in part]) for part in batches]
+        for part, code in zip(batches, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(code.ids, "<u2")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
             raw, start = ids.tobytes(), 0
             for c, end in zip(part, ends):
-                self[c] = raw[2 * start:2 * end]
+                self.parts.new[c] = raw[2 * start:2 * end]
                 start = end + 1
 
+    def _split(self, missing: list[bytes]) -> None:
+        import numpy as np
+
+        pairs = []
+        for c in missing:
+            if b"\x01" in c or b"<|" in c:  # could be taken for marks or special tokens
+                ids = self.tokenizer.encode(c.decode("utf-8"), add_special_tokens=False).ids
+                self.chunks.new[c] = np.array(ids, "<u2").tobytes()
+                continue
+            core = c.rstrip(self.TAIL)
+            if core[-1:].isalnum():  # an ASCII letter or digit before the tail
+                pairs.append((c, core.lower(), c[len(core):]))
+            else:
+                pairs.append((c, c, b""))
+        known = {b""}
+        for _, core, tail in pairs:
+            known.add(core)
+            known.add(tail)
+        known.discard(b"")
+        self._learn(self.parts.lacks(known))
+        get = self.parts.new
+        get[b""] = b""
+        for c, core, tail in pairs:
+            self.chunks.new[c] = get[core] + get[tail]
+
     def encode(self, texts: list[bytes | None], end: int) -> list[bytes]:
         """Ids of each text followed by the end id, 16 bits each."""
         words = [(t or b"").split() for t in texts]
-        if len(self) > self.limit:
-            self.clear()
-        missing = set()
+        distinct = set()
         for each in words:
-            missing.update(each)
-        missing = [w for w in missing if w not in self]
-        self.learn(missing)
-        last = end.to_bytes(2, "little")
-        return [b"".join(map(self.__getitem__, each)) + last for each in words]
+            distinct.update(each)
+        missing = self.chunks.lacks(distinct)
+        if missing:
+            self._split(missing)
+        look, last = self.chunks.new.__getitem__, end.to_bytes(2, "little")
+        return [b"".join(map(look, each)) + last for each in words]
 
 
 @lru_cache(maxsize=2)
