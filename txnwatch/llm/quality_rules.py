@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged
+from .common import some_labels, staged
 
 # Fixed values of the base rules
 SYMBOLS = "#*$%&|<>"
@@ -184,14 +184,13 @@ def calibrate(scores: np.ndarray, good: np.ndarray, price: float) -> float:
 
 def fit(stats: DataFrame, labels: DataFrame, label_rows: int = 20_000, price: float = 20.0) -> QualityModel:
     """Forest and threshold from at most ``label_rows`` labelled rows that pass the base rules, chosen by a hash of their
-    ids: the even half of the hash grows the forest, the odd half sets the threshold. Without good rows in both halves
-    nothing but the base rules rejects."""
-    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(
-        F.min("quality").alias("__quality"))
-    sample = stats.where(~F.col("base_failed")).join(known, stats["__id"] == known["doc_id"]).withColumn(
-        "__h", F.xxhash64("__id")).orderBy("__h", "__id").limit(label_rows).toPandas()
+    ids (of repeated rows of an id one counts): the even half of the hash grows the forest, the odd half sets the threshold.
+    Without good rows in both halves nothing but the base rules rejects."""
+    known = some_labels(labels, F.min("quality"), label_rows)
+    sample = stats.where(~F.col("base_failed")).join(known, F.col("__id") == F.col("doc_id")).withColumn(
+        "__h", F.xxhash64("__id")).dropDuplicates(["__id"]).toPandas().sort_values(["__h", "__id"])
     even = (sample["__h"] % 2 == 0).to_numpy(bool)
-    good = (sample["__quality"] == 1).to_numpy(bool)
+    good = (sample["__label"] == 1).to_numpy(bool)
     if not (good & even).any() or not (good & ~even).any():
         return QualityModel(None, 1.0)
     x = features(sample)
@@ -229,7 +228,7 @@ def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               price: float = 20.0) -> DataFrame:
     """``docs`` without the documents that ``quality_verdicts`` rejects. The verdict hangs on the text alone, so rows are
     filtered where they are read and no text moves; only labelled rows are looked at before."""
-    known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
+    known = some_labels(labels, F.min("quality"), label_rows).select(F.col("doc_id").alias(id_col))
     model = fit(staged(document_statistics(docs.join(known, id_col, "left_semi"), id_col, text_col), "quality"), labels,
                 label_rows, price)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -3,9 +3,10 @@
 A classifier trained on the labelled table gives every document a posterior over domains. The document's rate, how
 often it should be taken, is fitted so that expected token totals per domain meet their targets:
 
-    minimise  1/2 |A x - t|^2 / T^2 + ridge/2 * sum(n_d (x_d - 1)^2) / T   over x >= 0,   A[k, d] = n_d p_k(d)
+    minimise  1/2 sum_k (A x - t)_k^2 / (m_k T) + ridge/2 * sum_d n_d (x_d - 1)^2   over x >= 0,   A[k, d] = n_d p_k(d)
 
-with n_d tokens of document d and T tokens in all. Accelerated projected gradient in the metric of the token counts
+with n_d tokens of document d, T tokens in all and m_k = (A 1)_k those of domain k, so that errors count relative to a
+domain's size; steps of 1 / (1 + ridge) are then safe for any posteriors. Accelerated projected gradient in the metric of the token counts
 needs one number per domain from each pass over the documents; a document's rate follows from its posterior and those
 numbers, so nothing about single documents ever reaches the driver.
 """
@@ -20,7 +21,7 @@ from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged
+from .common import some_labels, staged
 
 DOMAINS = ["good", "poor", "toxic"]
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
@@ -43,9 +44,9 @@ def featured(rows: DataFrame, text_col: str = "text", width: int = 1 << 15) -> D
     words = F.split(F.lower(text), BREAKS)
     length = F.greatest(F.length(text), F.lit(1))
     share = lambda kind: (F.length(text) - F.length(F.translate(text, kind, ""))) / length
-    rows = rows.withColumns({
-        "__words": words, "__symbols": 10 * share("#*$%&|<>!"), "__capitals": 5 * share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        "__distinct": F.size(F.array_distinct(words)) / F.size(words)})
+    rows = rows.withColumn("__words", words).withColumns({
+        "__symbols": 10 * share("#*$%&|<>!"), "__capitals": 5 * share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        "__distinct": F.size(F.array_distinct("__words")) / F.size("__words")})
     hashed = HashingTF(numFeatures=width, binary=True, inputCol="__words", outputCol="__hashed").transform(rows)
     return VectorAssembler(inputCols=["__hashed", "__symbols", "__capitals", "__distinct"], outputCol="__features").transform(
         hashed).drop("__words", "__symbols", "__capitals", "__distinct", "__hashed")
@@ -57,10 +58,9 @@ def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     The classifier is fitted on at most ``label_rows`` labelled rows, chosen by a hash of their ids. A domain without
     labelled rows gets no weight; with less than two domains in the labels every document is wholly of the one that is
     there, of the first if there is none."""
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(domain(F.col("quality"), F.col("toxic"))).alias("__label"))
-    known = known.where("__label is not null")
+    known = some_labels(labels, F.max(domain(F.col("quality"), F.col("toxic"))), label_rows)
     train = rows.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(
-        known, F.col("__id") == known["doc_id"]).drop("doc_id").orderBy(F.xxhash64("__id"), "__id").limit(label_rows)
+        known, F.col("__id") == F.col("doc_id")).drop("doc_id").dropDuplicates(["__id"])
     train = staged(train, "labelled")
     seen = sorted(int(r["__label"]) for r in train.select("__label").distinct().collect())
     base = rows.select(F.col(id_col).alias("__id"), key_of(text_col).alias("__key"), F.col(text_col).alias("__text")).withColumn(
@@ -68,8 +68,8 @@ def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     if len(seen) < 2:
         sure = F.array(*[F.lit(1.0 if k == (seen or [0])[0] else 0.0) for k in range(len(DOMAINS))])
         return base.select("__id", "__key", "tokens", sure.alias("p"))
-    model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0001, standardization=False, maxIter=40,
-                               probabilityCol="__p").fit(featured(train, "__text"))
+    model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0001,
+                               standardization=False, maxIter=25, probabilityCol="__p").fit(featured(train, "__text"))
     given = vector_to_array("__p")
     p = F.array(*[F.coalesce(F.get(given, k), F.lit(0.0)) for k in range(len(DOMAINS))])
     return model.transform(featured(base, "__text")).select("__id", "__key", "tokens", p.alias("p"))
@@ -90,15 +90,16 @@ def replay(p: np.ndarray, pulls: list[np.ndarray], rate: float, ridge: float) ->
 
 
 def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge: float = 0.001, rounds: int = 60,
-              tolerance: float = 1e-4) -> DataFrame:
-    """``soft`` (stored; tokens, p, ...) with ``rate``."""
+              tolerance: float = 0.003) -> DataFrame:
+    """``soft`` (stored; tokens, p, ...) with ``rate``. Stops when all domains are within ``tolerance`` of their targets,
+    relative to their sizes, or come no nearer."""
     spark = soft.sparkSession
     total = soft.agg(F.sum("tokens")).first()[0] or 0
     if not total:
         return soft.withColumn("rate", F.lit(1.0))
     weights = np.array([targets[d] for d in DOMAINS])
     goal = epochs * weights / weights.sum()
-    rate, pulls = 1.0 / (1.0 + ridge), []
+    rate, pulls, share = 1.0 / (1.0 + ridge), [], None
 
     def sums(given: list[np.ndarray]) -> np.ndarray:
         def add(batches: Iterator) -> Iterator:
@@ -115,8 +116,10 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge:
         return np.array(row, float) / total
 
     for _ in range(rounds):
-        pull = sums(pulls) - goal
-        if pulls and np.abs(pull - pulls[-1]).max() < tolerance:
+        now = sums(pulls)
+        share = now if share is None else share
+        pull = np.where(share > 0, (now - goal) / np.maximum(share, 1e-12), 0.0)
+        if np.abs(pull).max() < tolerance or pulls and np.abs(pull - pulls[-1]).max() < tolerance / 10:
             break
         pulls.append(pull)
     names = [f.name for f in soft.schema.fields]
