@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txnwatch.llm import exact_dedup, near_dedup, packing, quality_rules, source_mixing
-from txnwatch.llm.common import staged, table
+from txnwatch.llm.common import staged, table, tokenizer
 
 # No SQL can express the forest, the classifier or the packing; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
@@ -33,8 +33,6 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    from txnwatch.llm.queries import tokenizer
-
     return packing.pack_documents(docs, tokenizer()).withColumnRenamed("__id", "doc_id")
 
 

@@ -6,11 +6,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from txnwatch.llm import chat_format, packing, token_output
-from txnwatch.llm.queries import tokenizer
+from txnwatch.llm.common import tokenizer
 
 from .tables import DOCS, frame, odd_rows
 

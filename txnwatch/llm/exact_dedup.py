@@ -205,15 +205,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     bounds = docs.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
     middle = (bounds[0] + bounds[1]) // 2 if bounds[0] is not None else 0
-    rows = docs.withColumn("__sha", F.sha2(normal(F.col(text_col)), 256)).withColumn(
-        "__row", F.monotonically_increasing_id())
+    rows = docs.withColumn("__sha", F.sha2(normal(F.col(text_col)), 256))
     found = classes(docs, F.col(id_col) <= middle, id_col, text_col, per_bucket, bounds[2])
     joined = rows.join(found.withColumnsRenamed({"keep_id": "__keep_id", "group_size": "__group_size"}), "__sha")
     first = F.col(id_col).eqNullSafe(F.col("__keep_id"))
     if _repeated(rows, id_col):
+        # rows are told apart by numbers, which are stored, so that every reader sees the same
+        joined = staged(joined.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        rows = joined
         one = rows.groupBy("__sha", F.col(id_col).alias("__own")).agg(F.min("__row").alias("__first"))
-        joined = joined.join(one, (joined["__sha"] == one["__sha"]) & joined[id_col].eqNullSafe(one["__own"])).drop(
-            one["__sha"]).drop("__own")
+        one = one.withColumnRenamed("__sha", "__of")
+        joined = joined.join(one, (F.col("__sha") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__own"))).drop("__of", "__own")
         first = first & (F.col("__row") == F.col("__first"))
     return joined.withColumn("__kept", first).drop("__row", "__first")
 

@@ -9,14 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 
 from . import chat_format, exact_dedup, near_dedup, packing, quality_rules, sharding, source_mixing, substring_dedup, token_output, url_filter
-from .common import table
-
-
-def tokenizer() -> str:
-    """The public vocabulary the contracts name; its place is the installed package's."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+from .common import table, tokenizer
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +105,19 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP9_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM w, unnest(range(1, len(ws) - 48)) t(i)),
+least_id AS (SELECT h, min(doc_id) AS d FROM win GROUP BY h),
+hit AS (SELECT doc_id, i FROM win JOIN least_id USING (h) WHERE d < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM hit, unnest(range(50)) r(k)),
+word AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) u(p)),
+kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept 
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_chat_format": op2_chat_format,
@@ -125,7 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
 }
-SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL}
+SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
