@@ -89,7 +89,7 @@ def replay(p: np.ndarray, pulls: list[np.ndarray], rate: float, ridge: float) ->
     return x, y
 
 
-def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge: float = 0.001, rounds: int = 60,
+def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge: float = 0.001, rounds: int = 30,
               tolerance: float = 0.003) -> DataFrame:
     """``soft`` (stored; tokens, p, ...) with ``rate``. Stops when all domains are within ``tolerance`` of their targets,
     relative to their sizes, or come no nearer."""
