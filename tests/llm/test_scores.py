@@ -221,6 +221,17 @@ def test_shards_are_even_and_keep_groups_together(spark, rows):
         pytest.xfail("known gap: where every document is linked no shard has room, and propagation moves nothing")
 
 
+@pytest.mark.parametrize("size, alone", [(4, 0), (40, 0), (4, 200), (5, 3)])
+def test_groups_stay_together_where_copies_dominate(spark, size, alone):
+    rows = [(k, f"t{k // size}") for k in range(4000)] + [(4000 + k, f"alone {k}") for k in range(alone)]
+    got = sharding.shard_documents(frame(spark, rows), cell_rows=256).collect()
+    groups, counts = defaultdict(set), Counter(r["shard"] for r in got)
+    for r in got:
+        groups[r["text_crc32"]].add(r["shard"])
+    assert len(got) == len(rows) and max(counts.values()) - min(counts.values()) <= 1
+    assert sum(len(s) > 1 for s in groups.values()) <= 7  # a group per border between shards
+
+
 def test_sharding_is_native_and_takes_no_rows(spark):
     assert sharding.shard_documents(spark.createDataFrame([], DOCS)).count() == 0
     plan = sharding.shard_documents(frame(spark, odd_rows()))._jdf.queryExecution().toString()
