@@ -101,6 +101,24 @@ def test_rates_meet_targets(spark):
     assert (x >= 0).all() and np.allclose(total, [0.84, 0.24, 0.12], atol=0.01)
 
 
+@pytest.mark.parametrize("spread", [3, 8])
+def test_rates_are_optimal_for_the_production_targets(spark, spread):
+    rng = np.random.default_rng(5)
+    k = rng.choice(3, 3000, p=[0.68, 0.17, 0.15])
+    z = rng.normal(0, 1.5, (3000, 3))
+    z[np.arange(3000), k] += spread
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    n = rng.integers(1, 500, 3000)
+    soft = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(n, p)], "tokens long, p array<double>").repartition(4)
+    got = source_mixing.fit_rates(soft, source_mixing.TARGETS, 1.1).collect()
+    p, n, x = (np.array([r[c] for r in got], float) for c in ("p", "tokens", "rate"))
+    now, share, goal = (n * x) @ p / n.sum(), n @ p / n.sum(), 1.1 * np.array([0.97, 0.02, 0.01])
+    best = np.maximum(0, 1 - p @ ((now - goal) / share) / 0.001)  # the optimality conditions
+    assert (x >= 0).all() and (np.abs((n * best) @ p / n.sum() - now) < 0.01 * goal).all()
+    if spread == 8:  # sharp posteriors: the targets can be met but for what the ridge holds back
+        assert np.allclose(now, goal, rtol=0.02)
+
+
 def test_mixing_separates_domains_on_held_out_rows(spark):
     rows, known = [], []
     for k in range(300):
