@@ -141,6 +141,19 @@ def test_mixing_separates_domains_on_held_out_rows(spark):
     assert Counter(r["doc_id"] for r in mixed.collect()) == +want
 
 
+def test_mixing_loses_no_good_document(spark, monkeypatch):
+    """Good documents that the classifier takes for poor or toxic, and ones it hardly favours."""
+    p = [[0.98, 0.01, 0.01], [0.02, 0.97, 0.01], [0.01, 0.01, 0.98], [0.4, 0.35, 0.25]]
+    soft = spark.createDataFrame([(k, f"{k}", 100, p[k % 4]) for k in range(80)], "__id long, __key string, tokens long, p array<double>")
+    monkeypatch.setattr(source_mixing, "posteriors", lambda *_: soft)
+    marks = labels(spark, [(k, int(k >= 8), 0) for k in range(40) if k % 4 != 3])
+    got = source_mixing.mix_rates(frame(spark, [(k, "") for k in range(80)]), marks).collect()
+    assert len(got) == 80
+    for r in got:
+        bound = 8 <= r["__id"] < 40 or r["__id"] % 4 in (0, 3)
+        assert r["copies"] >= 1 and r["rate"] >= 1 if bound else r["rate"] < 1
+
+
 def test_mixing_without_labels_or_documents(spark):
     docs = frame(spark, odd_rows())
     got = source_mixing.mix_rates(docs, labels(spark, [])).collect()

@@ -3,9 +3,10 @@
 A classifier trained on the labelled table gives every document a posterior over domains. The document's rate, how
 often it should be taken, is fitted so that expected token totals per domain meet their targets:
 
-    minimise  1/2 sum_k (A x - t)_k^2 / (m_k T) + ridge/2 * sum_d n_d (x_d - 1)^2   over x >= 0,   A[k, d] = n_d p_k(d)
+    minimise  1/2 sum_k (A x - t)_k^2 / (m_k T) + ridge/2 * sum_d n_d (x_d - 1)^2   over x >= l,   A[k, d] = n_d p_k(d)
 
-with n_d tokens of document d, T tokens in all and m_k = (A 1)_k those of domain k, so that errors count relative to a
+with l_d = 1 for documents labelled good or with their largest posterior on good, so that none of them is lost, and 0 for
+others, n_d tokens of document d, T tokens in all and m_k = (A 1)_k those of domain k, so that errors count relative to a
 domain's size; steps of 1 / (1 + ridge) are then safe for any posteriors. Accelerated projected gradient in the metric of the token counts
 needs one number per domain from each pass over the documents; a document's rate follows from its posterior and those
 numbers, so nothing about single documents ever reaches the driver. From where the gradient steps end, Newton steps on the
@@ -77,23 +78,23 @@ def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     return model.transform(featured(base, "__text")).select("__id", "__key", "tokens", p.alias("p"))
 
 
-def step(x: np.ndarray, y: np.ndarray, p: np.ndarray, pull: np.ndarray, rate: float, ridge: float, momentum: float):
+def step(x: np.ndarray, y: np.ndarray, p: np.ndarray, pull: np.ndarray, rate: float, ridge: float, momentum: float, least=0.0):
     """One accelerated projected-gradient step from the point y; x is the point before."""
-    new = np.maximum(0.0, y - rate * (p @ pull + ridge * (y - 1)))
+    new = np.maximum(least, y - rate * (p @ pull + ridge * (y - 1)))
     return new, new + momentum * (new - x)
 
 
-def replay(p: np.ndarray, pulls: list[np.ndarray], rate: float, ridge: float) -> tuple[np.ndarray, np.ndarray]:
+def replay(p: np.ndarray, pulls: list[np.ndarray], rate: float, ridge: float, least=0.0) -> tuple[np.ndarray, np.ndarray]:
     """Rates and look-ahead points of documents with posteriors p after all ``pulls``."""
     x = y = np.ones(len(p))
     for k, pull in enumerate(pulls):
-        x, y = step(x, y, p, pull, rate, ridge, k / (k + 3))
+        x, y = step(x, y, p, pull, rate, ridge, k / (k + 3), least)
     return x, y
 
 
-def best_rates(p: np.ndarray, dual: np.ndarray, ridge: float) -> np.ndarray:
+def best_rates(p: np.ndarray, dual: np.ndarray, ridge: float, least=0.0) -> np.ndarray:
     """The rates that are optimal when a token of domain k costs dual_k."""
-    return np.maximum(0.0, 1 - p @ dual / ridge)
+    return np.maximum(least, 1 - p @ dual / ridge)
 
 
 def newton(soft: DataFrame, dual: np.ndarray, goal: np.ndarray, share: np.ndarray, total: int, ridge: float,
@@ -109,15 +110,15 @@ def newton(soft: DataFrame, dual: np.ndarray, goal: np.ndarray, share: np.ndarra
 
             part = np.zeros((len(tried), width))
             for batch in batches:
-                n, p = batch.column(0).to_numpy() / total, _matrix(batch.column(1))
+                n, p, least = batch.column(0).to_numpy() / total, _matrix(batch.column(1)), batch.column(2).to_numpy()
                 for k, at in enumerate(tried):
-                    x = best_rates(p, at, ridge)
-                    bent = (p * (n * (x > 0))[:, None]).T @ p / ridge
+                    x = best_rates(p, at, ridge, least)
+                    bent = (p * (n * (x > least))[:, None]).T @ p / ridge
                     part[k] += np.concatenate([[n @ (ridge / 2 * (x - 1) ** 2 + (p @ at) * x)], (n * x) @ p, bent.ravel()])
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in part.ravel().tolist()], [f"s{k}" for k in range(part.size)])
 
         names = [f"s{k}" for k in range(len(tried) * width)]
-        row = soft.select("tokens", "p").mapInArrow(add, ", ".join(f"{c} double" for c in names)).agg(*map(F.sum, names)).first()
+        row = soft.select("tokens", "p", "least").mapInArrow(add, ", ".join(f"{c} double" for c in names)).agg(*map(F.sum, names)).first()
         return np.array(row, float).reshape(len(tried), width)
 
     tried = np.array([dual])
@@ -140,12 +141,12 @@ def newton(soft: DataFrame, dual: np.ndarray, goal: np.ndarray, share: np.ndarra
 
 def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge: float = 0.001, rounds: int = 30,
               tolerance: float = 1e-4) -> DataFrame:
-    """``soft`` (stored; tokens, p, ...) with ``rate``.
+    """``soft`` (stored; tokens, p, ...) with ``rate``, which is at least ``least`` if there is such a column.
 
     The rates are optimal for targets that differ by at most ``tolerance`` from the given ones, relative to them; a fit that
     does not get there raises an error. ``rounds`` gradient steps at most come near, Newton steps do the rest. What the
     posteriors do not allow to be met is logged as a warning."""
-    spark = soft.sparkSession
+    soft = soft if "least" in soft.columns else soft.withColumn("least", F.lit(0.0))
     total = soft.agg(F.sum("tokens")).first()[0] or 0
     if not total:
         return soft.withColumn("rate", F.lit(1.0))
@@ -160,11 +161,11 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge:
             part = np.zeros(len(DOMAINS))
             for batch in batches:
                 n, p = batch.column(0).to_numpy(), _matrix(batch.column(1))
-                part += (n * replay(p, given, rate, ridge)[1]) @ p
+                part += (n * replay(p, given, rate, ridge, batch.column(2).to_numpy())[1]) @ p
             yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in part], [f"s{k}" for k in range(len(DOMAINS))])
 
         schema = ", ".join(f"s{k} double" for k in range(len(DOMAINS)))
-        row = soft.select("tokens", "p").mapInArrow(add, schema).agg(*[F.sum(f"s{k}") for k in range(len(DOMAINS))]).first()
+        row = soft.select("tokens", "p", "least").mapInArrow(add, schema).agg(*[F.sum(f"s{k}") for k in range(len(DOMAINS))]).first()
         return np.array(row, float) / total
 
     pull = np.zeros(len(DOMAINS))
@@ -183,7 +184,7 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], epochs: float, ridge:
         import pyarrow as pa
 
         for batch in batches:
-            x = best_rates(_matrix(batch.column("p")), dual, ridge)
+            x = best_rates(_matrix(batch.column("p")), dual, ridge, batch.column("least").to_numpy())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(x)], [*names, "rate"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in soft.schema.fields)
@@ -198,16 +199,22 @@ def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | No
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``__id``, ``__key`` (digest of its text), tokens, p, rate, copies.
 
-    ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the rate. ``epochs`` is the wanted
+    Documents labelled good, or with their largest posterior on good, have a rate of 1 or more. ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the rate. ``epochs`` is the wanted
     token total as a multiple of the given one. Null and empty texts have no tokens and weigh nothing in the fit; they get
     the rate of their posterior. Null ids and repeated rows are fitted like others; labels without a usable value or of
     unknown documents are left out, of several labels of an id the worst counts. Rows repeated with id and text have equal copies.
     No documents give no rows. Other columns are not read.
     """
     soft = staged(posteriors(docs.select(id_col, text_col), labels, id_col, text_col), "posteriors")
+    # ids of all labelled good documents, not only of those the classifier is fitted on; no text moves
+    worst = F.max(domain(F.col("quality"), F.col("toxic")))
+    clean = labels.where("doc_id is not null").groupBy("doc_id").agg(worst.alias("__label")).where("__label = 0").withColumn("__clean", F.lit(True))
+    favoured = (F.get("p", F.lit(0)) >= F.get("p", F.lit(1))) & (F.get("p", F.lit(0)) >= F.get("p", F.lit(2)))
+    soft = staged(soft.join(clean, F.col("__id") == F.col("doc_id"), "left").withColumn(
+        "least", F.when(favoured | F.col("__clean"), 1.0).otherwise(0.0)).drop("doc_id", "__label", "__clean"), "bounded")
     fitted = fit_rates(soft, targets or TARGETS, epochs)
     unit = F.pmod(F.xxhash64("__id", "__key"), F.lit(1 << 40)) / float(1 << 40)
-    return fitted.withColumn("copies", F.floor(F.col("rate") + unit).cast("long"))
+    return fitted.drop("least").withColumn("copies", F.floor(F.col("rate") + unit).cast("long"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
