@@ -75,6 +75,32 @@ def test_forest_finds_junk_and_keeps_prose(spark):
     assert Counter(r["doc_id"] for r in left.collect()) == Counter(r["__id"] for r in got if r["kept"])
 
 
+def test_threshold_is_that_of_all_scores(spark):
+    r = random.Random(7)
+    rows = [(r.randrange(200) / 300 + 0.2 * (not good), good) for good in (r.random() < 0.8 for _ in range(3000))]
+    for price in (0.5, 2.0, 20.0, 1e6):
+        def gain(cut):
+            gone = [g for s, g in rows if s >= cut]
+            return gone.count(False) / sum(not g for _, g in rows) - price * gone.count(True) / sum(g for _, g in rows)
+        scores = sorted({s for s, _ in rows}, reverse=True)
+        best = max(scores, key=lambda s: (round(gain(s), 12), s))
+        want = 2.0 if gain(best) <= 0 else (best + max((s for s in scores if s < best), default=best)) / 2
+        assert quality_rules.calibrate(spark.createDataFrame(rows, "score double, good boolean"), price, 64) == pytest.approx(want)
+
+
+def test_labels_beyond_the_sample_set_the_threshold(spark):
+    rows, known = corpus()
+    stats = quality_rules.document_statistics(frame(spark, rows))
+    seen = []
+    calibrate, quality_rules.calibrate = quality_rules.calibrate, lambda scored, price: seen.append(scored.count()) or 2.0
+    try:
+        quality_rules.fit(stats, labels(spark, known), label_rows=40)
+    finally:
+        quality_rules.calibrate = calibrate
+    passing = {r["__id"] for r in stats.where("not base_failed").collect()} & {k for k, *_ in known}
+    assert seen and len(passing) - 40 <= seen[0] < len(passing)
+
+
 def test_without_usable_labels_base_rules_decide(spark):
     docs = frame(spark, odd_rows())
     got = quality_rules.quality_verdicts(docs, labels(spark, [])).collect()

@@ -3,7 +3,7 @@
 One pass over the texts takes the statistics of every document. Two fixed rules reject at once. The rest is judged by
 an isolation forest: trees of random splits in which odd documents reach a leaf after few steps. The forest is grown
 from a bounded sample of rows labelled good, so that junk, however common, stays odd, and the threshold on the score is
-set on other labelled rows: it weighs the bad rows it rejects against the good ones, each of which costs ``price`` bad ones.
+set on all other labelled rows, counted in Spark: it weighs the bad rows it rejects against the good ones, each of which costs ``price`` bad ones.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import some_labels, staged
 
@@ -169,33 +169,60 @@ class QualityModel:
         return self.forest.score(x) < self.threshold
 
 
-def calibrate(scores: np.ndarray, good: np.ndarray, price: float) -> float:
+def calibrate(scored: DataFrame, price: float, bins: int = 1 << 14) -> float:
     """The threshold with the largest share of bad rows rejected minus ``price`` times the share of good rows rejected,
-    half way between the two scores it parts. If no threshold gains anything, one that rejects nothing."""
-    order = np.argsort(-scores, kind="stable")
-    ranked, ours = scores[order], good[order]
-    gain = np.cumsum(~ours) / max(1, (~good).sum()) - price * np.cumsum(ours) / max(1, good.sum())
-    gain[np.append(ranked[1:] == ranked[:-1], False)] = -np.inf  # rows of one score are rejected together
-    best = int(np.argmax(gain)) if len(gain) else 0
-    if not len(gain) or gain[best] <= 0:
+    half way between the two scores it parts. If no threshold gains anything, one that rejects nothing.
+
+    ``scored`` (stored): score between 0 and 1, good. Exact over all its rows: sums are taken over ranges of scores, and
+    within a range over its distinct scores; only sums by range reach the driver."""
+    counts = scored.groupBy("score").agg(
+        F.count(F.when(F.col("good"), 1)).alias("g"), F.count(F.when(~F.col("good"), 1)).alias("b")).withColumn(
+        "bin", F.floor(F.col("score") * bins).cast("int"))
+    ranges = counts.groupBy("bin").agg(F.sum("g").alias("g"), F.sum("b").alias("b"))
+    totals = {r["bin"]: (r["g"], r["b"]) for r in ranges.collect()}  # at most bins + 1 rows
+    n_good, n_bad = (sum(v[k] for v in totals.values()) for k in (0, 1))
+    above, up_good, up_bad = [], 0, 0
+    for k in sorted(totals, reverse=True):
+        above.append((k, up_good, up_bad))
+        up_good, up_bad = up_good + totals[k][0], up_bad + totals[k][1]
+    if not above:
         return 2.0
-    return float((ranked[best] + ranked[best + 1]) / 2) if best + 1 < len(ranked) else float(ranked[best])
+    higher = scored.sparkSession.createDataFrame(above, "bin int, more_g long, more_b long")
+    within = Window.partitionBy("bin").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    gain = (F.col("more_b") + F.sum("b").over(within)) / F.lit(max(1, n_bad)) - price * (
+        (F.col("more_g") + F.sum("g").over(within)) / F.lit(max(1, n_good)))
+    best = counts.join(F.broadcast(higher), "bin").select(F.struct(gain.alias("gain"), "score").alias("x")).agg(F.max("x")).first()[0]
+    if best["gain"] <= 0:
+        return 2.0
+    below = scored.where(F.col("score") < best["score"]).agg(F.max("score")).first()[0]
+    return float(best["score"] if below is None else (best["score"] + below) / 2)
 
 
 def fit(stats: DataFrame, labels: DataFrame, label_rows: int = 20_000, price: float = 20.0) -> QualityModel:
-    """Forest and threshold from at most ``label_rows`` labelled rows that pass the base rules, chosen by a hash of their
-    ids (of repeated rows of an id one counts): the even half of the hash grows the forest, the odd half sets the threshold.
-    Without good rows in both halves nothing but the base rules rejects."""
-    known = some_labels(labels, F.min("quality"), label_rows)
-    sample = stats.where(~F.col("base_failed")).join(known, F.col("__id") == F.col("doc_id")).withColumn(
+    """Forest and threshold from the labelled rows that pass the base rules (of repeated rows of an id one counts). The
+    forest grows from at most ``label_rows`` labelled ids, chosen by a hash of their ids, of which the even half is used;
+    all labelled rows that it does not see set the threshold. Without good rows in both nothing but the base rules rejects."""
+    passed = stats.where(~F.col("base_failed"))
+    known = some_labels(labels, F.min("quality"), label_rows).where(F.xxhash64("doc_id") % 2 == 0)
+    sample = passed.join(F.broadcast(known), F.col("__id") == F.col("doc_id")).withColumn(
         "__h", F.xxhash64("__id")).dropDuplicates(["__id"]).toPandas().sort_values(["__h", "__id"])
-    even = (sample["__h"] % 2 == 0).to_numpy(bool)
     good = (sample["__label"] == 1).to_numpy(bool)
-    if not (good & even).any() or not (good & ~even).any():
+    if not good.any():
         return QualityModel(None, 1.0)
     x = features(sample)
-    forest = IsolationForest().fit(x[good & even], x[even])
-    return QualityModel(forest, calibrate(forest.score(x[~even]), good[~even], price))
+    forest = IsolationForest().fit(x[good], x)
+    shared = stats.sparkSession.sparkContext.broadcast(forest)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"score": shared.value.score(features(batch)), "good": batch["__label"] == 1})
+
+    every = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("__label")).where("__label is not null")
+    rest = passed.join(every.join(F.broadcast(known.select("doc_id")), "doc_id", "left_anti"), F.col("__id") == F.col("doc_id"))
+    scored = staged(rest.dropDuplicates(["__id"]).select(*COUNTS, *EXTRA, "__label").mapInPandas(score, "score double, good boolean"), "scores")
+    if not scored.where("good").head(1):
+        return QualityModel(None, 1.0)
+    return QualityModel(forest, calibrate(scored, price))
 
 
 def judge(stats: DataFrame, model: QualityModel) -> DataFrame:
@@ -227,10 +254,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_rows: int = 20_000,
               price: float = 20.0) -> DataFrame:
     """``docs`` without the documents that ``quality_verdicts`` rejects. The verdict hangs on the text alone, so rows are
-    filtered where they are read and no text moves; only labelled rows are looked at before."""
-    known = some_labels(labels, F.min("quality"), label_rows).select(F.col("doc_id").alias(id_col))
-    model = fit(staged(document_statistics(docs.join(known, id_col, "left_semi"), id_col, text_col), "quality"), labels,
-                label_rows, price)
+    filtered where they are read and no text moves. All labelled rows set the threshold, and they are found among the
+    statistics of all documents, which are taken once before."""
+    model = fit(staged(document_statistics(docs, id_col, text_col), "quality"), labels, label_rows, price)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
