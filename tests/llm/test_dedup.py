@@ -36,6 +36,31 @@ def test_exact_matches_brute_force(spark):
     assert kept == Counter(set(by))
 
 
+def test_ids_stay_whole_beside_null_ids(spark):
+    """Ids that floating point can't hold, next to rows without an id, in few buckets."""
+    rows = [((1 << 53) + 1 + 2 * k, prose(k % 40, 20)) for k in range(120)] + [(None, prose(30 + k, 20)) for k in range(20)]
+    expected = {}
+    for i, t in rows:
+        ids = expected.setdefault(t, [])
+        ids += [i] if i is not None else []
+    for big in (1, 100_000):
+        out = exact_dedup.exact_dedup(frame(spark, rows), big=big).collect()
+        assert len(out) == len(rows)
+        assert {r["text"]: r["__keep_id"] for r in out} == {t: min(v, default=None) for t, v in expected.items()}
+        assert Counter(r["text"] for r in out if r["__kept"]) == Counter(set(expected))
+    left = exact_dedup.drop_duplicates(frame(spark, [r for r in rows if r[0]] + [(None, prose(50, 20))]))
+    assert left.columns == frame(spark, rows).columns
+    assert Counter(r["text"] for r in left.collect()) == Counter(set(expected) - {prose(k, 20) for k in range(40, 50)} | {prose(50, 20)})
+
+
+def test_dropping_duplicates_agrees_with_the_flags(spark):
+    for rows in (odd_rows(), list({i: (i, t) for i, t in odd_rows()}.values())):
+        flagged = Counter((r["doc_id"], r["text"]) for r in exact_dedup.exact_dedup(frame(spark, rows)).collect() if r["__kept"])
+        got = Counter((r["doc_id"], r["text"]) for r in exact_dedup.drop_duplicates(frame(spark, rows)).collect())
+        assert {_spaces(t or "") for _, t in got} == {_spaces(t or "") for _, t in flagged}
+        assert len(got) == len(flagged) and sum(got.values()) == len(got)
+
+
 def test_fuse_filter_holds_its_keys_and_few_others():
     rng = np.random.default_rng(1)
     for n in (1, 2, 3, 10, 1000, 50_000):

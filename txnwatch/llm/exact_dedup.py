@@ -147,19 +147,17 @@ def build_snapshot(distinct: DataFrame, buckets: int) -> Snapshot:
 
 
 def screen(distinct: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """The incoming distinct digests with ``maybe``: false only where the snapshot cannot hold them."""
+    """``__key`` of the incoming digests that the snapshot may hold. Only keys and buckets go through Python."""
     def look(keys: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        maybe = np.zeros(len(keys), bool)
-        if len(found) and len(keys):
-            row = found.iloc[0]
-            f = FuseFilter(int(row["seed"]), int(row["segment"]), np.frombuffer(row["cells"], np.uint16))
-            maybe = f.contains(keys["__key"].to_numpy())
-        return keys[["__sha", "__key", "keep_id", "copies"]].assign(maybe=maybe)
+        if not (len(found) and len(keys)):
+            return keys[["__key"]].iloc[:0]
+        row = found.iloc[0]
+        f = FuseFilter(int(row["seed"]), int(row["segment"]), np.frombuffer(row["cells"], np.uint16))
+        return keys.loc[f.contains(keys["__key"].to_numpy()), ["__key"]]
 
-    keyed = distinct.withColumn("bucket", F.pmod(F.xxhash64("__key"), F.lit(snapshot.buckets)).cast("int"))
-    kind = distinct.schema["keep_id"].dataType.simpleString()
-    return keyed.groupBy("bucket").cogroup(snapshot.filters.groupBy("bucket")).applyInPandas(
-        look, f"__sha string, __key long, keep_id {kind}, copies long, maybe boolean")
+    bucket = F.pmod(F.xxhash64("__key"), F.lit(snapshot.buckets)).cast("int").alias("bucket")
+    keyed = distinct.select(bucket, "__key")
+    return keyed.groupBy("bucket").cogroup(snapshot.filters.groupBy("bucket")).applyInPandas(look, "__key long").distinct()
 
 
 def classes(docs: DataFrame, is_old, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 200_000,
@@ -173,9 +171,10 @@ def classes(docs: DataFrame, is_old, id_col: str = "doc_id", text_col: str = "te
     old = F.coalesce(is_old, F.lit(False))
     buckets = groups_for(docs.count() if rows is None else rows, per_bucket, 4)
     snapshot = build_snapshot(rows_of(docs.where(old)), buckets)
-    seen = staged(screen(rows_of(docs.where(~old)), snapshot), "screened")
-    hits = seen.where("maybe").join(snapshot.entries.select("__sha", F.col("keep_id").alias("old_id"),
-                                                            F.col("copies").alias("old_copies")), "__sha")
+    seen = staged(rows_of(docs.where(~old)), "incoming")
+    maybe = seen.join(screen(seen, snapshot), "__key", "left_semi")
+    hits = maybe.join(snapshot.entries.select("__sha", F.col("keep_id").alias("old_id"),
+                                              F.col("copies").alias("old_copies")), "__sha")
     hits = staged(hits.select("__sha", "keep_id", "copies", "old_id", "old_copies"), "hits")
 
     # one text per digest and side, compared as bytes
@@ -195,29 +194,55 @@ def classes(docs: DataFrame, is_old, id_col: str = "doc_id", text_col: str = "te
     return staged(merged.unionByName(single[0]).unionByName(single[1]), "classes")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 200_000) -> DataFrame:
+def _found(docs: DataFrame, id_col: str, text_col: str, per_bucket: int) -> tuple[DataFrame, int]:
+    """The classes of all rows, and the number of rows."""
+    low, high, rows = docs.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
+    middle = (low + high) // 2 if low is not None else 0
+    found = classes(docs, F.col(id_col) <= middle, id_col, text_col, per_bucket, rows)
+    return found.withColumnsRenamed({"keep_id": "__keep_id", "group_size": "__group_size"}), rows
+
+
+def _by_text(rows: DataFrame, found: DataFrame, n: int, big: int) -> DataFrame:
+    """``rows`` with the class of their ``__sha``. A group of more than ``big`` rows is not gathered: at most 100 000 groups
+    are so large, and their classes are broadcast."""
+    limit = max(big, n // 100_000)
+    large = F.broadcast(found.where(F.col("__group_size") > limit))
+    small = rows.join(large.select("__sha"), "__sha", "left_anti").join(found.where(F.col("__group_size") <= limit), "__sha")
+    return small.unionByName(rows.join(large, "__sha"))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 200_000,
+                big: int = 100_000) -> DataFrame:
     """All columns of ``docs`` with ``__keep_id``, ``__group_size``, ``__kept``, ``__sha``.
 
     The lower half of the id range is the snapshot, the upper half arrives. Null and empty texts are equal. A row
     without an id arrives, and stays only if no equal row has an id. Rows repeated with id and text: one of them
     stays. An empty table gives an empty result. Columns of the input that start with two underscores are not allowed;
-    others may have any name.
+    others may have any name. Whole rows meet their class by the digest; ``drop_duplicates`` moves less.
     """
-    bounds = docs.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
-    middle = (bounds[0] + bounds[1]) // 2 if bounds[0] is not None else 0
+    found, n = _found(docs, id_col, text_col, per_bucket)
     rows = docs.withColumn("__sha", F.sha2(normal(F.col(text_col)), 256))
-    found = classes(docs, F.col(id_col) <= middle, id_col, text_col, per_bucket, bounds[2])
-    joined = rows.join(found.withColumnsRenamed({"keep_id": "__keep_id", "group_size": "__group_size"}), "__sha")
     first = F.col(id_col).eqNullSafe(F.col("__keep_id"))
-    if _repeated(rows, id_col):
-        # rows are told apart by numbers, which are stored, so that every reader sees the same
-        joined = staged(joined.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-        rows = joined
-        one = rows.groupBy("__sha", F.col(id_col).alias("__own")).agg(F.min("__row").alias("__first"))
-        one = one.withColumnRenamed("__sha", "__of")
-        joined = joined.join(one, (F.col("__sha") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__own"))).drop("__of", "__own")
-        first = first & (F.col("__row") == F.col("__first"))
-    return joined.withColumn("__kept", first).drop("__row", "__first")
+    if not _repeated(rows, id_col):
+        return _by_text(rows, found, n, big).withColumn("__kept", first)
+    # rows are told apart by numbers, which are stored, so that every reader sees the same
+    joined = staged(_by_text(rows, found, n, big).withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    one = joined.where(first).groupBy("__sha").agg(F.min("__row").alias("__first"))
+    one = one.withColumnRenamed("__sha", "__of")
+    joined = joined.join(one, F.when(first, F.col("__sha")) == F.col("__of"), "left")
+    return joined.withColumn("__kept", F.coalesce(F.col("__row") == F.col("__first"), F.lit(False))).drop("__row", "__first", "__of")
+
+
+def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_bucket: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` that stay, with its columns; odd rows as in ``exact_dedup``. Rows meet the kept ones by digest and
+    id, so a text that a third of all rows share is spread like any other."""
+    if _repeated(docs, id_col):
+        return exact_dedup(docs, id_col, text_col, per_bucket).where("__kept").select(*docs.columns)
+    found, _ = _found(docs, id_col, text_col, per_bucket)
+    rows = docs.withColumn("__sha", F.sha2(normal(F.col(text_col)), 256))
+    kept = found.select(F.col("__sha").alias("__of"), "__keep_id")
+    return rows.join(kept, (F.col("__sha") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__keep_id")),
+                     "left_semi").select(*docs.columns)
 
 
 def _repeated(rows: DataFrame, id_col: str) -> bool:
