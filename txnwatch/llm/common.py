@@ -19,11 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
-    """Where the vocabulary that the contracts name lies; it belongs to an installed package."""
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Where a vocabulary that the contracts name lies; it belongs to an installed package."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

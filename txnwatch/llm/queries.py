@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import chat_format, exact_dedup, near_dedup, packing, quality_rules, sharding, source_mixing, substring_dedup, token_output, url_filter
+from . import (
+    chat_format, exact_dedup, near_dedup, packing, phrases, quality_rules, sharding, source_mixing, substring_dedup, token_counts,
+    token_output, url_filter, whitening)
 from .common import table, tokenizer
 
 
@@ -66,6 +68,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer()).withColumnRenamed("__id", "doc_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("__id", "vec_id")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json")).withColumnRenamed("__id", "doc_id")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 OP2_SQL = r"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -118,6 +133,35 @@ SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n_kept, 0) AS n_removed, s
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+line AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS t FROM d),
+piece AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS ws FROM line),
+place AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM piece),
+run AS (SELECT lang, ws[i:i + 4] AS ws FROM place),
+edge AS MATERIALIZED (SELECT lang, ws, count(*) AS c FROM run GROUP BY ALL),
+gram AS (SELECT lang, ws, c, unnest(range(1, len(ws) + 1)) AS m FROM edge),
+f AS MATERIALIZED (SELECT lang, m, array_to_string(ws[1:m], ' ') AS phrase, sum(c)::BIGINT AS f FROM gram GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS ws FROM f WHERE f >= 100),
+part AS (SELECT lang, ws, f, m, unnest(range(1, m)) AS k FROM often WHERE m >= 2),
+span AS (SELECT lang, ws, f, k, unnest(range(1, m - k + 2)) AS i FROM part),
+sub AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(f) AS above FROM span GROUP BY ALL),
+two AS (SELECT lang, f AS a, k, array_to_string(ws, ' ') AS phrase, array_to_string(ws[1:k], ' ') AS one, array_to_string(ws[k + 1:], ' ') AS rest FROM part),
+cut AS (
+  SELECT two.lang, two.phrase, a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM two JOIN often x ON x.lang = two.lang AND x.phrase = one JOIN often y ON y.lang = two.lang AND y.phrase = rest
+  JOIN total ON total.lang = two.lang),
+best AS (
+  SELECT lang, phrase, a, n, l, r, score FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT best.lang, best.phrase, a, n, score::BIGINT AS score, l, r,
+    row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(best.phrase)) AS rank
+  FROM best LEFT JOIN sub ON sub.lang = best.lang AND sub.phrase = best.phrase WHERE above IS NULL OR 100 * above < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_chat_format": op2_chat_format,
@@ -129,9 +173,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_token_counts": op12_token_counts,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
-SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op9_substring_dedup": OP9_SQL,
+                      "op13_collocations": OP13_SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
