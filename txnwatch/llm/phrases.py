@@ -58,17 +58,16 @@ def _in_order(lang: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, list[np.
     return order, [k[order] for k in keys]
 
 
-def _numbered(blobs: list[tuple[bytes, bytes]]):
-    """The distinct words of many (offsets, bytes) lists, and the number, from 1, of every entry."""
+def _numbered(lists: list[tuple[np.ndarray, bytes]]):
+    """The distinct words of many lists, and the number, from 1, of every entry."""
     import pyarrow as pa
 
-    offsets = [np.frombuffer(o, np.int32) for o, _ in blobs]
-    sizes = np.concatenate([np.diff(o) for o in offsets]) if offsets else np.zeros(0, np.int32)
+    sizes = np.concatenate([s for s, _ in lists]) if lists else np.zeros(0, np.int64)
     ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    data = b"".join([d for _, d in blobs])
+    data = b"".join([d for _, d in lists])
     coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
-    numbers = coded.indices.to_numpy().astype(np.int64) + 1
-    return coded.dictionary, np.split(numbers, np.cumsum([len(o) - 1 for o in offsets])[:-1]) if offsets else []
+    numbers = coded.indices.to_numpy() + np.int32(1)
+    return coded.dictionary, np.split(numbers, np.cumsum([len(s) for s, _ in lists])[:-1]) if lists else []
 
 
 def cut(langs: list[str], texts: list[bytes]) -> Runs:
@@ -165,15 +164,15 @@ def route(runs: Runs, hot: list[np.ndarray], buckets: int) -> tuple[np.ndarray,
     return (at % np.uint64(buckets)).astype(np.int64), own
 
 
-def flows(group: list[Runs], own: list[np.ndarray], least: int) -> dict[str, list]:
+def flows(group: list[Received], least: int) -> dict[str, list]:
     """Paths of one bucket: lang, phrase, ``shortest``, ``longest`` (numbers of first words that it counts), f, whole (no other
     bucket adds to it)."""
     langs = sorted({x for r in group for x in r.langs})
     place = {x: k for k, x in enumerate(langs)}
-    texts, numbers = _numbered([_words(r.texts) for r in group])
+    texts, numbers = _numbered([r.texts for r in group])
     lang = np.concatenate([np.array([place[x] for x in r.langs], np.int32)[r.lang] for r in group])
-    words = np.concatenate([np.concatenate([[0], n])[r.words] for r, n in zip(group, numbers)], axis=1)
-    count, shared = np.concatenate([r.count for r in group]).astype(np.int64), np.concatenate(own)
+    words = np.concatenate([np.concatenate([np.zeros(1, np.int32), n])[r.words] for r, n in zip(group, numbers)], axis=1)
+    count, shared = np.concatenate([r.count for r in group]).astype(np.int64), np.concatenate([r.own for r in group])
     order, _ = _in_order(lang, words)
     lang, words, count, shared = lang[order], words[:, order], count[order], shared[order]
     n = len(lang)
@@ -211,43 +210,60 @@ def flows(group: list[Runs], own: list[np.ndarray], least: int) -> dict[str, lis
     return out
 
 
-def _words(texts) -> tuple[bytes, bytes]:
-    """An Arrow array of words as (offsets, bytes)."""
-    got = texts.to_pylist()
-    sizes = np.array([len(w) for w in got], np.int64)
-    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32).tobytes(), b"".join(got)
+def _words(texts) -> tuple[np.ndarray, bytes]:
+    """The lengths of the words of an Arrow array, and all of them joined."""
+    if not len(texts):
+        return np.zeros(0, np.int64), b""
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    return np.diff(ends), texts.buffers()[2].to_pybytes()[ends[0]:ends[-1]] if ends[-1] else b""
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers from 0, in as few bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"u{len(raw) // n}" if n else "u1")
 
 
 def _send(runs: Runs, bucket: np.ndarray, own: np.ndarray, buckets: int) -> Iterator[dict]:
     """One row per bucket that gets runs of this batch, with the words these use."""
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    number = np.zeros(len(runs.texts) + 1, np.int32)
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         at = order[cuts[b]:cuts[b + 1]]
-        used, words = np.unique(runs.words[:, at], return_inverse=True)
-        words = words.reshape(LONGEST, len(at))
-        if used[0] > 0:
-            words, used = words + 1, np.concatenate([[0], used])
+        words = runs.words[:, at]
+        used = np.unique(words)
+        used = used[used > 0]
+        number[used] = np.arange(1, len(used) + 1)
         langs, lang = np.unique(runs.lang[at], return_inverse=True)
-        offsets, data = _words(runs.texts.take(used[1:] - 1))
-        yield {"bucket": b, "langs": [runs.langs[k] for k in langs.tolist()], "lang": lang.astype(np.int32).tobytes(),
-               "words": words.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), "offsets": offsets, "data": data,
-               "count": runs.count[at].astype(np.int64).tobytes(), "own": own[at].astype(np.uint8).tobytes()}
+        sizes, data = _words(runs.texts.take(used - 1))
+        yield {"bucket": b, "n_runs": len(at), "n_words": len(used), "langs": [runs.langs[k] for k in langs.tolist()], "lang": _narrow(lang),
+               "words": _narrow(number[words]), "sizes": _narrow(sizes), "data": data, "count": _narrow(runs.count[at]), "own": _narrow(own[at])}
 
 
-def _received(row: dict) -> tuple[Runs, np.ndarray]:
-    import pyarrow as pa
+@dataclass
+class Received:
+    """Runs as another task sent them; ``texts`` are word lengths and the words joined."""
+
+    lang: np.ndarray
+    words: np.ndarray
+    count: np.ndarray
+    own: np.ndarray
+    langs: list[str]
+    texts: tuple[np.ndarray, bytes]
 
-    own = np.frombuffer(row["own"], np.uint8).astype(np.int64)
-    wide = np.uint16 if len(row["words"]) == 2 * LONGEST * len(own) else np.uint32
-    offsets = np.frombuffer(row["offsets"], np.int32).astype(np.int64)
-    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(row["data"])])
-    words = np.frombuffer(row["words"], wide).reshape(LONGEST, len(own)).astype(np.int64)
-    return Runs(np.frombuffer(row["lang"], np.int32), words, np.frombuffer(row["count"], np.int64), row["langs"], texts), own
+    @classmethod
+    def of(cls, row: dict) -> "Received":
+        n = row["n_runs"]
+        return cls(_wide(row["lang"], n), _wide(row["words"], LONGEST * n).reshape(LONGEST, n), _wide(row["count"], n), _wide(row["own"], n),
+                   row["langs"], (_wide(row["sizes"], row["n_words"]).astype(np.int64), row["data"]))
 
 
-def phrase_counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", text_col: str = "text", per_bucket: int = 1_000_000,
-                  flush_bytes: int = 8 << 20) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", text_col: str = "text", per_bucket: int = 400_000,
+                  flush_bytes: int = 6 << 20) -> tuple[DataFrame, DataFrame]:
     """(lang, n) with the words of each language; (lang, phrase, m, f, top) with every phrase of up to five words that occurs
     ``least`` times or more. ``top``: no longer phrase that begins with it has its whole count, as far as its bucket knows."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
@@ -271,17 +287,18 @@ def phrase_counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", tex
     def count(group):
         import pyarrow as pa
 
-        got = [_received({c: group.column(c)[k].as_py() for c in group.column_names}) for k in range(group.num_rows)]
-        return pa.Table.from_pydict(flows([r for r, _ in got], [o for _, o in got], least), PATHS)
+        names = group.column_names
+        got = [Received.of(dict(zip(names, row))) for row in zip(*[group.column(c).to_pylist() for c in names])]
+        return pa.Table.from_pydict(flows(got, least), PATHS)
 
     import pyarrow as pa
 
-    SENT = pa.schema([("bucket", pa.int32()), ("langs", pa.list_(pa.string())), *[(c, pa.binary()) for c in (
-        "lang", "words", "offsets", "data", "count", "own")]])
+    SENT = pa.schema([("bucket", pa.int32()), ("n_runs", pa.int32()), ("n_words", pa.int32()), ("langs", pa.list_(pa.string())),
+                      *[(c, pa.binary()) for c in ("lang", "words", "sizes", "data", "count", "own")]])
     PATHS = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("shortest", pa.int32()), ("longest", pa.int32()),
                        ("f", pa.int64()), ("whole", pa.bool_())])
-    sent = rows.mapInArrow(send, "bucket int, langs array<string>, lang binary, words binary, offsets binary, data binary,"
-                                 " count binary, own binary")
+    sent = rows.mapInArrow(send, "bucket int, n_runs int, n_words int, langs array<string>, lang binary, words binary,"
+                                 " sizes binary, data binary, count binary, own binary")
     found = staged(sent.groupBy("bucket").applyInArrow(
         count, "lang string, phrase binary, shortest int, longest int, f long, whole boolean"), "paths")
     found = found.withColumn("phrase", F.col("phrase").cast("string"))
@@ -294,7 +311,7 @@ def phrase_counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", tex
 
 
 def collocations(docs: DataFrame, least: int = 100, first: int = 2000, lang_col: str = "lang", text_col: str = "text",
-                 per_bucket: int = 1_000_000, flush_bytes: int = 8 << 20) -> DataFrame:
+                 per_bucket: int = 400_000, flush_bytes: int = 6 << 20) -> DataFrame:
     """Per language the ``first`` phrases by score: lang, rank, phrase, a, l, r, n, score.
 
     A null language is ``und``, a null text is empty, repeated rows count each, ties go by the count and then the phrase. Texts
