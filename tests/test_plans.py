@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from txnwatch.plans.registry import queries
 
 RUNS = queries()
-PYTHON = {"anomaly_fit", "anomaly_score", "ml_risk_scores", "score_new", "model_save_load"}
+PYTHON = {"anomaly_fit", "anomaly_score", "ml_risk_scores", "score_new", "model_save_load", "rule_circular_flow", "circular_flow_nb",
+          "circular_flow_return", "all_rule_hits"}
 EAGER = {n for n in RUNS if n.startswith(("stream_", "eval_", "gbt_"))} | {"write_table", "write_evolving", "read_csv_typed",
                                                                          "read_csv_strings", "reload_dimensions"}
 

@@ -68,7 +68,9 @@ def test_layering(skewed, once):
     assert {r["account_id"]: (pytest.approx(r["total_in"]), r["total_out"], r["senders"], r["min_gap_min"]) for r in found} == want
 
 
-def test_circular_pairs_and_out_legs(skewed):
+@pytest.mark.parametrize("limit", [200_000, 2])
+def test_circular_answers_and_out_legs(skewed, limit, monkeypatch):
+    monkeypatch.setattr(circular, "LIMIT", limit)
     pdf = skewed.toPandas()
     large = pdf[(pdf.amount > 50000) & pdf.txn_type.isin(["WIRE_IN", "WIRE_OUT"])]
     pairs = large.merge(large, left_on=["account_id", "counterparty_account"], right_on=["counterparty_account", "account_id"],
@@ -76,13 +78,30 @@ def test_circular_pairs_and_out_legs(skewed):
     days = (pd.to_datetime(pairs.txn_date_b) - pd.to_datetime(pairs.txn_date)).dt.days
     ratio = (pairs.amount_b * 100 / pairs.amount).round(1)
     pairs = pairs[(days.between(5, 60)) & ratio.between(70, 130) & (pairs.customer_id != pairs.customer_id_b)]
-    assert circular.rule_circular_flow(skewed, min_amount=50000, days=(5, 60)).count() == len(pairs) > 0
+    want = {leg: (len(g), *min(zip(g.timestamp_b, g.amount_b, g.customer_id_b))[1:]) for leg, g in pairs.groupby("txn_id")}
+    got = circular.rule_circular_flow(skewed, min_amount=50000, days=(5, 60)).collect()
+    assert {r["txn_id"]: (r["n_answers"], r["amount2"], r["customer_id2"]) for r in got} == want != {}
+    assert len(got) == len(want)
     found = circular.circular_flow_nb(skewed, min_amount=50000, days=(5, 60))
     legs = {r[0] for r in found.select("out_txn_id").distinct().collect()}
     once = circular.circular_out_legs(skewed, min_amount=50000, days=(5, 60)).select("out_txn_id").collect()
     assert sorted(r[0] for r in once) == sorted(legs)
 
 
+def test_a_hundred_thousand_wires_between_two_accounts(spark):
+    """Some 10^9 pairs, counted without forming them; every customer answers all others."""
+    n = 100_000
+    wires = spark.range(n).select(
+        F.concat(F.lit("T"), F.lpad("id", 6, "0")).alias("txn_id"), F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("account_id"),
+        F.when(F.col("id") % 2 == 0, "B").otherwise("A").alias("counterparty_account"),
+        F.when(F.col("id") % 2 == 0, "CA").otherwise("CB").alias("customer_id"), (F.lit(300000.0) + F.col("id") % 7).alias("amount"),
+        F.lit("WIRE_OUT").alias("txn_type"), F.lit("IN").alias("country"),
+        F.timestamp_seconds(F.floor(F.col("id") / 1000) * 86400 + 60 * (F.col("id") % 1000)).alias("timestamp"))
+    found = circular.rule_circular_flow(wires).agg(F.count("*"), F.sum("n_answers"), F.max("days_gap")).first()
+    days = [d + 30 for d in range(100)]  # a leg of day d is answered by the 500 opposite ones of each day from d + 30 on
+    assert tuple(found) == (70_000, sum(1000 * 500 * (100 - d) for d in days if d < 100), 30)
+
+
 def test_dedupe_of_one_row_delivered_many_times(spark):
     copies = [{"txn_id": "TXN-000001"} for _ in range(300)] + [{"txn_id": f"TXN-1{i:05d}"} for i in range(300)]
     t = transactions(spark, copies)

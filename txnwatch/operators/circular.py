@@ -1,18 +1,28 @@
 """Round-tripping: a large wire from A to B answered 30 to 365 days later.
 
-The two legs meet on (A, B). The day range is cut into blocks and the amounts into octaves, and both join the
-key: one busy pair of accounts is spread over many tasks, and a leg is only compared with legs of the blocks its
-window touches whose amount can answer it.
+The two legs meet on (A, B). The day range is cut into blocks and the amounts into octaves, and both join the key, so one
+busy pair of accounts is spread over many tasks. The result has one row per first leg, with the number of its answers and the
+earliest one, and no pair of legs is ever formed: a task sorts the answers of one key by time and by amount, and a rank
+index over both counts those within a leg's days and amounts. Keys with more than ``LIMIT`` answers are split; counts add up
+and the earliest of the earliest is the earliest.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed import WIRES
 from ..functions.columns import floor_div, recent
+from ..functions.ranges import count_and_first, first_true
 
 BLOCK_DAYS = 112
+LIMIT = 200_000
+DAY_MICROS = 86_400_000_000
+KEYS = ["a", "b", "block", "octave", "chunk"]
+ANSWER = "struct<at:timestamp,amount:double,customer:string,country:string,account:string,sender:string,txn_id:string>"
 
 
 def _day(ts: Column) -> Column:
@@ -41,49 +51,128 @@ def _answers(legs: DataFrame, day: str, amount: str) -> DataFrame:
     return legs.withColumns({"block2": floor_div(F.col(day), BLOCK_DAYS), "octave2": _octave(F.col(amount))})
 
 
+def find_answers(first: DataFrame, second: DataFrame, days, ratio, factor: float, digits: int, need_customer: bool = True,
+                 limit: int | None = None) -> DataFrame:
+    """For each first leg with answers: ``leg``, ``n_answers`` and ``answer``, the earliest (ties: least amount, customer, ...).
+
+    ``first`` has leg, a, b, customer, at, amount; ``second`` answers from b to a with ``info``, the struct of ``ANSWER``. An
+    answer is later, ``days`` away, of another customer (``need_customer`` false: or of an unnamed one), and
+    round(factor * its amount / amount, digits) lies within ``ratio``.
+    """
+    first = first.withColumn("day", _day(F.col("at")))
+    spread = _first_legs(first, "day", "amount", days, (ratio[0] / factor, ratio[1] / factor)).drop("day")
+    back = second.select("a", "b", "info", floor_div(_day(F.col("info.at")), BLOCK_DAYS).alias("block"),
+                         _octave(F.col("info.amount")).alias("octave"))
+    key = KEYS[:-1]
+    sizes = back.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / (limit or LIMIT)).cast("int").alias("chunks"))
+    spread = spread.join(sizes, key).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    several = sizes.where("chunks > 1").withColumnsRenamed({k: f"_{k}" for k in key})  # at most one per ``limit`` answers
+    met = back.join(several, [F.col(k) == F.col(f"_{k}") for k in key], "left")
+    back = met.select(*key, "info", F.coalesce(F.pmod(F.xxhash64("info"), F.col("chunks")), F.lit(0)).cast("int").alias("chunk"))
+    half = Decimal(5).scaleb(-digits - 1)
+    low, high = float(Decimal(str(ratio[0])) - half), float(Decimal(str(ratio[1])) + half)  # what rounds into the bounds
+
+    def look(legs, answers):
+        import pyarrow as pa
+
+        fields = [(f.name, f.type) for f in answers.schema.field("info").type]
+        out_type = pa.schema([("leg", pa.string()), ("n_answers", pa.int64()), ("answer", pa.struct(fields))])
+        if not answers.num_rows or not legs.num_rows:
+            return out_type.empty_table()
+        info = _sorted(answers.column("info").combine_chunks())
+        at = info.field("at").cast(pa.int64()).to_numpy(zero_copy_only=False)
+        amount, customer = info.field("amount").to_numpy(zero_copy_only=False), np.array(info.field("customer").to_pylist(), object)
+        t = legs.column("at").cast(pa.int64()).to_numpy()
+        size, own = legs.column("amount").to_numpy(), np.array(legs.column("customer").to_pylist(), object)
+        day = t // DAY_MICROS
+        start, stop = np.maximum(t + 1, (day + days[0]) * DAY_MICROS), (day + days[1] + 1) * DAY_MICROS
+        n, first_of = np.zeros(len(t), np.int64), np.full(len(t), -1)
+        named = np.array([c is not None for c in customer], bool)
+        shared = set(customer[named]) & set(own)
+        kinds = np.array([-1 if c is None else 1 if c in shared else 0 for c in own])
+        # who asks, and which answers may count for them: legs of customers that answer nothing here share one index
+        asked = [(kinds == 0, named if need_customer else np.ones(len(at), bool))]
+        asked += [(own == c, (customer != c) & (named | (not need_customer))) for c in sorted(shared)]
+        if not need_customer:
+            asked.append((kinds == -1, ~named))
+        for who, which in asked:
+            q, p = np.flatnonzero(who), np.flatnonzero(which)
+            if not len(q) or not len(p):
+                continue
+            order = np.argsort(amount[p], kind="stable")
+            ascending, mine = amount[p][order], size[q]
+            ratio_at = lambda k: ascending[k] * factor / mine  # noqa: B023, E731
+            lo = first_true(len(p), lambda k: ratio_at(k) >= low, len(q))  # noqa: B023
+            hi = first_true(len(p), lambda k: ratio_at(k) >= high, len(q))  # noqa: B023
+            n[q], found = count_and_first(at[p], order, start[q], stop[q], lo, hi)
+            first_of[q] = np.where(found >= 0, p[np.maximum(found, 0)], -1)
+        hit = np.flatnonzero(n)
+        return pa.Table.from_arrays([legs.column("leg").take(pa.array(hit)), pa.array(n[hit]), info.take(pa.array(first_of[hit]))],
+                                    schema=out_type)
+
+    found = spread.select(*KEYS, "leg", "customer", "at", "amount").groupBy(*KEYS).cogroup(back.groupBy(*KEYS)).applyInArrow(
+        look, f"leg string, n_answers long, answer {ANSWER}")
+    return merge_answers(found)
+
+
+def _sorted(info):
+    """The answers by time, then by the other fields, nulls first as in Spark."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    names = [f.name for f in info.type]
+    table = pa.Table.from_arrays([info.field(k) for k in range(len(names))], names=names)
+    order = pc.sort_indices(table, sort_keys=[(name, "ascending") for name in names], null_placement="at_start")
+    return pa.StructArray.from_arrays([c.combine_chunks() for c in table.take(order).columns], names)
+
+
+def merge_answers(found: DataFrame, *also: str) -> DataFrame:
+    """Counts of parts of the answers put together."""
+    return found.groupBy("leg", *also).agg(F.sum("n_answers").alias("n_answers"), F.min("answer").alias("answer"))
+
+
+def _info(at: str, customer, country, account: str, sender: str) -> Column:
+    return F.struct(F.col(at).alias("at"), F.col("amount"), customer.cast("string").alias("customer"), country.cast("string").alias("country"),
+                    F.col(account).alias("account"), F.col(sender).alias("sender"), F.col("txn_id")).alias("info")
+
+
 def rule_circular_flow(
     t: DataFrame, min_amount=200000, days=(30, 365), pct=(70, 130), critical=1000000, as_of=None, lookback=None,
     ts: str = "timestamp",
 ) -> DataFrame:
-    """Any large wire of A with B, then any of B with A, between different customers."""
+    """Any large wire of A with B that has an answer, any of B with A by a different customer: one row, with the number of
+    answers and the earliest. Rows without an id are told apart by nothing else, so ids have to be unique."""
     wires = recent(t, lookback, as_of, ts)
-    return circular_pairs(wires, wires, min_amount, days, pct, critical, ts)
+    return describe_circles(wires, circular_answers(wires, wires, min_amount, days, pct, ts), min_amount, critical, ts)
 
 
-def circular_pairs(
-    first_legs: DataFrame, second_legs: DataFrame, min_amount=200000, days=(30, 365), pct=(70, 130),
-    critical=1000000, ts: str = "timestamp",
+def circular_answers(
+    first_legs: DataFrame, second_legs: DataFrame, min_amount=200000, days=(30, 365), pct=(70, 130), ts: str = "timestamp",
 ) -> DataFrame:
-    """The rule with its first and second legs from different tables."""
-    first = _first_legs(_large_wires(first_legs, min_amount).select(
-        "account_id", "customer_id", "counterparty_account", "amount", "country",
-        F.col(ts).alias("ts"), _day(F.col(ts)).alias("day")), "day", "amount", days, (pct[0] / 100, pct[1] / 100))
-    second = _answers(_large_wires(second_legs, min_amount).select(
-        F.col("account_id").alias("account_id2"), F.col("customer_id").alias("customer_id2"),
-        F.col("counterparty_account").alias("counterparty2"), F.col("amount").alias("amount2"),
-        F.col("country").alias("country2"), F.col(ts).alias("ts2"), _day(F.col(ts)).alias("day2")),
-        "day2", "amount2")
-    gap = F.col("day2") - F.col("day")
-    ratio = F.round(F.col("amount2") * 100.0 / F.col("amount"), 1)
-    pairs = first.join(
-        second,
-        (F.col("counterparty_account") == F.col("account_id2"))
-        & (F.col("account_id") == F.col("counterparty2"))
-        & (F.col("block") == F.col("block2"))
-        & (F.col("octave") == F.col("octave2"))
-        & (F.col("customer_id") != F.col("customer_id2"))
-        & (F.col("ts2") > F.col("ts"))
-        & gap.between(*days)
-        & ratio.between(*pct),
-    )
-    return pairs.select(
-        "account_id", "customer_id", "counterparty_account", "customer_id2", "amount", "amount2",
-        ratio.alias("return_ratio"), gap.cast("int").alias("days_gap"), "country", "country2",
+    """The answers of the rule, ``leg`` being the txn_id of the first one; both legs may come from different tables. Counts of
+    parts of either table add up (``merge_answers``)."""
+    first = _large_wires(first_legs, min_amount).select(
+        F.col("txn_id").alias("leg"), F.col("account_id").alias("a"), F.col("counterparty_account").alias("b"),
+        F.col("customer_id").alias("customer"), F.col(ts).alias("at"), "amount")
+    second = _large_wires(second_legs, min_amount).select(
+        F.col("counterparty_account").alias("a"), F.col("account_id").alias("b"),
+        _info(ts, F.col("customer_id"), F.col("country"), "account_id", "counterparty_account"))
+    return find_answers(first, second, days, pct, 100.0, 1)
+
+
+def describe_circles(t: DataFrame, found: DataFrame, min_amount=200000, critical=1000000, ts: str = "timestamp") -> DataFrame:
+    """First legs with what was found for them, as the rule reports it."""
+    legs = _large_wires(t, min_amount).join(found, F.col("txn_id") == F.col("leg"))
+    gap = _day(F.col("answer.at")) - _day(F.col(ts))
+    return legs.select(
+        "account_id", "customer_id", "counterparty_account", F.col("answer.customer").alias("customer_id2"), "amount",
+        F.col("answer.amount").alias("amount2"), F.round(F.col("answer.amount") * 100.0 / F.col("amount"), 1).alias("return_ratio"),
+        gap.cast("int").alias("days_gap"), "country", F.col("answer.country").alias("country2"), "n_answers", "txn_id",
         F.lit("CIRCULAR_FLOW").alias("pattern_type"), F.lit("RULE-011").alias("rule_id"),
         F.when(F.col("amount") > critical, "CRITICAL").otherwise("HIGH").alias("severity"),
         F.format_string(
             "ROUND-TRIP: %s (%s) sent %.2f -> got back %.2f from different customer %s in %d days",
-            F.col("account_id"), F.col("customer_id"), F.col("amount"), F.col("amount2"), F.col("customer_id2"),
+            F.col("account_id"), F.col("customer_id"), F.col("amount"), F.col("answer.amount"), F.col("answer.customer"),
             gap).alias("alert_msg"),
     )
 
@@ -131,15 +220,19 @@ def _is_circle(days, ratio, need_customer: bool) -> Column:
 
 
 def circular_flow_nb(g: DataFrame, min_amount=200000, days=(30, 365), ratio=(0.7, 1.3), mode="reference") -> DataFrame:
-    """A's WIRE_OUT to B and the WIRE_IN that answers it: one row per pair of legs."""
-    out = _first_legs(_out_legs(g, min_amount), "out_day", "out_amount", days, ratio)
-    back = _answers(_back_legs(g, min_amount, mode), "in_day", "in_amount")
-    pairs = out.join(back, _is_circle(days, ratio, mode == "reference"))
-    return pairs.select(
-        *_OUT.values(), *_BACK.values(),
-        (F.col("in_day") - F.col("out_day")).cast("int").alias("days_gap"),
-        F.round(F.col("in_amount") / F.col("out_amount"), 2).alias("return_ratio"),
-    )
+    """A's WIRE_OUT to B that was answered, once each, with the number of answers and the earliest of them."""
+    legs = _out_legs(g, min_amount)
+    first = legs.select(F.col("out_txn_id").alias("leg"), F.col("sender").alias("a"), F.col("receiver").alias("b"),
+                        F.col("sender_cust").alias("customer"), F.col("out_time").alias("at"), F.col("out_amount").alias("amount"))
+    back = _back_legs(g, min_amount, mode).withColumnsRenamed({"in_amount": "amount", "in_txn_id": "txn_id"})
+    second = back.select(F.col("from_acct").alias("a"), F.col("recv_acct").alias("b"),
+                         _info("in_time", F.col("recv_cust"), F.lit(None), "recv_acct", "from_acct"))
+    found = find_answers(first, second, days, ratio, 1.0, 2, mode == "reference")
+    of = {"account": "recv_acct", "customer": "recv_cust", "sender": "from_acct", "amount": "in_amount", "at": "in_time", "txn_id": "in_txn_id"}
+    return legs.join(found, F.col("out_txn_id") == F.col("leg")).select(
+        *_OUT.values(), *[F.col(f"answer.{k}").alias(v) for k, v in of.items()],
+        (_day(F.col("answer.at")) - F.col("out_day")).cast("int").alias("days_gap"),
+        F.round(F.col("answer.amount") / F.col("out_amount"), 2).alias("return_ratio"), "n_answers")
 
 
 def circular_out_legs(g: DataFrame, min_amount=200000, days=(30, 365), ratio=(0.7, 1.3), mode="reference") -> DataFrame:

@@ -288,7 +288,7 @@ def _watch(w="", extra=""):
 CIRCLES = """SELECT x.account_id, x.customer_id, x.counterparty_account, y.customer_id AS customer_id2, x.amount,
     y.amount AS amount2, round(y.amount * 100.0 / x.amount, 1) AS return_ratio,
     date_diff('day', x."timestamp", y."timestamp")::INTEGER AS days_gap, x.country, y.country AS country2,
-    'CIRCULAR_FLOW' AS pattern_type, 'RULE-011' AS rule_id,
+    count(*) OVER (PARTITION BY x.txn_id) AS n_answers, x.txn_id, 'CIRCULAR_FLOW' AS pattern_type, 'RULE-011' AS rule_id,
     CASE WHEN x.amount > 1000000 THEN 'CRITICAL' ELSE 'HIGH' END AS severity,
     printf('ROUND-TRIP: %s (%s) sent %.2f -> got back %.2f from different customer %s in %d days', x.account_id,
         x.customer_id, x.amount, y.amount, y.customer_id, date_diff('day', x."timestamp", y."timestamp")) AS alert_msg
@@ -296,18 +296,22 @@ CIRCLES = """SELECT x.account_id, x.customer_id, x.counterparty_account, y.custo
     WHERE x.txn_type IN ('WIRE_OUT', 'WIRE_IN') AND y.txn_type IN ('WIRE_OUT', 'WIRE_IN')
     AND x.amount > 200000 AND y.amount > 200000 AND x.customer_id <> y.customer_id AND y."timestamp" > x."timestamp"
     AND date_diff('day', x."timestamp", y."timestamp") BETWEEN 30 AND 365
-    AND round(y.amount * 100.0 / x.amount, 1) BETWEEN 70 AND 130"""
+    AND round(y.amount * 100.0 / x.amount, 1) BETWEEN 70 AND 130
+    QUALIFY row_number() OVER (PARTITION BY x.txn_id ORDER BY y."timestamp", y.amount, y.customer_id, y.country, y.account_id,
+        y.counterparty_account, y.txn_id) = 1"""
 
 CIRCLES_NB = """SELECT x.account_id AS sender, x.customer_id AS sender_cust, x.counterparty_account AS receiver,
     x.amount AS out_amount, x.txn_timestamp AS out_time, x.txn_id AS out_txn_id, y.account_id AS recv_acct,
     y.customer_id AS recv_cust, y.counterparty_account AS from_acct, y.amount AS in_amount, y.txn_timestamp AS in_time,
     y.txn_id AS in_txn_id, date_diff('day', x.txn_timestamp, y.txn_timestamp)::INTEGER AS days_gap,
-    round(y.amount / x.amount, 2) AS return_ratio
+    round(y.amount / x.amount, 2) AS return_ratio, count(*) OVER (PARTITION BY x.txn_id) AS n_answers
     FROM silver x JOIN silver y ON x.account_id = y.counterparty_account AND x.counterparty_account = y.account_id
     WHERE x.txn_type = 'WIRE_OUT' AND y.txn_type = 'WIRE_IN' AND x.amount > 200000 AND y.amount > 200000
     AND x.customer_id <> y.customer_id AND y.txn_timestamp > x.txn_timestamp
     AND date_diff('day', x.txn_timestamp, y.txn_timestamp) BETWEEN 30 AND 365
-    AND round(y.amount / x.amount, 2) BETWEEN 0.7 AND 1.3"""
+    AND round(y.amount / x.amount, 2) BETWEEN 0.7 AND 1.3
+    QUALIFY row_number() OVER (PARTITION BY x.txn_id ORDER BY y.txn_timestamp, y.amount, y.customer_id, y.account_id,
+        y.counterparty_account, y.txn_id) = 1"""
 
 # B's wire to A, or A's wire in from B; the latter names no customer for B
 CIRCLES_RETURN = """
@@ -318,11 +322,14 @@ CIRCLES_RETURN = """
         FROM silver WHERE txn_type = 'WIRE_IN' AND amount > 200000)
     SELECT x.account_id AS sender, x.customer_id AS sender_cust, x.counterparty_account AS receiver,
         x.amount AS out_amount, x.txn_timestamp AS out_time, x.txn_id AS out_txn_id, b.*,
-        date_diff('day', x.txn_timestamp, in_time)::INTEGER AS days_gap, round(in_amount / x.amount, 2) AS return_ratio
+        date_diff('day', x.txn_timestamp, in_time)::INTEGER AS days_gap, round(in_amount / x.amount, 2) AS return_ratio,
+        count(*) OVER (PARTITION BY x.txn_id) AS n_answers
     FROM silver x JOIN b ON x.account_id = from_acct AND x.counterparty_account = recv_acct
     WHERE x.txn_type = 'WIRE_OUT' AND x.amount > 200000 AND (x.customer_id <> recv_cust OR recv_cust IS NULL)
     AND in_time > x.txn_timestamp AND date_diff('day', x.txn_timestamp, in_time) BETWEEN 30 AND 365
-    AND round(in_amount / x.amount, 2) BETWEEN 0.7 AND 1.3"""
+    AND round(in_amount / x.amount, 2) BETWEEN 0.7 AND 1.3
+    QUALIFY row_number() OVER (PARTITION BY x.txn_id ORDER BY in_time, in_amount, recv_cust NULLS FIRST, recv_acct, from_acct,
+        in_txn_id) = 1"""
 
 DAY = {"lookback": "24 hours"}
 register("rule_structuring", lambda t: rules.rule_structuring(t.silver), _structuring(), total_amount=2)
@@ -367,7 +374,7 @@ HITS = f"""
     UNION ALL SELECT {_hit}, NULL, NULL, amount_sum_1h, alert_msg, "timestamp" FROM ({_velocity()}) e
     UNION ALL SELECT {_hit}, customer_id, txn_id, amount, alert_msg, "timestamp" FROM ({_watch(extra='txn_id, ')}) f
     UNION ALL SELECT {_hit}, NULL, NULL, dep_total, alert_msg, "timestamp" FROM ({_smurfing()}) g
-    UNION ALL SELECT {_hit}, customer_id, NULL, amount, alert_msg, NULL FROM ({CIRCLES}) h"""
+    UNION ALL SELECT {_hit}, customer_id, txn_id, amount, alert_msg, NULL FROM ({CIRCLES}) h"""
 register("all_rule_hits", lambda t: rules.all_rule_hits(t.silver, t.accounts, t.customers), HITS, amount=2)
 register("explain_rule", lambda t: rules.explain_rule(rules.rule_watchlist_pep(t.silver, t.customers), t.rules),
          f"SELECT w.*, condition_summary, rationale FROM ({_watch()}) w JOIN rules r USING (rule_id)")
