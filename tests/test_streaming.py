@@ -9,6 +9,7 @@ from txnwatch.operators import circular, features, flow, layering, rules, scorin
 from txnwatch.plans.tables import tables
 from txnwatch.session import scratch_path
 from txnwatch.streaming import jobs, sinks
+from txnwatch.streaming.store import BatchStore
 
 from .frames import rows, transactions
 
@@ -58,16 +59,14 @@ def test_layering_in_batches(spark, t, silver_files):
     hits = scratch_path(spark, "hits")
     jobs.run_layering(as_stream(spark, silver_files), scratch_path(spark, "legs"), hits, scratch_path(spark, "cp"),
                       lookback=None).awaitTermination()
-    assert same(sinks.current(spark.read.parquet(hits), "account_id", "rule_id"), layering.rule_layering_mule(t.silver))
+    assert same(jobs.found_mules(spark, hits), layering.rule_layering_mule(t.silver))
 
 
 def test_circular_in_batches(spark, t, silver_files):
-    hits = scratch_path(spark, "hits")
-    jobs.run_circular(as_stream(spark, silver_files), scratch_path(spark, "wires"), hits,
-                      scratch_path(spark, "cp")).awaitTermination()
-    got = spark.read.parquet(hits)
-    assert got.select("batch_id").distinct().count() > 1
-    assert same(got.drop("batch_id"), circular.rule_circular_flow(t.silver))
+    wires, hits = scratch_path(spark, "wires"), scratch_path(spark, "hits")
+    jobs.run_circular(as_stream(spark, silver_files), wires, hits, scratch_path(spark, "cp")).awaitTermination()
+    assert BatchStore(spark, hits).read().select("batch_id").distinct().count() > 1
+    assert same(jobs.found_circles(spark, wires, hits), circular.rule_circular_flow(t.silver))
 
 
 def test_dedupe_in_batches(spark, t):
@@ -108,21 +107,55 @@ def test_late_rows_are_counted(spark):
 
 
 def test_scores_once(spark, t, silver_files):
-    model = t.model
-    scores, raised, checkpoint = (scratch_path(spark, n) for n in ("scores", "raised", "cp"))
-    args = (lambda i: t.silver, t.accounts, t.customers, model, scores, raised)
-    jobs.run_scoring(as_stream(spark, silver_files), *args, checkpoint).awaitTermination()
-    got = spark.read.parquet(scores)
+    """Features of a batch are those gold has over what had arrived by then."""
+    scores, raised, checkpoint, store = (scratch_path(spark, n) for n in ("scores", "raised", "cp", "store"))
+    jobs.run_scoring(as_stream(spark, silver_files), store, t.accounts, t.customers, t.model, scores, raised, checkpoint,
+                     memory=None).awaitTermination()
+    got = BatchStore(spark, scores).read()
     assert rows(got, "txn_id") == rows(t.silver, "txn_id")
-    flags = spark.read.parquet(raised)
-    assert flags.count() == got.filter("final_risk_score > 0.75").count() > 0
-    whole = scoring.score_rows(t.gold, model).select("txn_id", F.col("final_risk_score").alias("want"))
-    assert got.join(whole, "txn_id").filter("abs(final_risk_score - want) > 1e-9").count() == 0
+    assert BatchStore(spark, raised).read().count() == got.filter("final_risk_score > 0.75").count() > 0
+    batches = [r[0] for r in got.select("batch_id").distinct().orderBy("batch_id").collect()]
+    assert len(batches) == 3
+    history = BatchStore(spark, f"{store}/rows", by_date=True)
+    for k in batches:
+        seen = history.read(before=k + 1).drop("batch_id")
+        whole = scoring.score_rows(features.gold_features(seen, t.accounts, t.customers), t.model).select(
+            "txn_id", F.col("final_risk_score").alias("want"))
+        joined = got.filter(F.col("batch_id") == k).join(whole, "txn_id")
+        assert joined.count() == history.read(only=k).count() and joined.filter("abs(final_risk_score - want) > 1e-9").count() == 0
+
+
+def test_totals_of_any_parts_make_the_flow_features(spark, t):
+    part = F.xxhash64("txn_id") % 5
+    parts = [flow.party_totals(t.silver.filter(part == k)) for k in range(-4, 5)]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    assert same(flow.flow_from_totals(every), flow.flow_features(t.silver))
+
+
+def test_a_scoring_batch_reads_few_dates(spark, t):
+    store = BatchStore(spark, scratch_path(spark, "rows"), t.silver.schema, by_date=True)
+    day = t.silver.agg(F.max("txn_date")).first()[0]
+    store.append(t.silver, 0)
+    store.append(t.silver.limit(0), 1)
+    touched = store.read(before=2).where(jobs._reach(t.silver.filter(F.col("txn_date") == F.lit(day)), 8))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "txn_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < len(touched.select("txn_date").distinct().collect()) <= 9
 
 
 def test_redelivered_rows_are_not_scored_again(spark, t):
     twice = in_files(spark, t.silver.unionByName(t.silver.withColumn("timestamp", F.col("timestamp") + F.expr("interval 2 years"))), 2)
-    scores = scratch_path(spark, "scores")
-    jobs.run_scoring(as_stream(spark, twice), lambda i: t.silver, t.accounts, t.customers, t.model, scores,
+    scores, store = scratch_path(spark, "scores"), scratch_path(spark, "store")
+    jobs.run_scoring(as_stream(spark, twice), store, t.accounts, t.customers, t.model, scores,
                      scratch_path(spark, "raised"), scratch_path(spark, "cp"), memory=None).awaitTermination()
-    assert rows(spark.read.parquet(scores), "txn_id") == rows(t.silver, "txn_id")
+    assert rows(BatchStore(spark, scores).read(), "txn_id") == rows(t.silver, "txn_id")
+    assert same(flow.flow_from_totals(BatchStore(spark, f"{store}/totals").read()), flow.flow_features(t.silver))
+
+
+def test_sender_sketches_merge(spark, t):
+    exact = t.silver.filter(F.col("txn_type") == "WIRE_IN").groupBy("account_id").agg(F.countDistinct("counterparty_account").alias("n"))
+    found = flow.merge_senders(flow.sender_sketches(t.silver)).join(exact, "account_id")
+    assert found.filter(F.abs(F.col("senders") - F.col("n")) > 3 * 0.017 * F.col("n") + 0.5).count() == 0
+    assert found.count() == exact.count() > 0

@@ -11,17 +11,27 @@ OUT_SIDE = ["total_out", "first_out_after", "distinct_receivers"]
 ZERO_IF_NONE = ["total_in", "total_out", "distinct_senders", "distinct_receivers"]
 
 
-def _per_account(t: DataFrame) -> DataFrame:
-    """Both directions in one scan, and whether an account has any. Rows are first reduced to one per (account, direction,
-    counterparty), which makes distinct counts plain counts and keeps a busy account spread over many tasks."""
+PARTY = ["account_id", "incoming", "counterparty_account"]
+
+
+def party_totals(t: DataFrame) -> DataFrame:
+    """One row per (account, direction, counterparty). Totals of parts of a table merge into those of the whole."""
     incoming = F.col("txn_type").isin(MONEY_IN)
-    per_party = (
-        t.filter(F.col("txn_type").isin(MONEY_IN + MONEY_OUT))
-        .groupBy("account_id", incoming.alias("incoming"), "counterparty_account")
-        .agg(F.sum("amount").alias("amount"), F.max("txn_timestamp").alias("last"), F.min("txn_timestamp").alias("first"))
-    )
+    return t.filter(F.col("txn_type").isin(MONEY_IN + MONEY_OUT)).groupBy(
+        "account_id", incoming.alias("incoming"), "counterparty_account").agg(
+        F.sum("amount").alias("amount"), F.max("txn_timestamp").alias("last"), F.min("txn_timestamp").alias("first"))
+
+
+def merge_party_totals(totals: DataFrame, *more) -> DataFrame:
+    return totals.groupBy(*PARTY).agg(
+        F.sum("amount").alias("amount"), F.max("last").alias("last"), F.min("first").alias("first"), *more)
+
+
+def _sides(totals: DataFrame) -> DataFrame:
+    """Both directions, and whether an account has any, from one row per (account, direction, counterparty): distinct counts
+    are plain counts, and a busy account stays spread over many tasks until then."""
     into, out, party = F.col("incoming"), ~F.col("incoming"), F.col("counterparty_account").isNotNull()
-    return per_party.groupBy("account_id").agg(
+    return totals.groupBy("account_id").agg(
         F.sum(F.when(into, F.col("amount"))).alias("total_in"),
         F.max(F.when(into, F.col("last"))).alias("last_in"),
         F.count_if(into & party).alias("distinct_senders"),
@@ -32,6 +42,10 @@ def _per_account(t: DataFrame) -> DataFrame:
     )
 
 
+def _per_account(t: DataFrame) -> DataFrame:
+    return _sides(party_totals(t))
+
+
 def flow_inflow(t: DataFrame) -> DataFrame:
     """What came in, for accounts that received anything."""
     return _per_account(t).filter("receives").select("account_id", *IN_SIDE)
@@ -44,7 +58,11 @@ def flow_outflow(t: DataFrame) -> DataFrame:
 
 def flow_join(t: DataFrame) -> DataFrame:
     """Both sides of every account that has one; missing sums and counts are 0."""
-    return _per_account(t).select("account_id", *IN_SIDE, *OUT_SIDE).na.fill(0, ZERO_IF_NONE)
+    return _joined(_per_account(t))
+
+
+def _joined(sides: DataFrame) -> DataFrame:
+    return sides.select("account_id", *IN_SIDE, *OUT_SIDE).na.fill(0, ZERO_IF_NONE)
 
 
 def _flow_ratios(flow: DataFrame) -> DataFrame:
@@ -59,6 +77,22 @@ def flow_features(t: DataFrame) -> DataFrame:
     return _flow_ratios(flow_join(t))
 
 
+def flow_from_totals(totals: DataFrame) -> DataFrame:
+    """``flow_features`` from stored totals of parts of the history, however it was cut."""
+    return _flow_ratios(_joined(_sides(merge_party_totals(totals))))
+
+
+def sender_sketches(t: DataFrame, lg_size: int = 12) -> DataFrame:
+    """A mergeable sketch of the distinct senders of each (account, day), to be stored; its size is bounded by ``lg_size``."""
+    return t.filter(F.col("txn_type").isin(MONEY_IN)).groupBy("account_id", "txn_date").agg(
+        F.hll_sketch_agg("counterparty_account", lg_size).alias("senders"))
+
+
+def merge_senders(sketches: DataFrame) -> DataFrame:
+    """Distinct senders per account over the days that ``sketches`` holds; select days for any look-back."""
+    return sketches.groupBy("account_id").agg(F.hll_sketch_estimate(F.hll_union_agg("senders")).alias("senders"))
+
+
 def approx_senders(t: DataFrame, rsd: float = 0.02) -> DataFrame:
     """Distinct senders per account by sketch: one shuffle of fixed-size states instead of two of values."""
     return t.filter(F.col("txn_type").isin(MONEY_IN)).groupBy("account_id").agg(

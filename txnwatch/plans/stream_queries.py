@@ -3,16 +3,18 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators import cleaning
+from ..operators import cleaning, scoring
 from ..schemas import TABLES
 from ..session import scratch_path
 from ..sources import driver_tables as given, files
 from ..streaming import jobs, sinks
+from ..streaming.store import BatchStore
 from .batch_queries import AT, CIRCLES, LIVE, TXN, _cash, _dormant, _layering, _smurfing, _structuring, _velocity, _watch
 from .registry import register
 
 
 _stored: dict = {}
+_scored: dict = {}
 
 
 def _arrivals(t):
@@ -24,7 +26,8 @@ def _live(t):
     """The live table as a stream: what was delivered, re-deliveries too, went through the dedupe job and was stored."""
     if t not in _stored:
         _stored[t] = scratch_path(t.spark, "live-once")
-        sinks.run_to_table(jobs.stream_dedupe(_arrivals(t)), _stored[t])
+        sinks.run_batches(jobs.stream_dedupe(_arrivals(t)), lambda b, i: sinks.write_batch(b, i, _stored[t]),
+                          scratch_path(t.spark, "checkpoint")).awaitTermination()
     schema = StructType([*TABLES["transactions"].fields, StructField("batch_id", LongType())])
     return cleaning.silver_columns(t.spark.readStream.schema(schema).parquet(_stored[t]).drop("batch_id"))
 
@@ -46,29 +49,30 @@ register("stream_source_json", _stream_source_json, f"SELECT {TXN} FROM bronze")
 def _ingested(t):
     live, bad = scratch_path(t.spark, "live"), scratch_path(t.spark, "quarantine")
     jobs.run_ingest(_arrivals(t), live, bad, scratch_path(t.spark, "checkpoint")).awaitTermination()
-    read = lambda path, where: t.spark.read.parquet(path).select(
-        "txn_id", "amount", "pattern_label", F.lit(where).alias("landed"))
-    return read(live, "live").unionByName(read(bad, "quarantine"))
+    read = lambda path, where, by_date: BatchStore(t.spark, path, by_date=by_date).read().select(
+        *TABLES["transactions"].names, F.col("ingest_ts").isNotNull().alias("arrived"), F.lit(where).alias("landed"))
+    return read(live, "live", True).unionByName(read(bad, "quarantine", False))
 
 
+_LANDED = TXN.replace('"pattern_label"', "'PENDING' AS pattern_label")
 register("stream_ingest", _ingested,
-         """SELECT txn_id, amount, 'PENDING' AS pattern_label, 'quarantine' AS landed FROM invalid
-         UNION ALL SELECT txn_id, amount, 'PENDING', 'live' FROM bronze WHERE coalesce(amount > 0 AND account_id IS NOT NULL
+         f"""SELECT {_LANDED}, TRUE AS arrived, 'quarantine' AS landed FROM invalid
+         UNION ALL SELECT {_LANDED}, TRUE, 'live' FROM bronze WHERE coalesce(amount > 0 AND account_id IS NOT NULL
          AND customer_id IS NOT NULL AND "timestamp" IS NOT NULL, FALSE)""")
 
 
 def _fanned_out(t):
     hot, lake = scratch_path(t.spark, "hot"), scratch_path(t.spark, "lake")
     sinks.stream_fan_out(_arrivals(t), {
-        "hot": lambda b, i: sinks.write_batch(b, i, hot), "lake": lambda b, i: sinks.write_batch(b, i, lake),
+        "hot": lambda b, i: sinks.keep(b, i, hot), "lake": lambda b, i: sinks.keep(b, i, lake),
     }, scratch_path(t.spark, "checkpoint")).awaitTermination()
-    count = lambda path, name: t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(name).alias("sink"), "row_count")
-    return count(hot, "hot").unionByName(count(lake, "lake"))
+    read = lambda path, name: BatchStore(t.spark, path).read().select(
+        F.lit(name).alias("sink"), *TABLES["transactions"].names)
+    return read(hot, "hot").unionByName(read(lake, "lake"))
 
 
-register("stream_fan_out", _fanned_out, """SELECT 'hot' AS sink, count(*) AS row_count FROM bronze
-    UNION ALL SELECT 'lake', count(*) FROM bronze""")
+register("stream_fan_out", _fanned_out, f"""SELECT 'hot' AS sink, {TXN} FROM bronze
+    UNION ALL SELECT 'lake', {TXN} FROM bronze""")
 register("stream_dedupe", lambda t: cleaning.silver_columns(_table(t, "once", jobs.stream_dedupe(_arrivals(t)))),
          "SELECT * FROM silver", texts=("txn_date",))
 register("stream_structuring", lambda t: _table(
@@ -87,16 +91,16 @@ def _layered(t):
     hits = scratch_path(t.spark, "layering")
     jobs.run_layering(_live(t), scratch_path(t.spark, "legs"), hits, scratch_path(t.spark, "checkpoint"),
                       lookback=None).awaitTermination()
-    return sinks.current(t.spark.read.parquet(hits), "account_id", "rule_id")
+    return jobs.found_mules(t.spark, hits)
 
 
 register("stream_layering", _layered, _layering(), total_in=2)
 
 
 def _circled(t):
-    hits = scratch_path(t.spark, "circles")
-    jobs.run_circular(_live(t), scratch_path(t.spark, "wires"), hits, scratch_path(t.spark, "checkpoint")).awaitTermination()
-    return t.spark.read.parquet(hits).drop("batch_id")
+    wires, hits = scratch_path(t.spark, "wires"), scratch_path(t.spark, "circles")
+    jobs.run_circular(_live(t), wires, hits, scratch_path(t.spark, "checkpoint")).awaitTermination()
+    return jobs.found_circles(t.spark, wires, hits)
 
 
 register("stream_circular", _circled, CIRCLES)
@@ -113,10 +117,24 @@ register("stream_flag_monitor", _monitored, LIVE)
 
 
 def _stream_scores(t):
-    scores = scratch_path(t.spark, "scores")
-    jobs.run_scoring(_live(t), lambda batch_id: t.silver, t.accounts, t.customers, t.model, scores,
-                     scratch_path(t.spark, "raised"), scratch_path(t.spark, "checkpoint"), at=AT).awaitTermination()
-    return t.spark.read.parquet(scores).drop("batch_id")
+    if t not in _scored:
+        _scored[t] = scratch_path(t.spark, "scores")
+        jobs.run_scoring(_live(t), scratch_path(t.spark, "history"), t.accounts, t.customers, t.model, _scored[t],
+                         scratch_path(t.spark, "raised"), scratch_path(t.spark, "checkpoint"), at=AT).awaitTermination()
+    return BatchStore(t.spark, _scored[t]).read().drop("batch_id")
+
+
+def _score_facts(t):
+    """What holds of every score whatever the model: one per row, within bounds, blended and typed as told."""
+    final, parts = F.col("final_risk_score"), F.col("anomaly_score") * 0.4 + F.col("fraud_probability") * 0.6
+    return _stream_scores(t).groupBy("txn_id").agg(
+        F.count(F.lit(1)).alias("n_scores"),
+        F.bool_and(F.col("anomaly_score").between(0, 1) & F.col("fraud_probability").between(0, 1)).alias("in_bounds"),
+        F.bool_and(F.abs(final - F.greatest(F.lit(0.0), F.least(F.lit(1.0), parts))) < 1e-9).alias("blended"),
+        F.bool_and(F.col("fraud_type") == scoring.coarse_type(final)).alias("typed"),
+        F.bool_and(F.col("is_fraud").isNull()).alias("unlabelled"))
 
 
 register("stream_score", _stream_scores)
+register("stream_score_facts", _score_facts, """SELECT txn_id, count(*) AS n_scores, TRUE AS in_bounds, TRUE AS blended,
+    TRUE AS typed, TRUE AS unlabelled FROM silver GROUP BY txn_id""")

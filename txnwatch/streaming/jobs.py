@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from datetime import timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import circular, cleaning, flags, layering, rules, scoring
 from ..operators.features import gold_features
-from ..operators.flow import flow_features
+from ..operators.flow import flow_from_totals, merge_party_totals, party_totals
 from ..functions.columns import interval
-from ..schemas import TABLES
-from ..sources.tables import empty_table
-from .sinks import read_batches, run_batches, stream_fan_out, write_batch
+from .sinks import current, keep, newest_of, run_batches, stream_fan_out
+from .store import BatchStore
 
 LATENESS = "1 hour"
 
@@ -20,11 +21,17 @@ def stream_ingest(stream: DataFrame) -> DataFrame:
     return stream.withColumns({"ingest_ts": F.current_timestamp(), "pattern_label": F.lit("PENDING")})
 
 
-def run_ingest(stream: DataFrame, live_path: str, quarantine_path: str, checkpoint: str):
-    """Usable arrivals to the live table, the rest to quarantine, in one pass."""
+def run_ingest(stream: DataFrame, live_path: str, quarantine_path: str, checkpoint: str, days: int | None = None):
+    """Usable arrivals to the live table, by date, the rest to quarantine, in one pass. ``days``: forget older dates of the live
+    table."""
+    def to_live(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.filter(cleaning.valid_transaction()).withColumn("txn_date", F.to_date("timestamp"))
+        store = BatchStore(batch.sparkSession, live_path, rows.schema, by_date=True)
+        store.append(rows, batch_id)
+        store.tidy(days=days)
+
     return stream_fan_out(stream_ingest(stream), {
-        "live": lambda b, i: write_batch(b.filter(cleaning.valid_transaction()), i, live_path),
-        "quarantine": lambda b, i: write_batch(cleaning.quarantine_transactions(b), i, quarantine_path),
+        "live": to_live, "quarantine": lambda b, i: keep(cleaning.quarantine_transactions(b), i, quarantine_path),
     }, checkpoint)
 
 
@@ -66,77 +73,100 @@ def stream_flag_monitor(f: DataFrame) -> DataFrame:
         "created_at", "notes")
 
 
-def _with_stored(new: DataFrame, batch_id: int, store: str) -> tuple[DataFrame, DataFrame]:
-    """Add a batch to the stored legs, by date; returns (what earlier batches stored, the batch as stored)."""
-    write_batch(new, batch_id, store, "txn_date")
-    stored = read_batches(new.sparkSession, store, new.schema).filter(F.col("batch_id") <= batch_id)
-    return (stored.filter(F.col("batch_id") < batch_id).drop("batch_id"),
-            stored.filter(F.col("batch_id") == batch_id).drop("batch_id"))
+def _reach(batch: DataFrame, back: int, ahead: int = 0) -> Column:
+    """Dates up to ``back`` days before and ``ahead`` days after those of a batch, as literals, so that a store's folders of
+    other dates are not read."""
+    first, last = batch.agg(F.min("txn_date"), F.max("txn_date")).first()
+    if first is None:
+        return F.lit(False)
+    return F.col("txn_date").between(F.lit(first - timedelta(days=back)), F.lit(last + timedelta(days=ahead)))
 
 
 def run_layering(live: DataFrame, store: str, hits: str, checkpoint: str, lookback: str | None = "24 hours", **params):
     """Layering and mule accounts. Each batch adds its legs to the stored ones and evaluates the accounts it
-    touched on their legs of the look-back. The batch rule forms no pairs, which a join of two streams would."""
+    touched on their legs of the look-back, which counts from the newest leg ever stored. The batch rule forms no pairs, which
+    a join of two streams would. ``hits`` keeps the newest answer of each account (see ``found_mules``)."""
     wanted = ["txn_id", "account_id", "counterparty_account", "amount", "txn_type", "timestamp", "txn_date"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         legs = batch.filter(F.col("txn_type").isin("WIRE_IN", "WIRE_OUT", "UPI_OUT")).select(*wanted)
-        before, new = _with_stored(legs, batch_id, store)
-        accounts = new.select("account_id").distinct()
-        touched = before.unionByName(new).join(accounts, "account_id", "left_semi")
-        found = layering.rule_layering_mule(touched, lookback=lookback, **params)
-        # a touched account without a hit is written too: it may have had one before (see sinks.current)
-        write_batch(accounts.join(found, "account_id", "left"), batch_id, hits)
+        kept = keep(legs, batch_id, store, by_date=True)
+        accounts = kept.read(only=batch_id).select("account_id").distinct()
+        touched = kept.read(before=batch_id + 1).drop("batch_id").join(accounts, "account_id", "left_semi")
+        found = layering.rule_layering_mule(touched, lookback=lookback, as_of=kept.manifest().newest, **params)
+        # a touched account without a hit is written too: it may have had one before
+        keep(accounts.join(found, "account_id", "left"), batch_id, hits, merged=newest_of("account_id"))
 
     return run_batches(live, on_batch, checkpoint)
 
 
-def run_circular(live: DataFrame, store: str, hits: str, checkpoint: str, min_amount=200000, **params):
-    """Round-tripping over up to a year. Instead of a year of join state, each batch meets the stored legs:
-    pairs are new if either leg is."""
-    wanted = ["account_id", "customer_id", "counterparty_account", "amount", "txn_type", "country", "timestamp",
+def found_mules(spark: SparkSession, hits: str) -> DataFrame:
+    return current(BatchStore(spark, hits).read(), "account_id", "rule_id")
+
+
+def run_circular(live: DataFrame, store: str, hits: str, checkpoint: str, min_amount=200000, days=(30, 365), **params):
+    """Round-tripping over up to a year. Instead of a year of join state, each batch meets the stored wires whose dates its own
+    can reach: as first legs of its answers, and as answers of its first legs. ``hits`` keeps counts of the answers of a
+    first leg that add up (see ``found_circles``)."""
+    wanted = ["txn_id", "account_id", "customer_id", "counterparty_account", "amount", "txn_type", "country", "timestamp",
               "txn_date"]
 
+    def merged(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("leg").agg(F.sum("n_answers").alias("n_answers"), F.min("answer").alias("answer"),
+                                       F.max("batch_id").alias("batch_id"))
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        wires = circular._large_wires(batch, min_amount).select(*wanted)
-        before, new = _with_stored(wires, batch_id, store)
-        every = before.unionByName(new)
-        found = circular.circular_pairs(new, every, min_amount, **params).unionByName(
-            circular.circular_pairs(before, new, min_amount, **params))
-        write_batch(found, batch_id, hits)
+        kept = keep(circular._large_wires(batch, min_amount).select(*wanted), batch_id, store, by_date=True)
+        new = kept.read(only=batch_id)
+        before = kept.read(before=batch_id).where(_reach(new, days[1] + 1, days[1] + 1))
+        found = circular.circular_answers(new, before.unionByName(new), min_amount, days, **params).unionByName(
+            circular.circular_answers(before, new, min_amount, days, **params))
+        keep(circular.merge_answers(found), batch_id, hits, merged=merged)
 
     return run_batches(live, on_batch, checkpoint)
 
 
+def found_circles(spark: SparkSession, store: str, hits: str, min_amount=200000) -> DataFrame:
+    """What the stream knows by now: the batch rule over all wires it has seen."""
+    found = circular.merge_answers(BatchStore(spark, hits).read())
+    return circular.describe_circles(BatchStore(spark, store, by_date=True).read().drop("batch_id"), found, min_amount)
+
+
 def run_scoring(
-    live: DataFrame, history_of, accounts: DataFrame, customers: DataFrame, model: scoring.RiskModel, scores: str,
-    raised: str, checkpoint: str, memory: str | None = "7 days", at=None,
+    live: DataFrame, store: str, accounts: DataFrame, customers: DataFrame, model: scoring.RiskModel, scores: str,
+    raised: str, checkpoint: str, memory: str | None = "7 days", memory_days: int = 8, at=None,
 ):
-    """Score arrivals. Features need the touched accounts' rows of the live table (``history_of(batch_id)``, which holds
-    the batch too): flow features all of them, as they are lifetime values, rolling ones those within ``memory`` of the
-    batch. What an earlier batch scored is not scored again."""
-    spark = accounts.sparkSession
-    schema = TABLES["ml_risk_scores"]
-    write_batch(empty_table(spark, schema), -1, scores)
+    """Score arrivals on what is known by then. ``store`` holds the rows by date and, per batch, mergeable totals of each
+    (account, direction, counterparty). Flow features are lifetime values and come from the totals of the touched accounts;
+    rolling ones from their rows within ``memory`` of the batch, of which no older folder is read (``memory_days``; all rows
+    where ``memory`` is None). A row that was delivered before with the same date is neither scored nor counted again."""
+    def merged(rows: DataFrame) -> DataFrame:
+        return merge_party_totals(rows, F.max("batch_id").alias("batch_id"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = read_batches(spark, scores, schema).filter(F.col("batch_id") < batch_id)
-        batch = batch.join(known.select("txn_id"), "txn_id", "left_anti").persist()
+        batch = batch.persist()
         try:
-            touched = history_of(batch_id).join(batch.select("account_id").distinct(), "account_id", "left_semi")
-            flow = flow_features(touched)
-            if memory:
-                since = batch.agg(F.min("timestamp").alias("m")).scalar() - interval(memory)
-                touched = touched.filter(F.col("timestamp") >= since)
-            gold = gold_features(touched, accounts, customers, flow).join(batch.select("txn_id"), "txn_id", "left_semi")
-            scored = scoring.score_rows(gold, model)
-            rows = scoring._score_table(scored.withColumns({
-                "fraud_type": scoring.coarse_type(F.col("final_risk_score")), "is_fraud": F.lit(None).cast("int")}), at)
-            write_batch(rows, batch_id, scores)
-            fresh = spark.read.parquet(f"{scores}/batch_id={batch_id}")
-            write_batch(flags.rt_flags(fresh, at=at), batch_id, raised)
+            rows = BatchStore(spark, f"{store}/rows", batch.schema, by_date=True)
+            known = rows.read(before=batch_id).where(_reach(batch, 0)).select("txn_id")
+            rows.append(batch.join(known, "txn_id", "left_anti"), batch_id)
+            rows.tidy()
         finally:
             batch.unpersist()
+        new = rows.read(only=batch_id).drop("batch_id")
+        totals = keep(party_totals(new), batch_id, f"{store}/totals", merged=merged)
+        owners = new.select("account_id").distinct()
+        flow = flow_from_totals(totals.read(before=batch_id + 1).join(owners, "account_id", "left_semi"))
+        touched = rows.read(before=batch_id + 1).drop("batch_id")
+        if memory:
+            since = new.agg(F.min("timestamp")).first()[0]
+            touched = touched.where(_reach(new, memory_days)).filter(F.col("timestamp") >= F.lit(since) - interval(memory))
+        touched = touched.join(owners, "account_id", "left_semi")
+        gold = gold_features(touched, accounts, customers, flow).join(new.select("txn_id"), "txn_id", "left_semi")
+        scored = scoring.score_rows(gold, model)
+        table = scoring._score_table(scored.withColumns({
+            "fraud_type": scoring.coarse_type(F.col("final_risk_score")), "is_fraud": F.lit(None).cast("int")}), at)
+        fresh = keep(table, batch_id, scores).read(only=batch_id).drop("batch_id")
+        keep(flags.rt_flags(fresh, at=at), batch_id, raised)
 
     return run_batches(live, on_batch, checkpoint)

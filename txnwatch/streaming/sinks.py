@@ -1,5 +1,5 @@
-"""Running streams and keeping what they produce. A batch is written to a folder named after its number and
-overwrites it, so a batch that is run again after a failure leaves one result."""
+"""Running streams and keeping what they produce, in stores (see ``store``) or, for other streams to read on, in one folder per
+batch. A batch that is run again after a failure leaves one result either way."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..sources.tables import write_table
+from .store import BatchStore
 
 
 def run_batches(
@@ -29,10 +30,31 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: str |
 
 
 def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Run over what is available now; every emitted row with its ``batch_id``."""
-    query = run_batches(stream, lambda b, i: write_batch(b, i, path), f"{path}-checkpoint", mode)
-    query.awaitTermination()
-    return read_batches(stream.sparkSession, path, stream.schema)
+    """Run over what is available now into a store; every emitted row with its ``batch_id``."""
+    schema = stream.schema
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        keep(batch, batch_id, path, schema)
+
+    run_batches(stream, on_batch, f"{path}-checkpoint", mode).awaitTermination()
+    return BatchStore(stream.sparkSession, path, schema).read()
+
+
+def keep(batch: DataFrame, batch_id: int, path: str, schema=None, merged=None, by_date: bool = False) -> BatchStore:
+    """Add a batch to the store at ``path`` and keep the store tidy."""
+    store = BatchStore(batch.sparkSession, path, schema, by_date)
+    store.append(batch, batch_id)
+    store.tidy(merged)
+    return store
+
+
+def newest_of(*keys: str) -> Callable[[DataFrame], DataFrame]:
+    """For ``keep``: of rows that replace one another only the newest of each key."""
+    def merged(rows: DataFrame) -> DataFrame:
+        last = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
+        return rows.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
+
+    return merged
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
