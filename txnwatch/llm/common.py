@@ -60,98 +60,114 @@ def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-class Generations:
-    """A map that forgets: when ``new`` is full it becomes ``old``, and what is used again moves back to ``new``."""
-
-    def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
-
-    def lacks(self, keys) -> list:
-        """Which of the keys are unknown; the others are in ``new`` afterwards."""
-        if len(self.new) > self.limit:
-            self.new, self.old = {}, self.new
-        missing = [k for k in keys if k not in self.new]
-        if self.old:
-            for k in missing:
-                if k in self.old:
-                    self.new[k] = self.old[k]
-            missing = [k for k in missing if k not in self.new]
-        return missing
-
-
 class TokenCache:
-    """Token ids of white-space-delimited chunks of bytes, as little-endian 16-bit integers.
+    """Token ids of texts, as little-endian 16-bit integers.
 
-    The tokenizer drops white space and splits at it, so a text's ids are its chunks' ids in order. It also lowers case and
-    parts letters from punctuation, so a chunk's ids are those of its lower-cased core and of its tail of marks. Unknown
-    parts are encoded many at a time, set apart by a control character that is a token of its own. Forgetting costs time,
-    never results.
+    The tokenizer drops white space and splits at it, lowers case, and parts letters from punctuation, so a text's ids are
+    those of its parts in order: of every word, lower-cased, its core and its tail of marks. A batch's distinct parts are found
+    by Arrow; what the cache lacks is encoded many at a time, set apart by a control character that is a token of its own. A
+    text that holds that character, or what could begin a special token, is encoded as it is. A full cache is emptied:
+    forgetting costs time, never results.
     """
 
     MARK = "\x01"
-    TAIL = b"!\"#$%&()*+,-./:;=>?@[]^_`{}~|<"  # without the apostrophe, which may belong to a contraction
+    # marks that may stand apart at the end of a word; not the apostrophe, which may belong to a contraction
+    TAIL = b"!\"#$%&()*+,-./:;=>?@[]^_`{}~|<"
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         import os
 
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.chunks, self.parts, self.tokenizer = Generations(limit), Generations(limit), Tokenizer.from_file(path)
+        self.limit, self.tokenizer = limit, Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids above 65535 need wider integers than this cache keeps")
         [self.mark] = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.lower = bytes(range(256)).lower()
+        self.blank, self.tail, self.alnum = (np.zeros(256, bool) for _ in range(3))
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
+        self.tail[list(self.TAIL)] = True
+        self.alnum[[c for c in range(128) if chr(c).isalnum()]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        import numpy as np
+
+        self.known: dict[bytes, int] = {}
+        self.ids, self.ends = np.zeros(1 << 16, "<u2"), np.zeros(1 << 14, np.int64)  # a part's ids end where the next one's begin
 
     def _learn(self, parts: list[bytes]) -> None:
         import numpy as np
 
-        between = f" {self.MARK} "
-        batches = [parts[i:i + 256] for i in range(0, len(parts), 256)]
-        texts = [between.join([c.decode("utf-8") for c in part]) for part in batches]
-        for part, code in zip(batches, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        between, first = f" {self.MARK} ", len(self.known)
+        texts = [between.join([c.decode("utf-8") for c in parts[k:k + 256]]) for k in range(0, len(parts), 256)]
+        found, ends = [], []
+        at = int(self.ends[first - 1]) if first else 0
+        for k, code in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(code.ids, "<u2")
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
-            raw, start = ids.tobytes(), 0
-            for c, end in zip(part, ends):
-                self.parts.new[c] = raw[2 * start:2 * end]
-                start = end + 1
-
-    def _split(self, missing: list[bytes]) -> None:
+            marks = np.flatnonzero(ids == self.mark)
+            found.append(np.delete(ids, marks))
+            ends.append(at + np.append(marks - np.arange(len(marks)), len(ids) - len(marks)))
+            at = int(ends[-1][-1])
+        if at > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * at)
+        begin = int(self.ends[first - 1]) if first else 0
+        self.ids[begin:at] = np.concatenate(found)
+        if first + len(parts) > len(self.ends):
+            self.ends = np.resize(self.ends, 2 * (first + len(parts)))
+        self.ends[first:first + len(parts)] = np.concatenate(ends)
+        self.known.update(zip(parts, range(first, first + len(parts))))
+
+    def _parts(self, raw) -> tuple:
+        """Where the parts of lower-cased bytes begin, and how long they are."""
         import numpy as np
 
-        pairs = []
-        for c in missing:
-            if b"\x01" in c or b"<|" in c:  # could be taken for marks or special tokens
-                ids = self.tokenizer.encode(c.decode("utf-8"), add_special_tokens=False).ids
-                self.chunks.new[c] = np.array(ids, "<u2").tobytes()
-                continue
-            core = c.rstrip(self.TAIL)
-            if core[-1:].isalnum():  # an ASCII letter or digit before the tail
-                pairs.append((c, core.lower(), c[len(core):]))
-            else:
-                pairs.append((c, c, b""))
-        known = {b""}
-        for _, core, tail in pairs:
-            known.add(core)
-            known.add(tail)
-        known.discard(b"")
-        self._learn(self.parts.lacks(known))
-        get = self.parts.new
-        get[b""] = b""
-        for c, core, tail in pairs:
-            self.chunks.new[c] = get[core] + get[tail]
+        blank = self.blank[raw]
+        edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+        start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        core = np.where(blank | self.tail[raw], -1, np.arange(len(raw)))
+        cut = np.maximum(np.maximum.accumulate(core)[stop - 1] + 1, start) if len(start) else start
+        split = (cut > start) & (cut < stop) & self.alnum[raw[np.maximum(cut - 1, 0)]]
+        begin = np.repeat(start, 1 + split)
+        second = np.cumsum(1 + split)[split] - 1
+        begin[second] = cut[split]
+        length = np.repeat(stop, 1 + split) - begin
+        length[second - 1] = (cut - start)[split]
+        return begin, length, blank
 
     def encode(self, texts: list[bytes | None], end: int) -> list[bytes]:
         """Ids of each text followed by the end id, 16 bits each."""
-        words = [(t or b"").split() for t in texts]
-        distinct = set()
-        for each in words:
-            distinct.update(each)
-        missing = self.chunks.lacks(distinct)
+        import numpy as np
+        import pyarrow as pa
+
+        last = end.to_bytes(2, "little")
+        texts = [t or b"" for t in texts]
+        odd = {k: np.array(self.tokenizer.encode(t.decode("utf-8"), add_special_tokens=False).ids, "<u2").tobytes() + last
+               for k, t in enumerate(texts) if b"\x01" in t or b"<|" in t}
+        raw = np.frombuffer(b" ".join([b"" if k in odd else t for k, t in enumerate(texts)]).translate(self.lower) + b" ", np.uint8)
+        begin, length, blank = self._parts(raw)
+        offsets = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~blank].tobytes())]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) + len(distinct) > self.limit and self.known:
+            lacking = sum(w not in self.known for w in distinct)
+            if len(self.known) + lacking > self.limit:
+                self._forget()
+        missing = [w for w in distinct if w not in self.known]
         if missing:
-            self._split(missing)
-        look, last = self.chunks.new.__getitem__, end.to_bytes(2, "little")
-        return [b"".join(map(look, each)) + last for each in words]
+            self._learn(missing)
+        slot = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        first = np.where(slot > 0, self.ends[slot - 1], 0)
+        n = self.ends[slot] - first
+        total = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.repeat(first - total[:-1], n) + np.arange(total[-1])].tobytes()
+        sizes = np.array([0 if k in odd else len(t) for k, t in enumerate(texts)], np.int64)
+        edges = total[np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes + 1)]))].tolist()
+        return [odd[k] if k in odd else ids[2 * a:2 * b] + last for k, (a, b) in enumerate(zip(edges[:-1], edges[1:]))]
 
 
 @lru_cache(maxsize=2)
