@@ -20,16 +20,22 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
 from .common import some_labels, staged
+from .substring_dedup import Words
 
 DOMAINS = ["good", "poor", "toxic"]
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
-BREAKS = r"[\x20\x09-\x0D.,;:!?]+"
-WORD = r"[^\x20\x09-\x0D]+"
+FOLD = bytes(32 if c in b".,;:!?" else c for c in bytes(range(256)).lower())
+
+
+def _bytes(chars: bytes) -> np.ndarray:
+    return np.isin(np.arange(256), np.frombuffer(chars, np.uint8))
+
+
+BLANKS, SYMBOLS, CAPITALS = _bytes(b" \t\n\x0b\x0c\r"), _bytes(b"#*$%&|<>!"), _bytes(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def domain(quality, toxic):
@@ -41,41 +47,96 @@ def key_of(text_col: str):
     return F.md5(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def featured(rows: DataFrame, text_col: str = "text", width: int = 1 << 15) -> DataFrame:
-    """``rows`` with ``__features``: which hashed words occur, and shares of symbols, capitals and repeated words."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.split(F.lower(text), BREAKS)
-    length = F.greatest(F.length(text), F.lit(1))
-    share = lambda kind: (F.length(text) - F.length(F.translate(text, kind, ""))) / length
-    rows = rows.withColumn("__words", words).withColumns({
-        "__symbols": 10 * share("#*$%&|<>!"), "__capitals": 5 * share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        "__distinct": F.size(F.array_distinct("__words")) / F.size("__words")})
-    hashed = HashingTF(numFeatures=width, binary=True, inputCol="__words", outputCol="__hashed").transform(rows)
-    return VectorAssembler(inputCols=["__hashed", "__symbols", "__capitals", "__distinct"], outputCol="__features").transform(
-        hashed).drop("__words", "__symbols", "__capitals", "__distinct", "__hashed")
+class Features:
+    """Of many texts: which hashed words occur in each (``text``, ``word``, without repeats), ``shares`` of symbols, capitals and
+    distinct words, and the number of ``tokens`` between blanks."""
+
+    def __init__(self, texts: list[str | None], width: int):
+        raw = [(t or "").encode() for t in texts]
+        size = np.array([len(t) + 1 for t in raw])
+        of = np.repeat(np.arange(len(raw)), size)
+        given = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+        add = lambda hit: np.bincount(of[hit], minlength=len(raw))
+        length = np.maximum(add((given & 0xC0) != 0x80) - 1, 1)
+        inside = ~BLANKS[given]
+        self.tokens = add(inside & np.concatenate([[True], ~inside[:-1]]))
+        words = Words([t.translate(FOLD) for t in raw])
+        at = np.arange(len(words.starts) - 1)
+        text = np.repeat(np.arange(len(raw)), words.counts)
+        h = words.hashes(at, at + 1) if len(at) else np.zeros(0, np.uint64)
+        pairs = np.unique(text.astype(np.int64) * width + (h % np.uint64(width)).astype(np.int64))
+        self.text, self.word = pairs // width, pairs % width
+        distinct = np.bincount(self.text, minlength=len(raw)) / np.maximum(words.counts, 1)
+        self.shares = np.stack([10 * add(SYMBOLS[given]) / length, 5 * add(CAPITALS[given]) / length, distinct], axis=1)
+
+
+def pieces(batch, bytes_each: int = 1 << 20) -> Iterator:
+    """Row ranges of an Arrow batch (text in its last column) of about a megabyte each."""
+    import pyarrow.compute as pc
+
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
+    cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(total // bytes_each)) + 1, [batch.num_rows]]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield batch.slice(a, b - a)
+
+
+def fitted_classifier(train: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients (one row per domain) and intercepts from the labelled rows (__label, __text)."""
+    def look(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in pieces(batch):
+                f = Features(part.column(1).to_pylist(), width)
+                lists = np.split(f.word, np.cumsum(np.bincount(f.text, minlength=part.num_rows))[:-1])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.list_(pa.int32())),
+                                                  pa.array(f.shares.tolist(), pa.list_(pa.float64()))], ["__label", "words", "shares"])
+
+    vector = F.udf(lambda words, shares: Vectors.sparse(
+        width + 3, [*words, width, width + 1, width + 2], [*[1.0] * len(words), *shares]), VectorUDT())
+    rows = train.select("__label", "__text").mapInArrow(look, "__label double, words array<int>, shares array<double>")
+    model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0001,
+                               standardization=False, maxIter=40).fit(rows.select("__label", vector("words", "shares").alias("__features")))
+    return model.coefficientMatrix.toArray(), model.interceptVector.toArray()
 
 
-def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_rows: int = 10_000) -> DataFrame:
+def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, given: DataFrame | None = None,
+               label_rows: int = 10_000, width: int = 1 << 15) -> DataFrame:
     """``rows`` as ``__id``, ``__key`` (digest of the text), ``tokens`` and ``p``, the posterior over DOMAINS.
 
-    The classifier is fitted on at most ``label_rows`` labelled rows, chosen by a hash of their ids. A domain without
-    labelled rows gets no weight; with less than two domains in the labels every document is wholly of the one that is
-    there, of the first if there is none."""
+    The classifier is fitted on at most ``label_rows`` labelled rows of ``given`` (of ``rows`` if there is none), chosen by a hash
+    of their ids. A domain without labelled rows gets no weight; with less than two domains in the labels every document is
+    wholly of the one that is there, of the first if there is none."""
     known = some_labels(labels, F.max(domain(F.col("quality"), F.col("toxic"))), label_rows)
-    train = rows.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(
+    train = (rows if given is None else given).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(
         known, F.col("__id") == F.col("doc_id")).drop("doc_id").dropDuplicates(["__id"])
     train = staged(train, "labelled")
     seen = sorted(int(r["__label"]) for r in train.select("__label").distinct().collect())
-    base = rows.select(F.col(id_col).alias("__id"), key_of(text_col).alias("__key"), F.col(text_col).alias("__text")).withColumn(
-        "tokens", F.regexp_count(F.coalesce("__text", F.lit("")), F.lit(WORD)).cast("long"))
+    base = rows.select(F.col(id_col).alias("__id"), key_of(text_col).alias("__key"), F.col(text_col).alias("__text"))
     if len(seen) < 2:
-        sure = F.array(*[F.lit(1.0 if k == (seen or [0])[0] else 0.0) for k in range(len(DOMAINS))])
-        return base.select("__id", "__key", "tokens", sure.alias("p"))
-    model = LogisticRegression(featuresCol="__features", labelCol="__label", family="multinomial", regParam=0.0001,
-                               standardization=False, maxIter=40, probabilityCol="__p").fit(featured(train, "__text"))
-    given = vector_to_array("__p")
-    p = F.array(*[F.coalesce(F.get(given, k), F.lit(0.0)) for k in range(len(DOMAINS))])
-    return model.transform(featured(base, "__text")).select("__id", "__key", "tokens", p.alias("p"))
+        only = (seen or [0])[0]
+        weights, bias = np.zeros((len(DOMAINS), width + 3)), np.where(np.arange(len(DOMAINS)) == only, 0.0, -np.inf)
+    else:
+        weights, bias = fitted_classifier(train, width)
+    words, shares = np.ascontiguousarray(weights[:, :width].T), weights[:, width:].T
+
+    def judge(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in pieces(batch):
+                f = Features(part.column(2).to_pylist(), width)
+                score = f.shares @ shares + bias
+                for k in range(score.shape[1]):
+                    score[:, k] += np.bincount(f.text, weights=words[f.word, k], minlength=part.num_rows)
+                odds = np.exp(score - score.max(1, keepdims=True))
+                p = np.zeros((part.num_rows, len(DOMAINS)))
+                p[:, :odds.shape[1]] = odds / odds.sum(1, keepdims=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(f.tokens, pa.int64()),
+                                                  pa.array(p.tolist(), pa.list_(pa.float64()))], ["__id", "__key", "tokens", "p"])
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return base.mapInArrow(judge, f"__id {kind}, __key string, tokens long, p array<double>")
 
 
 def step(x: np.ndarray, y: np.ndarray, p: np.ndarray, pull: np.ndarray, rate: float, ridge: float, momentum: float, least=0.0):
@@ -115,11 +176,12 @@ def newton(soft: DataFrame, dual: np.ndarray, goal: np.ndarray, share: np.ndarra
                     x = best_rates(p, at, ridge, least)
                     bent = (p * (n * (x > least))[:, None]).T @ p / ridge
                     part[k] += np.concatenate([[n @ (ridge / 2 * (x - 1) ** 2 + (p @ at) * x)], (n * x) @ p, bent.ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in part.ravel().tolist()], [f"s{k}" for k in range(part.size)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(part.size, dtype=np.int32)), pa.array(part.ravel())], ["k", "v"])
 
-        names = [f"s{k}" for k in range(len(tried) * width)]
-        row = soft.select("tokens", "p", "least").mapInArrow(add, ", ".join(f"{c} double" for c in names)).agg(*map(F.sum, names)).first()
-        return np.array(row, float).reshape(len(tried), width)
+        got = soft.select("tokens", "p", "least").mapInArrow(add, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+        out = np.zeros(len(tried) * width)
+        out[[r["k"] for r in got]] = [r["v"] for r in got]
+        return out.reshape(len(tried), width)
 
     tried = np.array([dual])
     for _ in range(rounds):
@@ -196,16 +258,17 @@ def _matrix(column) -> np.ndarray:
 
 
 def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, epochs: float = 1.1,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+              id_col: str = "doc_id", text_col: str = "text", given: DataFrame | None = None) -> DataFrame:
     """One row per document: ``__id``, ``__key`` (digest of its text), tokens, p, rate, copies.
 
     Documents labelled good, or with their largest posterior on good, have a rate of 1 or more. ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the rate. ``epochs`` is the wanted
     token total as a multiple of the given one. Null and empty texts have no tokens and weigh nothing in the fit; they get
     the rate of their posterior. Null ids and repeated rows are fitted like others; labels without a usable value or of
     unknown documents are left out, of several labels of an id the worst counts. Rows repeated with id and text have equal copies.
-    No documents give no rows. Other columns are not read.
+    No documents give no rows. Other columns are not read. ``given``: the table whose labelled rows the classifier is fitted on,
+    where ``docs`` is what earlier stages have left of it.
     """
-    soft = staged(posteriors(docs.select(id_col, text_col), labels, id_col, text_col), "posteriors")
+    soft = staged(posteriors(docs.select(id_col, text_col), labels, id_col, text_col, given), "posteriors")
     # ids of all labelled good documents, not only of those the classifier is fitted on; no text moves
     worst = F.max(domain(F.col("quality"), F.col("toxic")))
     clean = labels.where("doc_id is not null").groupBy("doc_id").agg(worst.alias("__label")).where("__label = 0").withColumn("__clean", F.lit(True))
