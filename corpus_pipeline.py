@@ -29,7 +29,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return source_mixing.mix(docs, table(spark, sf_dir, "labels"))
+    """The classifier learns from all labelled documents: of poor ones the stages before have left none."""
+    return source_mixing.mix(docs, table(spark, sf_dir, "labels"), given=table(spark, sf_dir, "documents"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
