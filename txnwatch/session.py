@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows go to Python workers in batches of at most so much, however long they are
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 # HotSpot leaves methods over 8000 bytes uncompiled; below that Spark splits wide projections instead. It holds for
 # sessions built here, a caller's own session keeps its limit.
