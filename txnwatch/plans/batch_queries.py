@@ -160,6 +160,20 @@ FLOW_ROUND = {"pass_through_ratio": 6, "in_out_gap_min": 4}
 register("flow_features", lambda t: flow.flow_features(t.silver), "SELECT * FROM flow",
          total_in=2, total_out=2, **FLOW_ROUND)
 register("approx_senders", lambda t: flow.approx_senders(t.silver))
+
+
+def _sketched(t):
+    """Stored day sketches merged over all days, against the exact count: within three standard errors of 1.7 % each."""
+    stored = t.stored("sender-sketches", flow.sender_sketches(t.silver), "txn_date")
+    exact = flow.flow_inflow(t.silver).select("account_id", "distinct_senders")
+    off = F.abs(F.col("senders") - F.col("distinct_senders"))
+    return flow.merge_senders(stored).join(exact, "account_id").select(
+        "account_id", "distinct_senders", (off <= 0.5 + 3 * 0.017 * F.col("distinct_senders")).alias("within"))
+
+
+register("sender_sketches", _sketched, """SELECT account_id, count(DISTINCT counterparty_account) AS distinct_senders, TRUE AS within
+    FROM silver WHERE txn_type = 'WIRE_IN' GROUP BY account_id""")
+
 register("binned_group_by", lambda t: t.silver.groupBy("account_id", F.window("timestamp", "2 days").alias("w")).agg(
     F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total")).select(
     "account_id", F.col("w.start").alias("bin_start"), "n", "total"),
