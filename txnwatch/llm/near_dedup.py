@@ -195,8 +195,11 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 def shared_buckets(keyed: DataFrame) -> DataFrame:
     """``keyed`` (key, node) as buckets of at least two texts, buckets of the same texts as one: key, node, degree (how many
     others the text meets in all buckets; the source of a group of near copies meets most)."""
-    full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("all")).where("n > 1")
-    one = full.groupBy("n", "all").agg(F.min("key").alias("key"), (F.count(F.lit(1)) * (F.col("n") - 1)).alias("meets"))
+    # sums of two hashes, whole ones, as decimals: different buckets agree in both with a probability of 2^-128
+    total = lambda h: F.sum(h.cast("decimal(20,0)"))
+    full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), total(F.xxhash64("node")).alias("all"),
+                                    total(F.xxhash64("node", F.lit("second"))).alias("other")).where("n > 1")
+    one = full.groupBy("n", "all", "other").agg(F.min("key").alias("key"), (F.count(F.lit(1)) * (F.col("n") - 1)).alias("meets"))
     held = staged(keyed.join(one.select("key", "meets"), "key"), "shared")
     degrees = held.groupBy("node").agg(F.sum("meets").alias("degree"))
     return staged(held.select("key", "node").join(degrees, "node"), "buckets")
