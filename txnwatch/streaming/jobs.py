@@ -10,6 +10,7 @@ from ..operators import circular, cleaning, flags, layering, rules, scoring
 from ..operators.features import gold_features
 from ..operators.flow import flow_from_totals, merge_party_totals, party_totals
 from ..functions.columns import interval
+from .repair import keep_late
 from .sinks import current, keep, newest_of, run_batches, stream_fan_out
 from .store import BatchStore
 
@@ -21,13 +22,16 @@ def stream_ingest(stream: DataFrame) -> DataFrame:
     return stream.withColumns({"ingest_ts": F.current_timestamp(), "pattern_label": F.lit("PENDING")})
 
 
-def run_ingest(stream: DataFrame, live_path: str, quarantine_path: str, checkpoint: str, days: int | None = None):
+def run_ingest(stream: DataFrame, live_path: str, quarantine_path: str, checkpoint: str, days: int | None = None,
+               late_path: str | None = None, lateness: str = LATENESS):
     """Usable arrivals to the live table, by date, the rest to quarantine, in one pass. ``days``: forget older dates of the live
-    table."""
+    table. ``late_path``: keep there which rows came later than ``lateness``, for ``repair``."""
     def to_live(batch: DataFrame, batch_id: int) -> None:
         rows = batch.filter(cleaning.valid_transaction()).withColumn("txn_date", F.to_date("timestamp"))
         store = BatchStore(batch.sparkSession, live_path, rows.schema, by_date=True)
         store.append(rows, batch_id)
+        if late_path:
+            keep_late(rows, batch_id, store, late_path, lateness)
         store.tidy(days=days)
 
     return stream_fan_out(stream_ingest(stream), {
