@@ -57,3 +57,15 @@ def test_rolling_sums_run_once_over_their_rows(spark, sf_dir):
     """A frame that slides is added up anew for each row; only running frames may be used for days and weeks."""
     text = plan(RUNS["gold_features"](spark, sf_dir))
     assert not re.search(r"RangeFrame, -\d", text)
+
+
+def test_rules_share_scans(spark, sf_dir):
+    """The rules over bins take one scan and one aggregate, those that look at one row another scan."""
+    from txnwatch.operators import rules
+    from txnwatch.plans.tables import tables
+
+    t = tables(spark, sf_dir)
+    binned = plan(rules._binned_hits(t.silver))
+    assert binned.count("FileScan") == 1 and binned.count("Exchange") == 1
+    rows = plan(rules._row_hits(t.silver, t.accounts, t.customers))
+    assert rows.count("GreaterThan(amount,5000.0)") == 1
