@@ -1,11 +1,13 @@
 """Readers, sinks, appends and gates on hand-written rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from txnwatch.operators import cleaning, investigate, quality
 from txnwatch.schemas import TABLES
 from txnwatch.session import scratch_path
 from txnwatch.sources import files, tables as io
+from txnwatch.streaming.store import BatchStore
 
 from .frames import rows, silver, table, transactions
 
@@ -64,6 +66,21 @@ def test_gates(spark):
         ("duplicate_keys", 1, False), ("min_rows", 4, False), ("null_keys", 1, False), ("orphans", 1, True)]
 
 
+def test_a_bad_table_is_never_published(spark):
+    a = table(spark, "accounts", [{"account_id": "ACC-1"}])
+    good = transactions(spark, [{}, {"account_id": "ELSE"}])
+    store = BatchStore(spark, scratch_path(spark, "bronze"), good.schema)
+    assert quality.load_checked(good, a, store, 0, min_rows=2) == [
+        ("min_rows", 2, True), ("null_keys", 0, True), ("duplicate_keys", 0, True), ("orphans", 1, True)]
+    for bad, gate in (([{}], "min_rows"), ([{"amount": None}, {}], "null_keys"), ([{"txn_id": "X"}, {"txn_id": "X"}], "duplicate_keys"), ([], "min_rows")):
+        with pytest.raises(quality.GateFailed) as failed:
+            quality.load_checked(transactions(spark, bad), a, store, 1, min_rows=2)
+        assert [g for g, _, passed in failed.value.report if not passed] == [gate]
+        assert store.read().count() == 2 and store.manifest().done == 0
+    assert quality.load_checked(good, a, store, 0, min_rows=2) == []  # published before
+    assert quality.load_checked(good, a, store, 1, min_rows=2) and store.read().count() == 4
+
+
 def test_amount_buckets(spark):
     t = silver(spark, [{"amount": a} for a in (7999.99, 8000.0, 9999.0, 9999.5, 10000.0, 10000.01, 100000.0, 100000.01)])
     assert [r[1] for r in rows(t, "amount", "amount_bucket")] == [

@@ -51,3 +51,29 @@ def dq_report(t: DataFrame, a: DataFrame, min_rows: int = 1000) -> DataFrame:
         )).alias("g")
     ).select("g.*")
     return single_pass.unionByName(dq_duplicate_keys(t)).unionByName(dq_orphans(t, a))
+
+
+class GateFailed(Exception):
+    """A table that did not pass; ``report`` holds the rows of (gate, value, passed)."""
+
+    def __init__(self, report: list[tuple[str, int, bool]]):
+        super().__init__("not published: " + ", ".join(f"{gate} = {value}" for gate, value, passed in report if not passed))
+        self.report = report
+
+
+def load_checked(t: DataFrame, a: DataFrame, store, batch_id: int, min_rows: int = 1000) -> list[tuple[str, int, bool]]:
+    """Append ``t`` to ``store`` (see ``streaming.store``) unless a gate fails; returns the report, or raises ``GateFailed`` with
+    it, and then no reader ever sees the rows.
+
+    ``t`` is computed once: the gates read the three key columns of what was written. A batch that is published already is not
+    written again and has an empty report.
+    """
+    report = []
+
+    def check(written: DataFrame) -> None:
+        report.extend(map(tuple, dq_report(written, a, min_rows).collect()))
+        if not all(passed for _, _, passed in report):
+            raise GateFailed(report)
+
+    store.append(t, batch_id, check)
+    return report

@@ -6,6 +6,7 @@ from ..operators import circular, cleaning, features, flow, layering, quality, r
 from ..schemas import DIMENSIONS, TABLES, TXN_COLUMNS
 from ..session import scratch_path
 from ..sources import driver_tables as given, files, tables as io
+from ..streaming.store import BatchStore
 from .registry import register
 
 AT = "2025-01-01 00:00:00"
@@ -111,6 +112,29 @@ register("dq_null_keys", lambda t: quality.dq_null_keys(t.bronze), GATES["null_k
 register("dq_duplicate_keys", lambda t: quality.dq_duplicate_keys(t.bronze), GATES["duplicate_keys"])
 register("dq_orphans", lambda t: quality.dq_orphans(t.bronze, t.accounts), GATES["orphans"])
 register("dq_report", lambda t: quality.dq_report(t.bronze, t.accounts), " UNION ALL ".join(GATES.values()))
+
+
+def _loaded(t):
+    """Bronze as delivered and silver, each loaded through the gates: the reports, and how many rows a reader sees after."""
+    schema, out = "loaded string, gate string, value long, passed boolean, published long", []
+    for name, rows in (("bronze", t.bronze), ("silver", t.silver)):
+        store = BatchStore(t.spark, scratch_path(t.spark, f"{name}-checked"), rows.schema)
+        try:
+            report = quality.load_checked(rows, t.accounts, store, 0)
+        except quality.GateFailed as failed:
+            report = failed.report
+        seen = store.read().count()
+        out += [(name, *gate, seen) for gate in report]
+    return t.spark.createDataFrame(out, schema)
+
+
+def _loading(name: str) -> str:
+    gates = " UNION ALL ".join(GATES.values()).replace("FROM bronze", f"FROM {name}")
+    return f"""SELECT '{name}' AS loaded, g.*, CASE WHEN (SELECT bool_and(passed) FROM ({gates}) p)
+        THEN (SELECT count(*) FROM {name}) ELSE 0 END AS published FROM ({gates}) g"""
+
+
+register("load_checked", _loaded, _loading("bronze") + " UNION ALL " + _loading("silver"))
 register("quarantine_transactions", lambda t: cleaning.quarantine_transactions(t.bronze, AT),
          f"SELECT *, TIMESTAMP '{AT}' AS quarantined_at FROM invalid")
 register("dedupe_transactions", lambda t: cleaning.dedupe_transactions(t.bronze), "SELECT DISTINCT * FROM bronze")
