@@ -130,12 +130,17 @@ def inv_high_risk_country(t: DataFrame, limit: int = 20) -> DataFrame:
         F.desc("amount"), "txn_id").limit(limit)
 
 
-def inv_circular_flags(f: DataFrame) -> DataFrame:
-    return f.filter(F.col("pattern_type") == "CIRCULAR_FLOW").select(
+def inv_pattern_flags(f: DataFrame, *patterns: str) -> DataFrame:
+    """Flags of the given patterns, best scored first."""
+    return f.filter(F.col("pattern_type").isin(*patterns)).select(
         "flag_id", "txn_id", "account_id", "pattern_type", "ml_score", "severity", "notes",
     ).orderBy(F.desc("ml_score"), "flag_id")
 
 
+def inv_circular_flags(f: DataFrame) -> DataFrame:
+    return inv_pattern_flags(f, "CIRCULAR_FLOW")
+
+
 def inv_money_flow(t: DataFrame, seeds: DataFrame) -> DataFrame:
     """The seeds' own transactions (hop 1), then those of every account they dealt with (hop 2)."""
     columns = ["txn_id", "account_id", "txn_type", "counterparty_account", "amount", "country", "timestamp"]
@@ -204,31 +209,50 @@ def inv_circular_check(t: DataFrame, seeds: DataFrame | None = None) -> DataFram
     ).drop("returned_to")
 
 
-def inv_three_hop(t: DataFrame, seeds: DataFrame, limit: int = 20) -> DataFrame:
-    """The first chains of three transfers in time order, by (time, id) of each hop.
+LEG = ["txn_id", "account_id", "counterparty_account", "amount", "timestamp"]
 
-    Chains are never listed in full: a leg is kept only if a later leg can follow it (its time is before the
-    newest leg of the account it leads to), so after each hop the first `limit` partial chains are enough.
+
+def _reached(legs: DataFrame) -> DataFrame:
+    return legs.select(F.col("counterparty_account").alias("account_id")).distinct()
+
+
+def inv_paths(t: DataFrame, seeds: DataFrame, hops: int = 3, limit: int = 20) -> DataFrame:
+    """For each seed the first ``limit`` chains of ``hops`` transfers, each later than the one before, in the order of the
+    (time, id) of their legs: ``seed``, ``path`` (from 1) and account, receiver, amount, time and id of every leg.
+
+    The frontier grows from the seeds: the i-th legs are those of accounts that the legs before lead to, so rows of other accounts
+    leave the scan through a semi-join. Going back from the last hop, a leg stays only if a later one can follow it (its time
+    is before the newest leg kept of the account it leads to). Every leg left belongs to a whole chain, so on the way forward
+    the first ``limit`` partial chains of a seed are enough, and no list of chains is longer than that per seed.
+    Legs without a counterparty or time lead nowhere; seeds without an account, or not in the table, have no rows.
     """
-    legs = t.filter(F.col("counterparty_account").isNotNull()).select(
-        "txn_id", "account_id", "counterparty_account", "amount", "timestamp")
-
-    def extendable(legs: DataFrame, onward: DataFrame) -> DataFrame:
-        newest = onward.groupBy(F.col("account_id").alias("counterparty_account")).agg(F.max("timestamp").alias("newest"))
-        return legs.join(newest, "counterparty_account").filter(F.col("newest") > F.col("timestamp")).drop("newest")
-
-    def hop(legs: DataFrame, i: int) -> DataFrame:
-        return legs.select(*[F.col(c).alias(f"{c}{i}") for c in legs.columns])
-
-    order = lambda n: [f"{c}{i}" for i in range(1, n + 1) for c in ("timestamp", "txn_id")]
-    follows = lambda i: (F.col(f"counterparty_account{i}") == F.col(f"account_id{i + 1}")) & (
-        F.col(f"timestamp{i + 1}") > F.col(f"timestamp{i}"))
-    second = extendable(legs, legs)
-    first = extendable(_seeded(legs, seeds), second)
-    one = hop(first, 1).orderBy(*order(1)).limit(limit)
-    two = one.join(hop(second, 2), follows(1)).orderBy(*order(2)).limit(limit)
-    three = two.join(hop(legs, 3), follows(2)).orderBy(*order(3)).limit(limit)
-    return three.select(
+    named = t.filter("counterparty_account is not null and timestamp is not null").select(*LEG)
+    fronts = [_seeded(named, seeds)]
+    for _ in range(hops - 1):
+        fronts.append(_seeded(named, _reached(fronts[-1])))
+    for i in reversed(range(hops - 1)):
+        newest = fronts[i + 1].groupBy(F.col("account_id").alias("counterparty_account")).agg(
+            F.max("timestamp").alias("newest"))
+        fronts[i] = fronts[i].join(newest, "counterparty_account").filter(F.col("newest") > F.col("timestamp")).select(*LEG)
+
+    chains, order = None, []
+    for i, legs in enumerate(fronts, 1):
+        leg = legs.select(*[F.col(c).alias(f"{c}{i}") for c in LEG])
+        if chains is None:
+            chains = leg.withColumn("seed", F.col("account_id1"))
+        else:
+            chains = chains.drop("path").join(leg, (F.col(f"counterparty_account{i - 1}") == F.col(f"account_id{i}"))
+                                              & (F.col(f"timestamp{i}") > F.col(f"timestamp{i - 1}")))
+        order += [f"timestamp{i}", f"txn_id{i}"]
+        first = Window.partitionBy("seed").orderBy(*order)
+        chains = chains.withColumn("path", F.row_number().over(first)).filter(F.col("path") <= limit)
+    return chains.select("seed", "path", *[f"{c}{i}" for i in range(1, hops + 1) for c in LEG])
+
+
+def inv_three_hop(t: DataFrame, seeds: DataFrame, limit: int = 20) -> DataFrame:
+    """The first ``limit`` chains of three transfers over all seeds, in time order; ``inv_paths`` lists them for each seed."""
+    chains = inv_paths(t, seeds, 3, limit).orderBy(*[f"{c}{i}" for i in (1, 2, 3) for c in ("timestamp", "txn_id")]).limit(limit)
+    return chains.select(
         F.col("account_id1").alias("hop1"), F.col("counterparty_account1").alias("hop2"),
         F.col("counterparty_account2").alias("hop3"), F.col("counterparty_account3").alias("hop4"),
         F.col("amount1").alias("amt1"), F.col("amount2").alias("amt2"), F.col("amount3").alias("amt3"))
@@ -243,27 +267,40 @@ def inv_unusual(t: DataFrame, a: DataFrame, seeds: DataFrame | None = None, fact
 
 
 def related_accounts(t: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Accounts the seeds dealt with, or that dealt with them."""
-    sent = _seeded(t, seeds).select(F.col("counterparty_account").alias("related"))
-    received = _seeded(t, seeds, "counterparty_account").select(F.col("account_id").alias("related"))
+    """(seed, related): accounts a seed dealt with, or that dealt with it."""
+    sent = _seeded(t, seeds).select(F.col("account_id").alias("seed"), F.col("counterparty_account").alias("related"))
+    received = _seeded(t, seeds, "counterparty_account").select(
+        F.col("counterparty_account").alias("seed"), F.col("account_id").alias("related"))
     return sent.union(received).filter("related is not null").distinct()
 
 
+def _touching(t: DataFrame, related: DataFrame, by: list[str]) -> DataFrame:
+    """The transactions with a related account on either side, once per value of ``by``."""
+    one = related.withColumnRenamed("related", "account_id")
+    other = related.withColumnRenamed("related", "counterparty_account")
+    booked = t.join(one, "account_id")
+    # the rows met on both sides are left to the first branch
+    named = t.join(other, "counterparty_account").join(one, ["account_id", *by], "left_anti")
+    return booked.unionByName(named)
+
+
+NETWORK = ["account_id", "counterparty_account", "amount", "txn_type", "country", "pattern_type", "severity", "ml_score"]
+
+
+def _with_flags(near: DataFrame, f: DataFrame) -> DataFrame:
+    return near.join(f.select("txn_id", "flag_id", "pattern_type", "severity", "ml_score"), "txn_id", "left")
+
+
 def inv_network(t: DataFrame, f: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Transactions that touch an account related to the seeds, with their flags."""
-    related = related_accounts(t, seeds)
+    """Transactions that touch an account related to any of the seeds, with their flags, in time order."""
+    near = _touching(t, related_accounts(t, seeds).select("related").distinct(), [])
+    return _with_flags(near, f).orderBy("timestamp", "txn_id", "flag_id").select(*NETWORK)
 
-    def marked(column: str, mark: str) -> DataFrame:
-        return related.select(F.col("related").alias(column), F.lit(True).alias(mark))
 
-    near = (
-        t.join(marked("account_id", "_a"), "account_id", "left")
-        .join(marked("counterparty_account", "_c"), "counterparty_account", "left")
-        .filter(F.col("_a") | F.col("_c"))
-    )
-    flags = f.select("txn_id", "flag_id", "pattern_type", "severity", "ml_score")
-    return near.join(flags, "txn_id", "left").orderBy("timestamp", "txn_id", "flag_id").select(
-        "account_id", "counterparty_account", "amount", "txn_type", "country", "pattern_type", "severity", "ml_score")
+def inv_network_by_seed(t: DataFrame, f: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The network of each seed on its own: a transaction near two seeds has a row for each. Rows of other accounts leave the
+    scan through the join with the accounts related to the seeds; the table itself is not sorted."""
+    return _with_flags(_touching(t, related_accounts(t, seeds), ["seed"]), f).select("seed", "txn_id", "flag_id", *NETWORK)
 
 
 def inv_pattern_discovery(t, f, w, a, m, seeds: DataFrame) -> DataFrame:
@@ -315,8 +352,15 @@ def inv_trend(t: DataFrame, by: str = "txn_date") -> DataFrame:
     return t.groupBy(by).agg(F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("row_count"), by)
 
 
-def account_signals(a, t, f, m, c, h) -> DataFrame:
-    """One row per account: its totals, flags, scores, watchlist match and cases of account and customer."""
+def account_signals(a, t, f, m, c, h, seeds: DataFrame | None = None) -> DataFrame:
+    """One row per account: its totals, flags, scores, watchlist match and cases of account and customer. Rows of accounts
+    other than the seeds, and of customers other than theirs, are left out before anything is added up."""
+    a, t, f, m = (_seeded(rows, seeds) for rows in (a, t, f, m))
+    if seeds is not None:
+        people = a.select("customer_id").distinct()
+        c, filed = c.join(people, "customer_id", "left_semi"), h.join(people, "customer_id", "left_semi")
+    else:
+        filed = h
     moved = t.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("total_amount"),
         F.min("timestamp").alias("first_txn"), F.max("timestamp").alias("last_txn"))
@@ -332,7 +376,7 @@ def account_signals(a, t, f, m, c, h) -> DataFrame:
     owners = a.select("account_id", F.col("customer_id").alias("owner"))
     elsewhere = h.join(owners, "account_id").filter(~F.col("customer_id").eqNullSafe(F.col("owner")))
     of_account = elsewhere.groupBy("account_id").agg(*counts)
-    of_customer = h.groupBy("customer_id").agg(*counts).withColumnsRenamed({"cases": "cust_cases", "sars": "cust_sars"})
+    of_customer = filed.groupBy("customer_id").agg(*counts).withColumnsRenamed({"cases": "cust_cases", "sars": "cust_sars"})
     base = a.select("account_id", "customer_id")
     for part in (moved, flags, scores, of_account):
         base = base.join(part, "account_id", "left")
@@ -359,8 +403,8 @@ def recommended_action():
     )
 
 
-def inv_recommend_action(a, t, f, m, c, h) -> DataFrame:
-    return account_signals(a, t, f, m, c, h).select(
+def inv_recommend_action(a, t, f, m, c, h, seeds: DataFrame | None = None) -> DataFrame:
+    return account_signals(a, t, f, m, c, h, seeds).select(
         "account_id", "worst_severity", "watchlist_match", "prior_sars", "flag_count",
         recommended_action().alias("action"))
 
@@ -368,4 +412,4 @@ def inv_recommend_action(a, t, f, m, c, h) -> DataFrame:
 def inv_account_dossier(a, t, f, m, c, h, seeds: DataFrame | None = None) -> DataFrame:
     """The summary an investigation starts from, one row per account, with the recommended action. The full
     lists are ``inv_account_history`` and the tables themselves, so nothing is gathered into one row."""
-    return _seeded(account_signals(a, t, f, m, c, h).withColumn("action", recommended_action()), seeds)
+    return account_signals(a, t, f, m, c, h, seeds).withColumn("action", recommended_action())

@@ -133,7 +133,20 @@ register("inv_high_risk_country", lambda t: inv.inv_high_risk_country(t.silver),
 register("inv_circular_flags", lambda t: inv.inv_circular_flags(t.flags),
          """SELECT flag_id, txn_id, account_id, pattern_type, ml_score, severity, notes FROM flags
          WHERE pattern_type = 'CIRCULAR_FLOW'""")
+register("inv_pattern_flags", lambda t: inv.inv_pattern_flags(t.flags, "STRUCTURING", "DORMANT_SPIKE"),
+         """SELECT flag_id, txn_id, account_id, pattern_type, ml_score, severity, notes FROM flags
+         WHERE pattern_type IN ('STRUCTURING', 'DORMANT_SPIKE')""")
 _own = "(SELECT account_id FROM seed)"
+
+
+def seeds(t):
+    """Every account with a critical flag and an open case."""
+    critical = t.flags.filter(F.col("severity") == "CRITICAL").select("account_id")
+    return critical.join(t.cases.filter(F.col("outcome") == "OPEN"), "account_id", "left_semi").distinct()
+
+
+_seeds = """(SELECT account_id FROM flags WHERE severity = 'CRITICAL'
+    AND account_id IN (SELECT account_id FROM cases WHERE outcome = 'OPEN'))"""
 _flow = 'txn_id, account_id, txn_type, counterparty_account, amount, country, "timestamp"'
 register("inv_money_flow", lambda t: inv.inv_money_flow(t.silver, seed(t)),
          f"""SELECT 1 AS hop, {_flow} FROM silver WHERE account_id IN {_own}
@@ -175,6 +188,35 @@ register("inv_three_hop", lambda t: inv.inv_three_hop(t.silver, seed(t)),
          JOIN silver c ON b.counterparty_account = c.account_id
          WHERE a.account_id IN {_own} AND b."timestamp" > a."timestamp" AND c."timestamp" > b."timestamp"
          ORDER BY a."timestamp", a.txn_id, b."timestamp", b.txn_id, c."timestamp", c.txn_id LIMIT 20""")
+# the newest leg of each account bounds what can follow, or the twin would list every chain
+register("inv_paths", lambda t: inv.inv_paths(t.silver, seeds(t), 3, 5),
+         f"""WITH legs AS (SELECT txn_id, account_id, counterparty_account, amount, "timestamp" FROM silver
+            WHERE counterparty_account IS NOT NULL),
+         last AS (SELECT account_id, max("timestamp") AS newest FROM legs GROUP BY 1),
+         second AS (SELECT b.* FROM legs b JOIN last l ON b.counterparty_account = l.account_id WHERE l.newest > b."timestamp"),
+         last2 AS (SELECT account_id, max("timestamp") AS newest FROM second GROUP BY 1),
+         one AS (SELECT a.* FROM legs a JOIN last2 l ON a.counterparty_account = l.account_id
+            WHERE a.account_id IN {_seeds} AND l.newest > a."timestamp"
+            QUALIFY row_number() OVER (PARTITION BY a.account_id ORDER BY a."timestamp", a.txn_id) <= 5),
+         two AS (SELECT a.txn_id AS txn_id1, a.account_id AS account_id1, a.counterparty_account AS counterparty_account1,
+            a.amount AS amount1, a."timestamp" AS timestamp1, b.txn_id AS txn_id2, b.account_id AS account_id2,
+            b.counterparty_account AS counterparty_account2, b.amount AS amount2, b."timestamp" AS timestamp2
+            FROM one a JOIN second b ON a.counterparty_account = b.account_id AND b."timestamp" > a."timestamp"
+            QUALIFY row_number() OVER (PARTITION BY a.account_id
+                ORDER BY a."timestamp", a.txn_id, b."timestamp", b.txn_id) <= 5)
+         SELECT account_id1 AS seed, row_number() OVER (PARTITION BY account_id1
+                ORDER BY timestamp1, txn_id1, timestamp2, txn_id2, c."timestamp", c.txn_id) AS path,
+            two.*, c.txn_id AS txn_id3, c.account_id AS account_id3, c.counterparty_account AS counterparty_account3,
+            c.amount AS amount3, c."timestamp" AS timestamp3
+         FROM two JOIN legs c ON counterparty_account2 = c.account_id AND c."timestamp" > timestamp2
+         QUALIFY path <= 5""")
+register("inv_network_by_seed", lambda t: inv.inv_network_by_seed(t.silver, t.flags, seeds(t)),
+         f"""WITH near AS (SELECT account_id AS seed, counterparty_account AS related FROM silver WHERE account_id IN {_seeds}
+            UNION SELECT counterparty_account, account_id FROM silver WHERE counterparty_account IN {_seeds}),
+         met AS (SELECT seed, txn_id FROM near JOIN silver ON account_id = related
+            UNION SELECT seed, txn_id FROM near JOIN silver ON counterparty_account = related)
+         SELECT seed, s.txn_id, flag_id, s.account_id, counterparty_account, amount, txn_type, country, pattern_type, severity,
+            ml_score FROM met JOIN silver s ON met.txn_id = s.txn_id LEFT JOIN flags f ON s.txn_id = f.txn_id""")
 register("inv_unusual", lambda t: inv.inv_unusual(t.silver, t.accounts),
          """SELECT s.account_id, amount, avg_txn_amount, round(amount / nullif(avg_txn_amount, 0), 1) AS times_average,
          risk_score, risk_tier FROM silver s JOIN acc a ON s.account_id = a.account_id
@@ -236,6 +278,12 @@ register("inv_account_dossier", lambda t: inv.inv_account_dossier(*_sources(t)),
 register("inv_recommend_action", lambda t: inv.inv_recommend_action(*_sources(t)),
          f"SELECT account_id, worst_severity, watchlist_match, prior_sars, flag_count, action FROM ({SIGNALS}) x")
 
+register("inv_account_dossier_seeds", lambda t: inv.inv_account_dossier(*_sources(t), seeds=seeds(t)),
+         f"SELECT * FROM ({SIGNALS}) x WHERE account_id IN {_seeds}", total_amount=2)
+register("inv_recommend_action_seeds", lambda t: inv.inv_recommend_action(*_sources(t), seeds=seeds(t)),
+         f"""SELECT account_id, worst_severity, watchlist_match, prior_sars, flag_count, action FROM ({SIGNALS}) x
+         WHERE account_id IN {_seeds}""")
+
 # ---- graph ---------------------------------------------------------------------------------------------
 
 EDGES = {
