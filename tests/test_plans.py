@@ -10,7 +10,7 @@ RUNS = queries()
 PYTHON = {"anomaly_fit", "anomaly_score", "ml_risk_scores", "score_new", "model_save_load", "rule_circular_flow", "circular_flow_nb",
           "circular_flow_return", "all_rule_hits"}
 EAGER = {n for n in RUNS if n.startswith(("stream_", "late_", "eval_", "gbt_"))} | {"load_checked", "write_table", "write_evolving", "read_csv_typed",
-                                                                         "read_csv_strings", "reload_dimensions"}
+                                                                         "read_csv_strings", "reload_dimensions", "batch_run"}
 
 
 def plan(df) -> str:

@@ -5,9 +5,11 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from txnwatch.operators import circular, features, flow, layering, rules, scoring
+from txnwatch.operators import circular, features, flow, layering, metrics, rules, scoring
 from txnwatch.plans.tables import tables
+from txnwatch.schemas import TABLES
 from txnwatch.session import scratch_path
+from txnwatch.sources import files
 from txnwatch.streaming import jobs, sinks
 from txnwatch.streaming.store import BatchStore
 
@@ -159,3 +161,25 @@ def test_sender_sketches_merge(spark, t):
     found = flow.merge_senders(flow.sender_sketches(t.silver)).join(exact, "account_id")
     assert found.filter(F.abs(F.col("senders") - F.col("n")) > 3 * 0.017 * F.col("n") + 0.5).count() == 0
     assert found.count() == exact.count() > 0
+
+
+def test_ingest_time_is_that_of_the_source(spark, tmp_path):
+    """Messages keep the time the bus took them in, files the time they were written; else it is the server's."""
+    import os
+
+    sent = spark.createDataFrame([('{"txn_id": "1", "amount": 5}', "2024-01-01 10:59:59"), ('{"txn_id": "2"}', None), ("no json", "2024-01-01 11:00:00")],
+                                 "value string, taken string")
+    rows = files.parse_json_values(sent, TABLES["transactions"], arrived="taken")
+    text = F.col("ingest_ts").cast("string")
+    came = dict(tuple(r) for r in jobs.stream_ingest(rows).select("txn_id", text).collect())
+    assert came["1"] == "2024-01-01 10:59:59" and came[None] == "2024-01-01 11:00:00" and came["2"] is not None
+    assert "ingest_ts" not in files.parse_json_values(sent, TABLES["transactions"]).columns
+    bins = lambda df: sorted(tuple(r) for r in metrics.ingestion_per_hour(df).select(
+        F.col("ingest_hour").cast("string"), "ingestion_count").collect())
+    assert bins(rows) == [("2024-01-01 10:00:00", 1), ("2024-01-01 11:00:00", 1)]
+
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/t")
+    for name in os.listdir(f"{tmp_path}/t"):
+        os.utime(f"{tmp_path}/t/{name}", (1704103200, 1704103200))
+    read = files.with_file_time(spark.read.parquet(f"{tmp_path}/t"))
+    assert bins(read) == [("2024-01-01 10:00:00", 3)]

@@ -147,3 +147,9 @@ def alert_queue(f: DataFrame, t: DataFrame, r: DataFrame) -> DataFrame:
         "flag_id", "txn_id", "account_id", "amount", "pattern_type", "rule_id", "severity", "ml_score",
         "analyst_decision",
     ).orderBy(F.desc("ml_score"), "flag_id")
+
+
+def ingestion_per_hour(t: DataFrame, column: str = "ingest_ts") -> DataFrame:
+    """Rows by the hour they came in; rows without that time are left out, as ``window`` leaves them."""
+    bins = t.groupBy(F.window(column, "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("ingestion_count"))
+    return bins.select(F.col("w.start").alias("ingest_hour"), "ingestion_count")

@@ -53,6 +53,21 @@ def dq_report(t: DataFrame, a: DataFrame, min_rows: int = 1000) -> DataFrame:
     return single_pass.unionByName(dq_duplicate_keys(t)).unionByName(dq_orphans(t, a))
 
 
+def dq_dimension(t: DataFrame, name: str, key: str) -> DataFrame:
+    """Gates of a dimension table, from one count per key: it has rows, no row lacks the key, no key comes twice."""
+    per_key = t.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("long")
+    counted = per_key.agg(
+        F.coalesce(F.sum("n"), none).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))), none).alias("missing"),
+        F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)).alias("repeated"))
+    return counted.select(F.explode(F.array(
+        F.struct(*_gate(f"{name}.rows", F.col("rows"), F.col("rows") > 0)),
+        F.struct(*_gate(f"{name}.null_keys", F.col("missing"), F.col("missing") == 0)),
+        F.struct(*_gate(f"{name}.duplicate_keys", F.col("repeated"), F.col("repeated") == 0)),
+    )).alias("g")).select("g.*")
+
+
 class GateFailed(Exception):
     """A table that did not pass; ``report`` holds the rows of (gate, value, passed)."""
 

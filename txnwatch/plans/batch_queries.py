@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import circular, cleaning, features, flow, layering, quality, rules, windows
+from ..operators import circular, cleaning, features, flow, layering, metrics, quality, rules, windows
 from ..schemas import DIMENSIONS, TABLES, TXN_COLUMNS
 from ..session import scratch_path
 from ..sources import driver_tables as given, files, tables as io
@@ -203,8 +203,7 @@ register("binned_group_by", lambda t: t.silver.groupBy("account_id", F.window("t
     "account_id", F.col("w.start").alias("bin_start"), "n", "total"),
     """SELECT account_id, make_timestamp(epoch_us("timestamp") // 172800000000 * 172800000000) AS bin_start,
     count(*) AS n, sum(amount) AS total FROM silver GROUP BY 1, 2""", total=2)
-register("ingestion_per_hour", lambda t: t.scores.groupBy(F.window("scored_at", "1 hour").alias("w")).agg(
-    F.count(F.lit(1)).alias("ingestion_count")).select(F.col("w.start").alias("ingest_hour"), "ingestion_count"),
+register("ingestion_per_hour", lambda t: metrics.ingestion_per_hour(t.scores, "scored_at"),
     "SELECT date_trunc('hour', scored_at) AS ingest_hour, count(*) AS ingestion_count FROM scores GROUP BY 1")
 register("conditional_counts", lambda t: t.silver.groupBy("account_id").agg(
     F.count_if(F.col("amount") > 10000).alias("large"), F.min("amount").alias("lowest"), F.max("amount").alias("highest"),

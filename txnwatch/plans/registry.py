@@ -53,4 +53,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from . import batch_queries, case_queries, model_queries, stream_queries  # noqa: F401
+    from . import batch_queries, case_queries, job_queries, model_queries, stream_queries  # noqa: F401

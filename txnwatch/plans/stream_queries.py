@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators import cleaning, scoring
+from ..operators import cleaning, metrics, scoring
 from ..schemas import TABLES
 from ..session import scratch_path
 from ..sources import driver_tables as given, files
@@ -62,6 +62,41 @@ register("stream_ingest", _ingested,
          AND customer_id IS NOT NULL AND "timestamp" IS NOT NULL, FALSE)""")
 
 
+def _messages(t):
+    """Transactions as messages: a JSON text and the time at which the bus took it in, up to two hours after the event."""
+    sent = t.bronze.filter("timestamp is not null")
+    late = F.pmod(F.unix_seconds("timestamp") * 7, F.lit(7200))
+    return sent.select(F.to_json(F.struct(*sent.columns)).alias("value"),
+                       F.timestamp_seconds(F.unix_seconds("timestamp") + late).alias("taken_in"))
+
+
+def _came_in(t):
+    """The messages as a stream through ingestion into the live table, whose hours of arrival are counted."""
+    path, live, bad = (scratch_path(t.spark, n) for n in ("messages", "live", "quarantine"))
+    messages = _messages(t)
+    messages.write.parquet(path)
+    stream = t.spark.readStream.schema(messages.schema).parquet(path)
+    jobs.run_ingest(files.parse_json_values(stream, TABLES["transactions"], arrived="taken_in"), live, bad,
+                    scratch_path(t.spark, "checkpoint")).awaitTermination()
+    return metrics.ingestion_per_hour(BatchStore(t.spark, live, by_date=True).read())
+
+
+register("stream_ingestion_per_hour", _came_in,
+         """SELECT date_trunc('hour', to_timestamp(epoch(ts) + (epoch(ts) * 7) % 7200)::TIMESTAMP) AS ingest_hour,
+         count(*) AS ingestion_count FROM (SELECT date_trunc('second', "timestamp") AS ts FROM bronze
+         WHERE amount > 0 AND account_id IS NOT NULL AND customer_id IS NOT NULL AND "timestamp" IS NOT NULL) x GROUP BY 1""")
+
+
+def _by_file(t):
+    """Bins of the times the files of the given table were written: every row is in one, and each starts on the hour."""
+    bins = metrics.ingestion_per_hour(files.with_file_time(t.read("events")))
+    return bins.agg(F.sum("ingestion_count").alias("row_count"),
+                    F.count_if(F.date_trunc("hour", "ingest_hour") != F.col("ingest_hour")).alias("off_the_hour"))
+
+
+register("file_ingestion_per_hour", _by_file, "SELECT count(*) AS row_count, 0 AS off_the_hour FROM events")
+
+
 def _fanned_out(t):
     hot, lake = scratch_path(t.spark, "hot"), scratch_path(t.spark, "lake")
     sinks.stream_fan_out(_arrivals(t), {

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+INGESTED = "ingest_ts"
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -30,7 +31,15 @@ def stream_source_json(spark: SparkSession, path: str, schema: StructType, **opt
     return spark.readStream.schema(schema).options(**options).json(path)
 
 
-def parse_json_values(values: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """The same events as they come from a message bus: one JSON text per row."""
+def parse_json_values(values: DataFrame, schema: StructType, column: str = "value", arrived: str | None = None) -> DataFrame:
+    """The same events as they come from a message bus: one JSON text per row. ``arrived`` names the column with the time at which
+    the bus took the message in; it is kept as ``ingest_ts``, and a replay of the messages does not change it."""
     event = F.from_json(F.col(column).cast("string"), schema)
-    return values.select(event.alias("event")).select("event.*")
+    kept = [] if arrived is None else [F.col(arrived).cast("timestamp").alias(INGESTED)]
+    return values.select(event.alias("event"), *kept).select("event.*", *[INGESTED for _ in kept])
+
+
+def with_file_time(df: DataFrame) -> DataFrame:
+    """Rows read from files, batch or stream, with the time their file was written as ``ingest_ts``. It comes from the listing
+    of the files and costs no column read."""
+    return df.withColumn(INGESTED, F.col("_metadata.file_modification_time"))

@@ -18,8 +18,12 @@ LATENESS = "1 hour"
 
 
 def stream_ingest(stream: DataFrame) -> DataFrame:
-    """Arrivals with the server's time and no label yet."""
-    return stream.withColumns({"ingest_ts": F.current_timestamp(), "pattern_label": F.lit("PENDING")})
+    """Arrivals with the time they came in and no label yet: the time the source gives as ``ingest_ts`` (message bus or files),
+    or else the server's."""
+    came = F.current_timestamp()
+    if "ingest_ts" in stream.columns:
+        came = F.coalesce(F.col("ingest_ts").cast("timestamp"), came)
+    return stream.withColumns({"ingest_ts": came, "pattern_label": F.lit("PENDING")})
 
 
 def run_ingest(stream: DataFrame, live_path: str, quarantine_path: str, checkpoint: str, days: int | None = None,
