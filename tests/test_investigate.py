@@ -5,7 +5,7 @@ from itertools import groupby
 
 from pyspark.sql import functions as F
 
-from txnwatch.operators import investigate
+from txnwatch.operators import alerts, investigate
 from txnwatch.schemas import TABLES
 from txnwatch.sources import tables as io
 
@@ -108,3 +108,21 @@ def test_flags_of_any_pattern(spark):
         {"flag_id": str(i), "pattern_type": p, "ml_score": 0.5} for i, p in enumerate(["MULE_ACCOUNT", "LAYERING", None, "MULE_ACCOUNT"])])
     assert rows(investigate.inv_pattern_flags(f, "MULE_ACCOUNT"), "flag_id") == [("0",), ("3",)]
     assert investigate.inv_pattern_flags(f, "MULE_ACCOUNT", "LAYERING").agg(F.count("*")).first()[0] == 3
+
+
+def test_one_case_per_account(spark):
+    t = silver(spark, [{"txn_id": "1", "account_id": "A", "amount": 5.0}, {"txn_id": "2", "account_id": "A", "amount": 7.0},
+                       {"txn_id": "3", "account_id": "B", "amount": 9.0}])
+    flag = lambda i, txn, account, score, severity="CRITICAL", pattern="LAYERING": {
+        "flag_id": i, "txn_id": txn, "account_id": account, "customer_id": f"C{account}", "ml_score": score, "severity": severity,
+        "pattern_type": pattern}
+    f = table(spark, "suspicious_flags", [
+        flag("F1", "1", "A", 0.96), flag("F2", "1", "A", 0.99, pattern="SMURFING"), flag("F3", "2", "A", None), flag("F4", "9", "A", 0.97),
+        flag("F5", "3", "B", 0.99), flag("F6", "3", None, 0.99), flag("F7", "3", "D", 0.9, "HIGH")])
+    h = table(spark, "historical_cases", [{"case_id": "1", "account_id": "B", "outcome": "OPEN"}, {"case_id": "2", "account_id": "A", "outcome": "CONFIRMED"}])
+    new = alerts.case_open_by_account(f, h, t)
+    assert rows(new, "account_id", "customer_id", "pattern_type", "total_amount", "num_txns", "outcome") == [
+        ("A", "CA", "SMURFING", 12.0, 3, "OPEN")]
+    assert rows(new, "case_id") == rows(alerts.case_open_by_account(f, h, t), "case_id")
+    assert alerts.case_open_by_account(f, h.unionByName(new), t).count() == 0
+    assert alerts.case_open_by_account(f.limit(0), h.limit(0), t).count() == 0

@@ -52,6 +52,30 @@ def case_open(f: DataFrame, h: DataFrame, t: DataFrame) -> DataFrame:
     return new.select(*[built.get(n, F.col(n)).alias(n) for n in TABLES["historical_cases"].names])
 
 
+def case_open_by_account(f: DataFrame, h: DataFrame, t: DataFrame) -> DataFrame:
+    """One new case for each account that has critical flags and no open case, over all its flagged transactions.
+
+    A transaction flagged more than once is counted once; one that is not in ``t`` counts but adds no amount. Customer and
+    pattern are those of the best scored flag. The id follows from the account and how many cases it had, so a run that is
+    repeated gives the same cases, and with its cases in ``h`` gives none. Flags without an account open no case.
+    """
+    open_cases = h.filter(F.col("outcome") == "OPEN").select("account_id").distinct()
+    critical = f.filter((F.col("severity") == "CRITICAL") & F.col("account_id").isNotNull()).join(
+        open_cases, "account_id", "left_anti")
+    moved = critical.select("account_id", "txn_id").distinct().join(t.select("txn_id", "amount"), "txn_id", "left").groupBy(
+        "account_id").agg(F.sum("amount").alias("total_amount"), F.count("txn_id").cast("int").alias("num_txns"))
+    best = critical.groupBy("account_id").agg(F.min_by(
+        F.struct("customer_id", "pattern_type"), F.struct(-F.coalesce("ml_score", F.lit(0.0)), "flag_id")).alias("best"))
+    prior = h.groupBy("account_id").agg(F.count(F.lit(1)).alias("prior"))
+    rows = moved.join(best, "account_id").join(prior, "account_id", "left").select("*", "best.*")
+    built = {
+        "case_id": stable_id("CASE-", F.col("account_id"), F.lit("/"), F.coalesce("prior", F.lit(0)).cast("string")),
+        "investigation_days": F.lit(None).cast("int"), "outcome": F.lit("OPEN"), "sar_filed": F.lit("N"),
+        "close_date": F.lit(None).cast("date"),
+    }
+    return rows.select(*[built.get(n, F.col(n)).alias(n) for n in TABLES["historical_cases"].names])
+
+
 def label_feedback(t: DataFrame, f: DataFrame) -> DataFrame:
     """Training labels where an analyst's decision overrides the delivered one; a confirmation outweighs."""
     decided = F.when(F.col("analyst_decision") == "CONFIRMED", 1).when(

@@ -335,6 +335,18 @@ register("case_open", lambda t: alerts.case_open(t.flags, t.cases, t.silver),
          NULL::DATE AS close_date FROM flags f LEFT JOIN silver s ON f.txn_id = s.txn_id WHERE severity = 'CRITICAL'
          AND f.account_id NOT IN (SELECT account_id FROM cases WHERE outcome = 'OPEN')""",
          doubles=("investigation_days",), texts=("close_date",))
+register("case_open_by_account", lambda t: alerts.case_open_by_account(t.flags, t.cases, t.silver),
+         """WITH crit AS (SELECT * FROM flags WHERE severity = 'CRITICAL'
+            AND account_id NOT IN (SELECT account_id FROM cases WHERE outcome = 'OPEN')),
+         best AS (SELECT account_id, customer_id, pattern_type FROM crit
+            QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY ml_score DESC, flag_id) = 1),
+         moved AS (SELECT account_id, sum(amount) AS total_amount, count(*)::INTEGER AS num_txns FROM silver
+            WHERE txn_id IN (SELECT txn_id FROM crit) GROUP BY 1),
+         prior AS (SELECT account_id, count(*) AS n FROM cases GROUP BY 1)
+         SELECT 'CASE-' || substr(md5(account_id || '/' || coalesce(n, 0)::VARCHAR), 1, 10) AS case_id, account_id, customer_id,
+         pattern_type, total_amount, num_txns, NULL::INTEGER AS investigation_days, 'OPEN' AS outcome, 'N' AS sar_filed,
+         NULL::DATE AS close_date FROM best JOIN moved USING (account_id) LEFT JOIN prior USING (account_id)""",
+         doubles=("investigation_days",), texts=("close_date",), total_amount=2)
 register("label_feedback", lambda t: alerts.label_feedback(t.silver, t.flags),
          """WITH d AS (SELECT txn_id, max(CASE analyst_decision WHEN 'CONFIRMED' THEN 1 WHEN 'FALSE_POSITIVE' THEN 0 END)
             AS decision FROM flags GROUP BY 1)
