@@ -88,6 +88,38 @@ def test_circular_answers_and_out_legs(skewed, limit, monkeypatch):
     assert sorted(r[0] for r in once) == sorted(legs)
 
 
+@pytest.mark.parametrize("mode", ["rule", "reference", "return"])
+def test_every_answer_has_a_row(skewed, mode):
+    """A row per pair of legs, each with the number of answers of its first leg: nothing is left at the earliest one."""
+    pdf = skewed.toPandas()
+    large = pdf[(pdf.amount > 50000) & pdf.txn_type.isin(["WIRE_IN", "WIRE_OUT"])]
+    first, back = large, large
+    if mode != "rule":
+        first = large[large.txn_type == "WIRE_OUT"]
+        back = large[large.txn_type == ("WIRE_IN" if mode == "reference" else "WIRE_OUT")]
+        if mode == "return":
+            theirs = large[large.txn_type == "WIRE_IN"].rename(columns={
+                "account_id": "counterparty_account", "counterparty_account": "account_id"}).assign(customer_id=None)
+            back = pd.concat([back, theirs])
+    pairs = first.merge(back, left_on=["account_id", "counterparty_account"], right_on=["counterparty_account", "account_id"],
+                        suffixes=("", "_b"))
+    days = (pd.to_datetime(pairs.txn_date_b) - pd.to_datetime(pairs.txn_date)).dt.days
+    ratio = pairs.amount_b / pairs.amount
+    ratio = (ratio * 100).round(1).between(70, 130) if mode == "rule" else ratio.round(2).between(0.7, 1.3)
+    pairs = pairs[days.between(5, 60) & ratio & (pairs.customer_id != pairs.customer_id_b)]
+    n = pairs.groupby("txn_id").size()
+    want = sorted((r.txn_id, r.timestamp_b.value // 1000, r.amount_b, n[r.txn_id]) for r in pairs.itertuples())
+    options = {"min_amount": 50000, "days": (5, 60), "pairs": True}
+    if mode == "rule":
+        got = circular.rule_circular_flow(skewed, **options)
+        want = sorted((leg, amount, count) for leg, _, amount, count in want)
+        got = got.select("txn_id", "amount2", "n_answers")
+    else:
+        got = circular.circular_flow_nb(skewed, mode=mode, **options).select(
+            "out_txn_id", F.unix_micros("in_time"), "in_amount", "n_answers")
+    assert sorted(map(tuple, got.collect())) == want != [] and len(want) > len(n)
+
+
 def test_a_hundred_thousand_wires_between_two_accounts(spark):
     """Some 10^9 pairs, counted without forming them; every customer answers all others."""
     n = 100_000

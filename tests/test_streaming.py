@@ -71,6 +71,14 @@ def test_circular_in_batches(spark, t, silver_files):
     assert same(jobs.found_circles(spark, wires, hits), circular.rule_circular_flow(t.silver))
 
 
+def test_circular_pairs_in_batches(spark, t, silver_files):
+    wires, hits, pairs = (scratch_path(spark, n) for n in ("wires", "hits", "pairs"))
+    jobs.run_circular(as_stream(spark, silver_files), wires, hits, scratch_path(spark, "cp"), pairs=pairs).awaitTermination()
+    found = jobs.found_circles(spark, wires, hits, pairs=pairs)
+    assert same(found, circular.rule_circular_flow(t.silver, pairs=True))
+    assert found.count() > circular.rule_circular_flow(t.silver).count()
+
+
 def test_dedupe_in_batches(spark, t):
     source = in_files(spark, t.bronze.filter("timestamp is not null"))
     once = sinks.run_to_table(jobs.stream_dedupe(as_stream(spark, source)), scratch_path(spark, "once"))

@@ -134,9 +134,9 @@ register("stream_layering", _layered, _layering(), total_in=2)
 
 
 def _circled(t):
-    wires, hits = scratch_path(t.spark, "wires"), scratch_path(t.spark, "circles")
-    jobs.run_circular(_live(t), wires, hits, scratch_path(t.spark, "checkpoint")).awaitTermination()
-    return jobs.found_circles(t.spark, wires, hits)
+    wires, hits, pairs = (scratch_path(t.spark, n) for n in ("wires", "circles", "circle-pairs"))
+    jobs.run_circular(_live(t), wires, hits, scratch_path(t.spark, "checkpoint"), pairs=pairs).awaitTermination()
+    return jobs.found_circles(t.spark, wires, hits, pairs=pairs)
 
 
 register("stream_circular", _circled, CIRCLES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -112,10 +113,11 @@ def found_mules(spark: SparkSession, hits: str) -> DataFrame:
     return current(BatchStore(spark, hits).read(), "account_id", "rule_id")
 
 
-def run_circular(live: DataFrame, store: str, hits: str, checkpoint: str, min_amount=200000, days=(30, 365), **params):
+def run_circular(live: DataFrame, store: str, hits: str, checkpoint: str, min_amount=200000, days=(30, 365),
+                 pairs: str | None = None, **params):
     """Round-tripping over up to a year. Instead of a year of join state, each batch meets the stored wires whose dates its own
     can reach: as first legs of its answers, and as answers of its first legs. ``hits`` keeps counts of the answers of a
-    first leg that add up (see ``found_circles``)."""
+    first leg that add up (see ``found_circles``); ``pairs`` keeps every pair of legs, in the batch that brought the later one."""
     wanted = ["txn_id", "account_id", "customer_id", "counterparty_account", "amount", "txn_type", "country", "timestamp",
               "txn_date"]
 
@@ -127,16 +129,22 @@ def run_circular(live: DataFrame, store: str, hits: str, checkpoint: str, min_am
         kept = keep(circular._large_wires(batch, min_amount).select(*wanted), batch_id, store, by_date=True)
         new = kept.read(only=batch_id)
         before = kept.read(before=batch_id).where(_reach(new, days[1] + 1, days[1] + 1))
-        found = circular.circular_answers(new, before.unionByName(new), min_amount, days, **params).unionByName(
-            circular.circular_answers(before, new, min_amount, days, **params))
+        both = [(new, before.unionByName(new)), (before, new)]
+        found = reduce(DataFrame.unionByName, [circular.circular_answers(x, y, min_amount, days, **params) for x, y in both])
+        if pairs:  # before the counts, which say that they are there
+            keep(reduce(DataFrame.unionByName, [circular.circular_pairs(x, y, min_amount, days, **params) for x, y in both]),
+                 batch_id, pairs)
         keep(circular.merge_answers(found), batch_id, hits, merged=merged)
 
     return run_batches(live, on_batch, checkpoint)
 
 
-def found_circles(spark: SparkSession, store: str, hits: str, min_amount=200000) -> DataFrame:
-    """What the stream knows by now: the batch rule over all wires it has seen."""
-    found = circular.merge_answers(BatchStore(spark, hits).read())
+def found_circles(spark: SparkSession, store: str, hits: str, min_amount=200000, pairs: str | None = None) -> DataFrame:
+    """What the stream knows by now: the batch rule over all wires it has seen, with a row for every answer if it kept ``pairs``."""
+    hit = BatchStore(spark, hits)
+    found = circular.merge_answers(hit.read())
+    if pairs:
+        return circular.describe_pairs(BatchStore(spark, pairs).read(before=hit.manifest().done + 1), found)
     return circular.describe_circles(BatchStore(spark, store, by_date=True).read().drop("batch_id"), found, min_amount)
 
 
