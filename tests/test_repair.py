@@ -94,3 +94,24 @@ def test_rows_behind_their_own_batch_count_as_late(spark, ingest):
     assert rows(keys.select("account_id").distinct(), "account_id") == [("A",)]
     bins = repair.late_bins(keys, repair.STRUCTURING)
     assert rows(bins.select("account_id", F.col("bin_start").cast("date").cast("string").alias("d")), "account_id", "d") == [("A", "2024-03-01")]
+
+
+def test_no_bins_are_gathered_on_the_driver(spark, ingest, monkeypatch):
+    """Bins are as many as late rows may be, so no join with them may broadcast, however small their files are."""
+    deliver, live, late = ingest
+    early = [*small(1, 2), *small(1, 3, "C"), *small(5, 1, "D")]
+    deliver(early)
+    deliver(small(1, 1, start=2))
+    path, plans = scratch_path(spark, "repairs"), []
+    append = BatchStore.append
+
+    def spy(store, answers, *more):
+        plans.append(answers._jdf.queryExecution().executedPlan().toString())
+        return append(store, answers, *more)
+
+    monkeypatch.setattr(BatchStore, "append", spy)
+    assert repair.repair(live(), late, path, repair.STRUCTURING) == 2
+    said = repair.repaired(hits(spark, early), spark, path, repair.STRUCTURING)
+    assert rows(said, "account_id", "txn_count") == [("A", 3), ("C", 3)]
+    plans.append(said._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
