@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnwatch.fixed import MODEL_FEATURES
-from txnwatch.operators import flags, scoring
+from txnwatch.operators import boosting, flags, scoring
 from txnwatch.plans.tables import tables
 from txnwatch.session import scratch_path
 
@@ -96,3 +96,50 @@ def test_flags_are_raised_once(spark, sf_dir):
     assert circles.count() > 0 and flags.circular_flags(t.silver, circles).count() == 0
     ids = circles.select("flag_id")
     assert ids.distinct().count() == ids.count()
+
+
+def test_boosting_gives_the_trees_of_spark_ml(planted):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    noisy = planted.withColumn("is_fraud", F.when(F.xxhash64("txn_id") % 9 == 0, 1 - F.col("is_fraud")).otherwise(F.col("is_fraud")))
+    mixed = noisy.withColumn("is_cash", (F.col("is_cash") > 0).cast("double")).withColumn("country_risk", F.lit(1.0))
+    mine = scoring.gbt_fit(mixed, rounds=25)
+    vectors = VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features").transform(mixed)
+    theirs = GBTClassifier(labelCol="is_fraud", maxIter=25, maxDepth=3, stepSize=0.08, seed=42).fit(vectors)
+    assert mine.node_counts() == [t.numNodes for t in theirs.trees] and list(mine.weights) == theirs.treeWeights
+    both = scoring.gbt_score(theirs.transform(vectors), mine).select("fraud_probability", vector_to_array("probability")[1].alias("p"))
+    assert both.count() == 2010 and both.filter("abs(fraud_probability - p) > 1e-9").count() == 0
+
+
+def test_rows_to_fit_on_take_a_byte_an_input(planted):
+    """Passes read blocks of whole rows, one byte for each input and one for the label, whatever the values are."""
+    inputs = [F.col(n) * 1e9 for n in MODEL_FEATURES]
+    rows = planted.select(*[c.alias(n) for c, n in zip(inputs, MODEL_FEATURES)], F.col("is_fraud").cast("double").alias("y"))
+    blocks = boosting.binned(rows.coalesce(1), MODEL_FEATURES, "y", boosting.bin_bounds(rows, MODEL_FEATURES, 1)).collect()
+    assert sum(len(b["codes"]) + len(b["label"]) for b in blocks) == 2010 * (len(MODEL_FEATURES) + 1)
+    assert len(blocks) == 1
+
+
+def test_margins_start_again_from_the_stored_rows(planted, monkeypatch):
+    whole = scoring.gbt_fit(planted, rounds=7)
+    monkeypatch.setattr(boosting, "RESTART", 2)
+    again = scoring.gbt_fit(planted, rounds=7)
+    assert (whole.feature == again.feature).all() and np.allclose(whole.value, again.value)
+
+
+def test_trees_that_end_early_are_walked_to_their_value():
+    feature = np.array([[1, -1, 0, 0, 0, -1, -1]])
+    threshold, value = np.array([[0.5, 0, 2.0, 9, 9, 0, 0]]), np.array([[9.0, 1.0, 9.0, 9, 9, 2.0, 3.0]])
+    points = np.array([[5.0, 0.5], [2.0, 0.6], [2.1, 0.6], [np.inf, np.inf], [np.nan, -np.inf]])
+    trees = boosting.padded(feature, threshold, value)
+    assert boosting.tree_sums(points, trees, np.array([2.0]), chunk=2).tolist() == [2.0, 4.0, 6.0, 6.0, 2.0]
+    assert boosting.BoostedTrees(feature, threshold, value, np.ones(1)).node_counts() == [5]
+
+
+def test_boosting_refuses_what_it_cannot_learn_from(planted):
+    for rows, said in ((planted.limit(0), "no rows"), (planted.withColumn("amount", F.lit(float("nan"))), "NaN"),
+                       (planted.withColumn("is_fraud", F.lit(2)), "0 or 1")):
+        with pytest.raises(Exception, match=said):
+            scoring.gbt_fit(rows, rounds=1)
