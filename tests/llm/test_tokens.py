@@ -163,3 +163,38 @@ def test_no_conversations(spark):
 def test_chat_plan_is_native(spark):
     plan = chat_format.digest(chat_format.chat_windows(spark.createDataFrame(chat_rows(), CHAT)))._jdf.queryExecution().toString()
     assert not [w for w in ("Python", "Pandas", "InArrow") if w in plan]
+
+
+def test_full_cache_keeps_words_that_come_again():
+    from txnwatch.llm.common import TokenCache, tokenizer
+
+    cache, learned = TokenCache(tokenizer(), limit=60), []
+    learn = cache._learn
+    cache._learn = lambda parts: (learned.extend(parts), learn(parts))[1]
+    often = [f"often{chr(97 + k)}" for k in range(10)]
+    for turn in range(12):
+        text = " ".join(often + [f"once{chr(97 + turn)}{chr(97 + k)}." for k in range(15)] + ["don't", "É" * (turn + 1), "...", "w" + "!" * turn])
+        [ids] = cache.encode([text.encode()], 1)
+        assert list(np.frombuffer(ids, "<u2")) == cache.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+    assert len(cache.known) <= 60
+    assert [learned.count(w.encode()) for w in often] == [1] * 10
+
+
+def test_words_of_letters_alone_give_the_tokenizers_ids():
+    from txnwatch.llm.common import TokenCache, tokenizer
+
+    cache = TokenCache(tokenizer())
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(c) for c in rng.integers(97, 123, n)) for n in rng.integers(1, 30, 2000)]
+    assert cache.letters
+    for text in (" ".join(words), "", "a", "Ab aB AB", " ".join(f"{w}{'.' * (k % 9)}" for k, w in enumerate(words))):
+        [ids] = cache.encode([text.encode()], 1)
+        assert list(np.frombuffer(ids, "<u2")) == cache.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_ids_are_counted_over_whole_batches(spark):
+    from txnwatch.llm.token_output import count_ids
+
+    rows = [(np.array(ids, "<u2").tobytes(),) for ids in ([], [5, 5, 65535], [0], [], [5] * 70000)]
+    assert count_ids(spark.createDataFrame(rows, "ids binary").repartition(3)) == {5: 70002, 65535: 1, 0: 1}
+    assert count_ids(spark.createDataFrame([], "ids binary")) == {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -65,9 +66,10 @@ class TokenCache:
 
     The tokenizer drops white space and splits at it, lowers case, and parts letters from punctuation, so a text's ids are
     those of its parts in order: of every word, lower-cased, its core and its tail of marks. A batch's distinct parts are found
-    by Arrow; what the cache lacks is encoded many at a time, set apart by a control character that is a token of its own. A
-    text that holds that character, or what could begin a special token, is encoded as it is. A full cache is emptied:
-    forgetting costs time, never results.
+    by Arrow; what the cache lacks is encoded many at a time, set apart by a control character that is a token of its own.
+    Parts of letters a to z alone, which the tokenizer neither changes nor splits, go to its model at once. A text that holds
+    the control character, or what could begin a special token, is encoded as it is. A full cache forgets
+    what came once: forgetting costs time, never results.
     """
 
     MARK = "\x01"
@@ -91,6 +93,10 @@ class TokenCache:
         self.blank[[9, 10, 11, 12, 13, 32]] = True
         self.tail[list(self.TAIL)] = True
         self.alnum[[c for c in range(128) if chr(c).isalnum()]] = True
+        letters = "".join(map(chr, range(97, 123)))
+        whole = [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(letters)] == [letters]
+        self.letters = whole and self.tokenizer.normalizer.normalize_str(letters) == letters
+        self.model = self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
@@ -98,15 +104,38 @@ class TokenCache:
 
         self.known: dict[bytes, int] = {}
         self.ids, self.ends = np.zeros(1 << 16, "<u2"), np.zeros(1 << 14, np.int64)  # a part's ids end where the next one's begin
+        self.again = np.zeros(1 << 14, bool)  # needed by a later batch than the one that brought it
+
+    def _make_room(self) -> None:
+        """Forgets what came once; everything, should the rest take more than half of the room."""
+        import numpy as np
+
+        words, again = list(self.known), self.again[:len(self.known)]  # in the order of their numbers
+        stay = np.flatnonzero(again)
+        ids, ends = self.ids, self.ends[:len(words)]
+        self._forget()
+        if not 0 < len(stay) <= self.limit // 2:
+            return
+        first = np.where(stay > 0, ends[stay - 1], 0)
+        n = ends[stay] - first
+        total = np.concatenate([[0], np.cumsum(n)])
+        self.ids, self.ends = ids[np.repeat(first - total[:-1], n) + np.arange(total[-1])], total[1:]
+        self.again = np.zeros(len(stay), bool)
+        self.known = dict(zip([words[k] for k in stay.tolist()], range(len(stay))))
 
     def _learn(self, parts: list[bytes]) -> None:
         import numpy as np
 
-        between, first = f" {self.MARK} ", len(self.known)
-        texts = [between.join([c.decode("utf-8") for c in parts[k:k + 256]]) for k in range(0, len(parts), 256)]
-        found, ends = [], []
-        at = int(self.ends[first - 1]) if first else 0
-        for k, code in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        plain = [self.letters and c.isalpha() for c in parts]  # lower-cased bytes
+        parts = [c for c, p in zip(parts, plain) if p] + [c for c, p in zip(parts, plain) if not p]
+        n_plain, between, first = sum(plain), f" {self.MARK} ", len(self.known)
+        tokens = [[t.id for t in self.model.tokenize(c.decode("ascii"))] for c in parts[:n_plain]]
+        at = begin = int(self.ends[first - 1]) if first else 0
+        found = [np.fromiter(chain.from_iterable(tokens), "<u2")]
+        ends = [at + np.cumsum(np.fromiter(map(len, tokens), np.int64, n_plain))]
+        at += len(found[0])
+        texts = [between.join([c.decode("utf-8") for c in parts[k:k + 256]]) for k in range(n_plain, len(parts), 256)]
+        for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.array(code.ids, "<u2")
             marks = np.flatnonzero(ids == self.mark)
             found.append(np.delete(ids, marks))
@@ -114,10 +143,10 @@ class TokenCache:
             at = int(ends[-1][-1])
         if at > len(self.ids):
             self.ids = np.resize(self.ids, 2 * at)
-        begin = int(self.ends[first - 1]) if first else 0
         self.ids[begin:at] = np.concatenate(found)
         if first + len(parts) > len(self.ends):
-            self.ends = np.resize(self.ends, 2 * (first + len(parts)))
+            self.ends, self.again = (np.resize(a, 2 * (first + len(parts))) for a in (self.ends, self.again))
+        self.again[first:first + len(parts)] = False
         self.ends[first:first + len(parts)] = np.concatenate(ends)
         self.known.update(zip(parts, range(first, first + len(parts))))
 
@@ -128,8 +157,14 @@ class TokenCache:
         blank = self.blank[raw]
         edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
         start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        core = np.where(blank | self.tail[raw], -1, np.arange(len(raw)))
-        cut = np.maximum(np.maximum.accumulate(core)[stop - 1] + 1, start) if len(start) else start
+        cut = stop.copy()
+        marked = np.flatnonzero(self.tail[raw[stop - 1]])
+        for _ in range(4):  # few words end in more marks than that
+            cut[marked] -= 1
+            marked = marked[(cut[marked] > start[marked]) & self.tail[raw[cut[marked] - 1]]]
+        if len(marked):
+            core = np.where(blank | self.tail[raw], np.int32(-1), np.arange(len(raw), dtype=np.int32))
+            cut[marked] = np.maximum(np.maximum.accumulate(core)[stop[marked] - 1] + 1, start[marked])
         split = (cut > start) & (cut < stop) & self.alnum[raw[np.maximum(cut - 1, 0)]]
         begin = np.repeat(start, 1 + split)
         second = np.cumsum(1 + split)[split] - 1
@@ -152,15 +187,17 @@ class TokenCache:
         offsets = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
         coded = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~blank].tobytes())]).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > self.limit and self.known:
-            lacking = sum(w not in self.known for w in distinct)
-            if len(self.known) + lacking > self.limit:
-                self._forget()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         missing = [w for w in distinct if w not in self.known]
+        if self.known and len(self.known) + len(missing) > self.limit:
+            self._make_room()
+            missing = [w for w in distinct if w not in self.known]
+        before = len(self.known)
         if missing:
             self._learn(missing)
-        slot = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        self.again[numbers[numbers < before]] = True
+        slot = numbers[coded.indices.to_numpy()]
         first = np.where(slot > 0, self.ends[slot - 1], 0)
         n = self.ends[slot] - first
         total = np.concatenate([[0], np.cumsum(n)])
