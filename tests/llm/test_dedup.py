@@ -180,3 +180,22 @@ def test_substrings_match_brute_force(spark):
         brute_windows(rows), key=key)
     for r in got:
         assert sum(s["end"] - s["first"] for s in r["intervals"]) == r["n_removed"]
+
+
+def test_signing_takes_little_memory_at_once():
+    """A worker signs a large batch part by part."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 400)) for _ in range(1800)]
+    assert sum(map(len, texts)) > 4_000_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "words"])
+    tracemalloc.start()
+    rows = 0
+    for part, words in near_dedup._chunks([batch]):
+        rows += len(near_dedup.signatures(len(words), *near_dedup.weighted_shingles(words)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 100 << 20

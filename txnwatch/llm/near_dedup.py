@@ -95,8 +95,9 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
     return float(np.dot(each, n))
 
 
-def _chunks(batches: Iterator, size: int = 2 << 20) -> Iterator:
-    """Parts of record batches with about ``size`` bytes of text in their last column."""
+def _chunks(batches: Iterator, size: int = 1 << 19) -> Iterator:
+    """Parts of record batches with about ``size`` bytes of text in their last column. Signing takes some hundred bytes of
+    memory for each byte of text."""
     for batch in batches:
         texts = batch.column(batch.num_columns - 1).to_pylist()
         lo = total = 0
