@@ -103,6 +103,15 @@ def test_seeds_come_before_the_aggregates(spark, sf_dir):
             assert "LeftSemi" in block
 
 
+def test_signals_of_an_account_meet_in_one_aggregate(spark, sf_dir):
+    """A join for each table keeps all of their sorts in one task's memory. The seeds are found once, not for each table."""
+    from txnwatch.plans.registry import queries
+
+    text = queries()["inv_account_dossier_seeds"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join LeftOuter") == 3  # totals, customer, cases of the customer
+    assert "outcome" not in text  # the cases that choose the seeds
+
+
 def test_flags_of_any_pattern(spark):
     f = table(spark, "suspicious_flags", [
         {"flag_id": str(i), "pattern_type": p, "ml_score": 0.5} for i, p in enumerate(["MULE_ACCOUNT", "LAYERING", None, "MULE_ACCOUNT"])])
