@@ -209,3 +209,20 @@ def test_rolling_sums_keep_every_amount_and_row(spark):
     assert all(str(got[f"TXN-{k:06d}"]) == "nan" for k in (4, 5))
     with pytest.raises(Exception, match="10 \\*\\* 30"):
         windows.window_features(silver(spark, [{"amount": 1e31}])).collect()
+
+
+def test_stored_tables_are_cut_into_bounded_tasks(spark, tmp_path):
+    """With few shuffle partitions a stored table's rows still come in parts of bounded size."""
+    from txnwatch.plans.tables import Tables
+
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows = spark.range(1_200_000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = Tables(spark, str(tmp_path)).stored("wide", rows.repartition("id"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+    assert got.count() == 1_200_000
+    assert len(got.inputFiles()) > 2
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before[1]
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
