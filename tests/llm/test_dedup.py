@@ -199,3 +199,24 @@ def test_signing_takes_little_memory_at_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == len(texts) and peak < 100 << 20
+
+
+def test_signing_frees_what_other_steps_left_in_the_worker(spark):
+    """Token caches of a step before do not stay beside the signatures."""
+    from txnwatch.llm import common
+
+    def step(kind):
+        def run(batches):
+            import pyarrow as pa
+
+            if kind == "fill":
+                common.token_cache(path)
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([common.token_cache.cache_info().currsize] * batch.num_rows, pa.int64())], ["n"])
+        return run
+
+    path, one = common.tokenizer(), spark.range(0, 4, 1, 1)  # one task at a time: Spark takes the idle worker again
+    assert one.mapInArrow(step("fill"), "n long").first()[0] == 1
+    texts = one.select(F.col("id").alias("__id"), F.lit("c").alias("copy"), F.lit("some words of a text that is long").alias("words"))
+    assert near_dedup.signed_texts(texts).count() == 4
+    assert {r["n"] for r in one.mapInArrow(step("look"), "n long").collect()} == {0}

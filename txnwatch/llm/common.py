@@ -211,3 +211,17 @@ class TokenCache:
 def token_cache(path: str) -> TokenCache:
     """One cache per Python worker, kept from task to task."""
     return TokenCache(path)
+
+
+def release() -> None:
+    """Gives back what earlier steps have left in this Python worker: token caches, and memory that allocators keep. A worker
+    outlives its tasks, so without this the caches of one step lie beside the arrays of the next."""
+    import ctypes
+
+    import pyarrow as pa
+
+    token_cache.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

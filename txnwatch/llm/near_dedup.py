@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import normal, slots, staged
+from .common import normal, release, slots, staged
 from .substring_dedup import Words
 
 REGISTERS, ROWS = 140, 5
@@ -120,6 +120,7 @@ def signed_texts(rows: DataFrame, width: int = 5) -> DataFrame:
     def sign(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release()
         for batch, texts in _chunks(batches):
             full = signatures(len(texts), *weighted_shingles(texts, width))
             short = (_mix(full) & np.uint64(0xFFFF)).astype("<u2")
@@ -137,6 +138,7 @@ def shingle_sets(rows: DataFrame, width: int = 5) -> DataFrame:
     def collect(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release()
         for batch, texts in _chunks(batches):
             text, h, n = weighted_shingles(texts, width)
             cuts = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import some_labels, staged
+from .common import release, some_labels, staged
 
 # Fixed values of the base rules
 SYMBOLS = "#*$%&|<>"
@@ -59,6 +59,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release()
         for batch in batches:
             rows = [statistics(t) for t in batch.column(1).to_pylist()]
             columns = zip(*rows) if rows else [[] for _ in COUNTS + EXTRA]
