@@ -220,3 +220,28 @@ def test_signing_frees_what_other_steps_left_in_the_worker(spark):
     texts = one.select(F.col("id").alias("__id"), F.lit("c").alias("copy"), F.lit("some words of a text that is long").alias("words"))
     assert near_dedup.signed_texts(texts).count() == 4
     assert {r["n"] for r in one.mapInArrow(step("look"), "n long").collect()} == {0}
+
+
+def test_hashing_words_takes_memory_by_word():
+    """Windows of many texts cost some bytes for each byte of text, not some numbers of eight bytes."""
+    import tracemalloc
+
+    texts = [(prose(1, 20000) + f" end{k}").encode() for k in range(20)]
+    words = [t.split(b" ") for t in texts]
+    tracemalloc.start()
+    _, text, h = substring_dedup.Words(texts).windows(50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * sum(map(len, texts))
+    windows = [b" ".join(w[k:k + 50]) for w in words for k in range(len(w) - 49)]
+    assert len(h) == len(windows) and len(set(h.tolist())) == len(set(windows)) == len(set(zip(h.tolist(), windows)))
+
+
+def test_many_texts_of_one_bucket_are_taken_in_parts(spark):
+    """Rows without an id meet in one task, which works on about a megabyte of them at a time."""
+    tails = [" ".join(f"u{k}x{j}" for j in range(5000)) for k in range(60)]
+    assert sum(map(len, tails)) > 2 << 20
+    passage = prose(1, 60)
+    got = substring_dedup.remove_repeats(frame(spark, [(1, passage), *((None, f"{passage} {t}") for t in tails)])).collect()
+    assert sorted((r["__id"] or 0, r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == sorted(
+        [(1, 60, 0, passage), *((0, 5060, 60, t) for t in tails)])

@@ -61,6 +61,17 @@ def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def pieces(batch, bytes_each: int = 1 << 20):
+    """Row ranges of an Arrow batch or table (text in its last column) of about a megabyte each."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
+    cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(total // bytes_each)) + 1, [batch.num_rows]]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield batch.slice(a, b - a)
+
+
 class TokenCache:
     """Token ids of texts, as little-endian 16-bit integers.
 

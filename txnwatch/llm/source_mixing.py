@@ -23,7 +23,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
-from .common import some_labels, staged
+from .common import pieces, some_labels, staged
 from .substring_dedup import Words
 
 DOMAINS = ["good", "poor", "toxic"]
@@ -70,16 +70,6 @@ class Features:
         self.shares = np.stack([10 * add(SYMBOLS[given]) / length, 5 * add(CAPITALS[given]) / length, distinct], axis=1)
 
 
-def pieces(batch, bytes_each: int = 1 << 20) -> Iterator:
-    """Row ranges of an Arrow batch (text in its last column) of about a megabyte each."""
-    import pyarrow.compute as pc
-
-    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False))
-    cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(total // bytes_each)) + 1, [batch.num_rows]]))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield batch.slice(a, b - a)
-
-
 def fitted_classifier(train: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients (one row per domain) and intercepts from the labelled rows (__label, __text)."""
     def look(batches: Iterator) -> Iterator:

@@ -15,11 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import groups_for, slots
+from .common import groups_for, pieces, release, slots
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+BLOCK = 1 << 16
 NO_ID = (1 << 63) - 1
+KEPT = ["__id", "n_words", "n_removed", "kept", "intervals"]
 _powers: dict[int, np.ndarray] = {}
 BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
 IS_BLANK = np.zeros(256, bool)
@@ -48,16 +50,29 @@ class Words:
         ends = np.flatnonzero(self.bytes == 32) + 1
         self.starts = np.concatenate([[0], ends]).astype(np.int64)  # of words; the last entry is the end
         at = np.cumsum([len(t or b"") + 1 for t in texts]) if texts else np.zeros(0, np.int64)
-        kept = np.concatenate([[0], np.cumsum(keep)])
-        self.offsets = np.concatenate([[0], np.searchsorted(self.starts, kept[at])]).astype(np.int64)  # of texts, in words
+        blank[1:] |= ~blank[:-1]  # from here on false only where a word begins
+        self.offsets = np.concatenate([[0], np.searchsorted(np.flatnonzero(~blank), at)]).astype(np.int64)  # of texts, in words
         self.counts = np.diff(self.offsets)
 
+    def _sums(self) -> np.ndarray:
+        """Sums of the values of all bytes before each word. Blocks of bytes are summed one after the other, so that only
+        words, not bytes, take eight bytes of memory each."""
+        sums, total, scale = np.zeros(len(self.starts), np.uint64), 0, 1
+        for lo in range(0, len(self.bytes), BLOCK):
+            part = BYTE_VALUES[self.bytes[lo:lo + BLOCK]]
+            part *= powers(BASE, BLOCK)[:len(part)]
+            run = np.cumsum(part, dtype=np.uint64)
+            i, j = np.searchsorted(self.starts, [lo, lo + len(part)], side="right")
+            sums[i:j] = run[self.starts[i:j] - lo - 1] * np.uint64(scale) + np.uint64(total)
+            total, scale = (total + int(run[-1]) * scale) % (1 << 64), scale * pow(BASE, BLOCK, 1 << 64) % (1 << 64)
+        return sums
+
     def hashes(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Rabin-Karp hash of the words from ``first`` up to ``end`` (word numbers)."""
-        values = BYTE_VALUES[self.bytes] * powers(BASE, len(self.bytes))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        a, b = self.starts[first], self.starts[end]
-        h = (sums[b] - sums[a]) * powers(INVERSE, len(self.bytes) + 1)[a]
+        sums, a = self._sums(), self.starts[first]
+        h = sums[end] - sums[first]
+        h *= powers(INVERSE, BLOCK)[a % BLOCK]
+        h *= powers(pow(INVERSE, BLOCK, 1 << 64), len(self.bytes) // BLOCK + 1)[a // BLOCK]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
@@ -130,6 +145,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                 [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.binary()),
                  pa.array(map(_squeeze, columns[3]), pa.binary())], ["bucket", "settled", "hashes", "ids"])
 
+        release()
         ids, texts, size = [], [], 0
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -146,6 +162,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
         """The repeats of one bucket of hashes, and what map tasks had settled, packed by bucket of the id."""
         import pyarrow as pa
 
+        release()
         settled = group.column("settled").to_pylist()
         hs = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
         ds = [_unsqueeze(x) for x in group.column("ids").to_pylist()]
@@ -167,36 +184,20 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     def remove(left, right):
         import pyarrow as pa
 
-        ids = left.column("__id").to_numpy()
-        texts = left.column("text").to_pylist()
-        words = Words(texts)
-        removed = np.zeros(int(words.offsets[-1]), bool)
-        if right.num_rows and len(removed):
-            h = np.concatenate([np.frombuffer(x, np.uint64) for x in right.column("hashes").to_pylist()])
-            d = np.concatenate([_unsqueeze(x) for x in right.column("ids").to_pylist()])
-            mixed = lambda h, d: (h ^ (d.astype(np.uint64) * np.uint64(BASE))) * np.uint64(INVERSE | 1)
-            first, text, own = words.windows(width)
-            hit = first[np.isin(mixed(own, ids[text]), mixed(h, d))]
-            edge = np.bincount(hit, minlength=len(removed) + width + 1) - np.bincount(hit + width, minlength=len(removed) + width + 1)
-            removed = np.cumsum(edge)[:len(removed)] > 0
-        total = np.concatenate([[0], np.cumsum(removed)])[words.offsets]
-        step = np.diff(np.concatenate([[0], removed.astype(np.int8), [0]]))
-        # a run of removed words is cut where a text ends
-        cut = np.zeros(len(removed) + 1, bool)
-        inner = words.offsets[1:-1]
-        inner = inner[(inner > 0) & (inner < len(removed))]
-        cut[inner] = removed[inner - 1] & removed[inner] if len(inner) else False
-        begin, end = np.flatnonzero((step == 1) | cut), np.flatnonzero((step == -1) | cut)
-        owner = np.searchsorted(words.offsets, begin, side="right") - 1
-        spans: list[list[dict]] = [[] for _ in texts]
-        for o, a, b in zip(owner.tolist(), begin.tolist(), end.tolist()):
-            at = int(words.offsets[o])
-            spans[o].append({"first": a - at, "end": b - at})
-        return pa.Table.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(words.counts, pa.int64()), pa.array(np.diff(total), pa.int64()),
-             pa.array(words.without(removed), pa.binary()),
-             pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))],
-            ["__id", "n_words", "n_removed", "kept", "intervals"])
+        release()
+        mixed = lambda h, d: (h ^ (d.astype(np.uint64) * np.uint64(BASE))) * np.uint64(INVERSE | 1)
+        known = [mixed(np.frombuffer(h, np.uint64), _unsqueeze(d)) for h, d in zip(
+            right.column("hashes").to_pylist(), right.column("ids").to_pylist())]
+        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *known]))
+        kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+        parts = [pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), kind)], KEPT)]
+        for part in pieces(left.select(["__id", "text"])):
+            ids = part.column("__id").to_numpy()
+            words = Words(part.column("text").to_pylist())
+            n_removed, spans, kept = _taken_out(words, ids, known, mixed, width)
+            parts.append(pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(words.counts, pa.int64()), pa.array(n_removed, pa.int64()),
+                                               pa.array(kept, pa.binary()), pa.array(spans, kind)], KEPT))
+        return pa.concat_tables(parts)
 
     sent = rows.mapInArrow(hashes, "bucket int, settled boolean, hashes binary, ids binary")
     repeats = sent.groupBy("bucket").applyInArrow(count, "bucket int, hashes binary, ids binary")
@@ -206,6 +207,31 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     return out.withColumn("__id", F.nullif("__id", F.lit(NO_ID))).withColumn("kept_text", F.col("kept").cast("string")).drop("kept")
 
 
+def _taken_out(words: Words, ids: np.ndarray, known: np.ndarray, mixed, width: int) -> tuple[np.ndarray, list[list[dict]], list[bytes]]:
+    """Of each text: number of words removed, runs of them, what is left. ``known``: sorted mixtures of hash and id."""
+    removed = np.zeros(int(words.offsets[-1]), bool)
+    if len(known) and len(removed):
+        first, text, own = words.windows(width)
+        own = mixed(own, ids[text])
+        hit = first[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own]
+        edge = np.bincount(hit, minlength=len(removed) + width + 1) - np.bincount(hit + width, minlength=len(removed) + width + 1)
+        removed = np.cumsum(edge)[:len(removed)] > 0
+    total = np.concatenate([[0], np.cumsum(removed)])[words.offsets]
+    step = np.diff(np.concatenate([[0], removed.astype(np.int8), [0]]))
+    # a run of removed words is cut where a text ends
+    cut = np.zeros(len(removed) + 1, bool)
+    inner = words.offsets[1:-1]
+    inner = inner[(inner > 0) & (inner < len(removed))]
+    cut[inner] = removed[inner - 1] & removed[inner] if len(inner) else False
+    begin, end = np.flatnonzero((step == 1) | cut), np.flatnonzero((step == -1) | cut)
+    owner = np.searchsorted(words.offsets, begin, side="right") - 1
+    spans: list[list[dict]] = [[] for _ in words.counts]
+    for o, a, b in zip(owner.tolist(), begin.tolist(), end.tolist()):
+        at = int(words.offsets[o])
+        spans[o].append({"first": a - at, "end": b - at})
+    return np.diff(total), spans, words.without(removed)
+
+
 def _squeeze(ids: bytes) -> bytes:
     """Ids as runs: count of runs, run lengths, values."""
     a = np.frombuffer(ids, np.int64)
