@@ -245,3 +245,13 @@ def test_many_texts_of_one_bucket_are_taken_in_parts(spark):
     got = substring_dedup.remove_repeats(frame(spark, [(1, passage), *((None, f"{passage} {t}") for t in tails)])).collect()
     assert sorted((r["__id"] or 0, r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == sorted(
         [(1, 60, 0, passage), *((0, 5060, 60, t) for t in tails)])
+
+
+def test_signing_bounds_rows_as_well_as_bytes():
+    """Signatures of very short texts take far more memory than the texts."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9000)), pa.array([f"w{k}" for k in range(8999)] + [None])], ["id", "words"])
+    parts = list(near_dedup._chunks([batch, batch.slice(0, 0)]))
+    assert [t for _, words in parts for t in words] == batch.column(1).to_pylist()
+    assert max(part.num_rows for part, _ in parts) <= 2048

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import normal, release, slots, staged
+from .common import normal, pieces, release, slots, staged
 from .substring_dedup import Words
 
 REGISTERS, ROWS = 140, 5
@@ -95,17 +95,14 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
     return float(np.dot(each, n))
 
 
-def _chunks(batches: Iterator, size: int = 1 << 19) -> Iterator:
-    """Parts of record batches with about ``size`` bytes of text in their last column. Signing takes some hundred bytes of
-    memory for each byte of text."""
+def _chunks(batches: Iterator, size: int = 1 << 19, rows: int = 2048) -> Iterator:
+    """Parts of record batches with about ``size`` bytes of text in their last column and at most so many rows. Signing takes
+    some hundred bytes of memory for each byte of text, and some thousand for each row."""
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
-        lo = total = 0
-        for k, t in enumerate(texts):
-            total += len(t or "")
-            if total >= size or k == len(texts) - 1:
-                yield batch.slice(lo, k + 1 - lo), texts[lo:k + 1]
-                lo, total = k + 1, 0
+        for piece in pieces(batch, size):
+            for lo in range(0, piece.num_rows, rows):
+                part = piece.slice(lo, rows)
+                yield part, part.column(part.num_columns - 1).to_pylist()
 
 
 def worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
