@@ -23,7 +23,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pieces, some_labels, staged
+from .common import pieces, release, some_labels, staged
 from .substring_dedup import Words
 
 DOMAINS = ["good", "poor", "toxic"]
@@ -75,6 +75,7 @@ def fitted_classifier(train: DataFrame, width: int) -> tuple[np.ndarray, np.ndar
     def look(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release()
         for batch in batches:
             for part in pieces(batch):
                 f = Features(part.column(1).to_pylist(), width)
@@ -113,6 +114,7 @@ def posteriors(rows: DataFrame, labels: DataFrame, id_col: str, text_col: str, g
     def judge(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release()
         for batch in batches:
             for part in pieces(batch):
                 f = Features(part.column(2).to_pylist(), width)
