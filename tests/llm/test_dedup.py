@@ -255,3 +255,26 @@ def test_signing_bounds_rows_as_well_as_bytes():
     parts = list(near_dedup._chunks([batch, batch.slice(0, 0)]))
     assert [t for _, words in parts for t in words] == batch.column(1).to_pylist()
     assert max(part.num_rows for part, _ in parts) <= 2048
+
+
+def test_mixing_frees_what_other_steps_left_in_the_worker(spark):
+    """Token caches of a step before do not stay beside the features of the classifier."""
+    from txnwatch.llm import common, source_mixing
+
+    def step(kind):
+        def run(batches):
+            import pyarrow as pa
+
+            if kind == "fill":
+                common.token_cache(path)
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([common.token_cache.cache_info().currsize] * batch.num_rows, pa.int64())], ["n"])
+        return run
+
+    path, one = common.tokenizer(), spark.range(0, 4, 1, 1)  # one task at a time: Spark takes the idle worker again
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs = one.select(F.col("id").alias("doc_id"), F.lit("some words of a text").alias("text"))
+    soft = source_mixing.posteriors(docs, labels, "doc_id", "text")
+    assert {r["n"] for r in one.mapInArrow(step("fill"), "n long").collect()} == {1}
+    assert soft.count() == 4
+    assert {r["n"] for r in one.mapInArrow(step("look"), "n long").collect()} == {0}
