@@ -143,3 +143,28 @@ def test_boosting_refuses_what_it_cannot_learn_from(planted):
                        (planted.withColumn("is_fraud", F.lit(2)), "0 or 1")):
         with pytest.raises(Exception, match=said):
             scoring.gbt_fit(rows, rounds=1)
+
+
+def test_many_levels_walked_at_once_equal_a_walk_node_by_node():
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, boosting.BINS, (6, 500)).astype(np.uint8)
+    for depth in (1, 3, 5):
+        size = (2 << depth) - 1
+        feature, cut = rng.integers(-1, 6, size), rng.integers(0, boosting.BINS - 1, size)
+        feature[size // 2:] = -1
+        for levels in range(depth + 1):
+            found = boosting._walker(feature, cut, levels, lambda node, ended: -node - 1 if ended else node)(codes)
+            for row, got in enumerate(found):
+                at, more = 0, levels
+                while more and feature[at] >= 0:
+                    at, more = 2 * at + 1 + int(codes[feature[at], row] > cut[at]), more - 1
+                assert got == (-at - 1 if more else at)
+
+
+def test_margins_are_the_same_however_often_they_are_stored(planted, monkeypatch):
+    models = []
+    for keep in (1, 4, 20):
+        monkeypatch.setattr(boosting, "KEEP", keep)
+        models.append(scoring.gbt_fit(planted, rounds=7))
+    for other in models[1:]:
+        assert np.array_equal(models[0].value, other.value) and np.array_equal(models[0].threshold, other.threshold)
