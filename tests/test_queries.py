@@ -5,6 +5,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 from .compare import compare, connect
+from txnwatch.session import prepare
 
 RUNS, SQL = queries(), oracle_sql()
 
@@ -31,3 +32,14 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(RUNS)
+
+
+def test_a_session_of_a_caller_compiles_wide_projections(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "65535")
+        prepare(spark)
+        assert spark.conf.get(name) == "8000"
+    finally:
+        spark.conf.set(name, before)
